@@ -204,6 +204,27 @@ _BODIES = {
         f"UNION ALL SELECT 'union', CAST(count(*) AS BIGINT) FROM "
         f"({_row('ofield', 'click')} UNION {_row('sfield', 'view')}) b"),
     "bitmap_topn": _topn("sfield", 10),
+    # A7-A14, S
+    "log_files_scan": "SELECT dt, part, value FROM log_line",
+    "mark_files": ("SELECT dt AS day, part AS bucket, '_test' AS \"index\", file_path AS file, "
+                   "CAST(CASE WHEN dt <= DATE '2024-01-15' THEN 0 ELSE 1 END AS INTEGER) AS owner_node FROM inv"),
+    "marked_files": "SELECT file_path AS file FROM inv WHERE dt = DATE '2024-01-03' AND part = 2",
+    "refresh_marks": ("SELECT dt AS day, part AS bucket, '_test' AS \"index\", file_path AS file, "
+                      "CAST(1 AS INTEGER) AS owner_node FROM inv WHERE dt > DATE '2024-01-15' "
+                      "UNION ALL SELECT dt, part, '_other', file_path, CAST(0 AS INTEGER) FROM inv "
+                      "WHERE dt <= DATE '2024-01-15'"),
+    "refresh_index": """
+        , one_batch AS (SELECT DISTINCT field, row_val, col_val FROM bits)
+        SELECT 'fact' AS tbl, CAST(count(*) AS BIGINT) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM bits
+        UNION ALL SELECT 'row_dict', CAST(count(DISTINCT (field, row_val)) AS BIGINT), CAST(0 AS BIGINT) FROM bits
+        UNION ALL SELECT 'col_dict', CAST(count(DISTINCT col_val) AS BIGINT), CAST(0 AS BIGINT) FROM bits""",
+    "row_dict_load": "SELECT row_val, row_id FROM row_dict WHERE field = 'sfield'",
+    "row_dict_append": "SELECT '_test' AS \"index\", field, row_id, row_val FROM rd2",
+    "fact_sink": "SELECT * FROM facts",
+    "fact_sink_keyed": "SELECT * FROM bits",
+    "resume_ingest": "SELECT * FROM bits",
+    "resume_topn": _topn("sfield", 10),
+    "stream_ingest": "SELECT * FROM bits",
 }
 
 

@@ -25,7 +25,7 @@ from ..session import checkpoint_dir
 from ..sources.fixtures import event_log_lines
 from ..sources.logs import (file_cap, inventory_of_lines, scan_bucket_range, scan_date_range,
                             scan_owned_buckets, unprocessed_files)
-from ..spec import DEFAULT_INDEX, IdConfig, LogSpec
+from ..spec import DEFAULT_INDEX, IdConfig, LogSpec, ScanConfig
 from .query import Index, batch_calls
 
 # Fixed parameters of the test queries.
@@ -293,6 +293,125 @@ def bitmap_topn_q(fx: Fixture) -> DataFrame:
             .orderBy(F.desc("Count"), F.asc("Key")).limit(10))
 
 
+# ---- A7-A14, S1, S2: persistent loads over the fixture view -------------
+
+_STORES: dict = {}
+
+
+def _cached(fx: Fixture, name: str, build):
+    key = (fx.spark.sparkContext.applicationId, fx.sf_dir, name)
+    if key not in _STORES:
+        _STORES[key] = build()
+    return _STORES[key]
+
+
+def loaded_store(fx: Fixture) -> "BitStore":
+    """Two resumable runs over the fixture view: run 1 (owner 0) takes the
+    files up to SPLIT_DAY, run 2 (owner 1) everything not yet marked."""
+    from ..session import work_path
+    from ..streaming.load import run_load
+    from .store import BitStore
+
+    def build():
+        store = BitStore(fx.spark, work_path(fx.spark, "store"))
+        r1 = run_load(fx.spark, store, lines=fx.lines, index=fx.index, scan=ScanConfig(end_date=SPLIT_DAY),
+                      spec=fx.spec, cfg=fx.cfg, owner_node=0, keyed=True)
+        r2 = run_load(fx.spark, store, lines=fx.lines, index=fx.index, scan=ScanConfig(),
+                      spec=fx.spec, cfg=fx.cfg, owner_node=1, keyed=True)
+        return store.root, r1[0]["batch_id"], r2[0]["batch_id"]
+    root, b1, b2 = _cached(fx, "load", build)
+    store = BitStore(fx.spark, root)
+    store.batches = (b1, b2)
+    return store
+
+
+def log_folder(fx: Fixture) -> str:
+    """The fixture view written as a real gzip log folder (dt=/part=)."""
+    from ..session import work_path
+    from ..sources.fixtures import write_log_files
+    return _cached(fx, "logs", lambda: write_log_files(fx.lines, work_path(fx.spark, "logs")))
+
+
+def log_files_scan(fx: Fixture) -> DataFrame:
+    from ..sources.logs import read_log_lines
+    return read_log_lines(fx.spark, log_folder(fx)).select("dt", "part", "value")
+
+
+def mark_files(fx: Fixture) -> DataFrame:
+    return loaded_store(fx).marks(fx.index)
+
+
+def marked_files(fx: Fixture) -> DataFrame:
+    return loaded_store(fx).marked_files(fx.index, "2024-01-03", 2)
+
+
+def refresh_marks(fx: Fixture) -> DataFrame:
+    from ..session import work_path
+    from .store import BitStore
+    store = BitStore(fx.spark, work_path(fx.spark, "marks"))
+    inv = inventory_of_lines(fx.lines)
+    first = F.col("dt") <= F.lit(SPLIT_DAY)
+    store.append_marks(inv.where(first), fx.index, 0, 1)
+    store.append_marks(inv.where(~first), fx.index, 1, 2)
+    store.append_marks(inv.where(first), "_other", 0, 3)
+    store.refresh_marks(fx.index, 0)
+    return store.marks()
+
+
+def refresh_index(fx: Fixture) -> DataFrame:
+    from ..session import work_path
+    from ..streaming.load import load_batch
+    from .store import BitStore
+    store = BitStore(fx.spark, work_path(fx.spark, "refresh"))
+    load_batch(store, fx.lines, fx.index, fx.spec, fx.cfg)
+    before = {t: store.read(t).where(F.col("index") == fx.index).count() for t in ("fact", "row_dict", "col_dict")}
+    store.refresh_index(fx.index)
+    rows = [(t, before[t], store.read(t).where(F.col("index") == fx.index).count()) for t in before]
+    return fx.spark.createDataFrame(rows, "tbl string, rows_before long, rows_after long")
+
+
+def row_dict_load(fx: Fixture) -> DataFrame:
+    return (loaded_store(fx).row_dict(fx.index).where(F.col("field") == "sfield")
+            .select("row_val", "row_id"))
+
+
+def row_dict_append(fx: Fixture) -> DataFrame:
+    st = loaded_store(fx)
+    return (st.read("row_dict").where((F.col("index") == fx.index) & (F.col("batch_id") == st.batches[1]))
+            .select("index", "field", "row_id", "row_val"))
+
+
+def fact_sink(fx: Fixture) -> DataFrame:
+    return loaded_store(fx).facts(fx.index)
+
+
+def fact_sink_keyed(fx: Fixture) -> DataFrame:
+    return loaded_store(fx).keyed_bits(fx.index)
+
+
+def resume_ingest(fx: Fixture) -> DataFrame:
+    return loaded_store(fx).decoded_bits(fx.index)
+
+
+def resume_topn(fx: Fixture) -> DataFrame:
+    ix = loaded_store(fx).index(fx.index, fx.spec)
+    return ix.topn("sfield", n=10)
+
+
+def stream_ingest(fx: Fixture) -> DataFrame:
+    from ..session import work_path
+    from ..streaming.load import stream_load
+    from .store import BitStore
+
+    def build():
+        store = BitStore(fx.spark, work_path(fx.spark, "stream"))
+        stream_load(fx.spark, store, log_folder(fx), store.root + "/_checkpoint", index=fx.index,
+                    spec=fx.spec, cfg=fx.cfg, max_files_per_trigger=60)
+        return store.root
+    from .store import BitStore as _B
+    return _B(fx.spark, _cached(fx, "stream", build)).decoded_bits(fx.index)
+
+
 def _value_call(name):
     return lambda fx: _calls(fx.value_index)[name]()
 
@@ -339,6 +458,19 @@ QUERIES = {
     "bitmap_index": bitmap_index_q,
     "bitmap_count": bitmap_count_q,
     "bitmap_topn": bitmap_topn_q,
+    # A7-A14, S
+    "log_files_scan": log_files_scan,
+    "mark_files": mark_files,
+    "marked_files": marked_files,
+    "refresh_marks": refresh_marks,
+    "refresh_index": refresh_index,
+    "row_dict_load": row_dict_load,
+    "row_dict_append": row_dict_append,
+    "fact_sink": fact_sink,
+    "fact_sink_keyed": fact_sink_keyed,
+    "resume_ingest": resume_ingest,
+    "resume_topn": resume_topn,
+    "stream_ingest": stream_ingest,
 }
 for _n in ("row", "range", "union", "intersect", "difference", "nested", "count_bitmap", "topn",
            "topn_filtered", "batch_calls"):
