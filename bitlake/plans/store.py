@@ -133,18 +133,19 @@ class BitStore:
         self._append("col_dict", entries.withColumn("batch_id", F.lit(batch_id)))
 
     def append_facts(self, facts: DataFrame, index: str, batch_id: int) -> None:
-        """A13 sink: one task per (field, shard) group, sorted by (row_id,
-        col_id) so parquet row-group statistics on ``row_id`` prune row
-        queries."""
+        """A13 sink: rows of one (field, shard) go to the same writer task,
+        sorted by (row_id, col_id), so parquet row-group statistics on
+        ``row_id`` prune row queries.  ``rebalance`` (not ``repartition``)
+        lets AQE split a skewed (field, shard) group and merge small ones."""
         out = (facts.withColumn("index", F.lit(index)).withColumn("batch_id", F.lit(batch_id))
-               .repartition("field", "shard")
-               .sortWithinPartitions("field", "row_id", "col_id"))
+               .hint("rebalance", "field", "shard")
+               .sortWithinPartitions("field", "shard", "row_id", "col_id"))
         self._append("fact", out)
 
     def append_keyed_bits(self, bits: DataFrame, index: str, batch_id: int) -> None:
         """A14 sink: bits with string keys (no dictionaries)."""
         out = (bits.withColumn("index", F.lit(index)).withColumn("batch_id", F.lit(batch_id))
-               .repartition("field", "col_val").sortWithinPartitions("field", "row_val", "col_val"))
+               .hint("rebalance", "field").sortWithinPartitions("field", "row_val", "col_val"))
         self._append("bit", out)
 
     def append_marks(self, files: DataFrame, index: str, owner_node: int, batch_id: int) -> None:

@@ -2,7 +2,8 @@
 
 ``event_log_lines``: the fixture view of FIXTURES.md section 4 (edge cases:
 bad times, short lines, empty lists, empty list elements, extra positions).
-``lineitem_log_lines``: the scale view (sf0.1 is ~600,000 lines).
+``lineitem_log_lines``: the scale view (sf0.1 is ~600,000 lines), one folder
+per ship month and bucket.
 Both return the line schema of :mod:`bitlake.sources.logs`.
 """
 
@@ -12,7 +13,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows when the scan gives fewer partitions than the
+    session can run at once (e.g. one large row group); big inputs with
+    enough splits are left alone, so no shuffle is added at scale."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def _finish(df: DataFrame, value, dt, part, file_key) -> DataFrame:
+    df = spread(df)
     lines = df.select(
         value.alias("value"),
         dt.alias("dt"),
@@ -58,7 +68,9 @@ def lineitem_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("p"), F.col("l_partkey").cast("string"), F.lit(",q"),
                  F.floor("l_quantity").cast("string")),
     )
-    return _finish(li, value, F.to_date("l_shipdate"), ok % 16, F.floor(ok / 20000))
+    # Folder day = first day of the ship month (a log folder per month and
+    # bucket keeps files large); the line's own time is the ship date.
+    return _finish(li, value, F.trunc(F.to_date("l_shipdate"), "MM"), ok % 16, F.lit(0))
 
 
 def write_log_files(lines: DataFrame, root: str) -> str:

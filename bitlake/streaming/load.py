@@ -16,6 +16,8 @@ Only the batch's *distinct* values meet the dictionaries, each once.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,18 +37,21 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
     once the facts are committed.  ``keyed`` also writes the value-space
     bits (string keys, no ids)."""
     batch_id = batch_id or new_batch_id()
+    t = [time.perf_counter()]
     bits = store.stage(set_bits(unpivot_bits(parse_lines(lines, spec), spec)), batch_id, "bits")
 
     # rows: the batch's distinct values meet the dictionary once
     rd = store.row_dict(index).select("field", "row_val", "row_id")
     rows = store.stage(bits.select("field", "row_val").distinct().join(rd, ["field", "row_val"], "left"),
                        batch_id, "rows")
+    t.append(time.perf_counter())
     new_rows = rows.where(F.col("row_id").isNull()).select("field", "row_val")
     store.append_row_dict(assign_row_ids(None, store.row_dict(index), index, cfg, new_values=new_rows), batch_id)
     added_rows = (store.read("row_dict")
                   .where((F.col("index") == F.lit(index)) & (F.col("batch_id") == F.lit(batch_id)))
                   .select("field", "row_val", "row_id"))
     row_map = rows.where(F.col("row_id").isNotNull()).unionByName(added_rows)
+    t.append(time.perf_counter())
 
     # columns
     cd = store.col_dict(index).select("col_val", "col_id", "shard")
@@ -57,16 +62,21 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
                   .where((F.col("index") == F.lit(index)) & (F.col("batch_id") == F.lit(batch_id)))
                   .select("col_val", "col_id", "shard"))
     col_map = cols.where(F.col("col_id").isNotNull()).unionByName(added_cols)
+    t.append(time.perf_counter())
 
     facts = (bits.join(row_map, ["field", "row_val"]).join(col_map, "col_val")
              .select("field", "shard", "row_id", "col_id", "day"))
     store.append_facts(facts, index, batch_id)
+    t.append(time.perf_counter())
     if keyed:
         store.append_keyed_bits(bits, index, batch_id)
     if files is not None:
         store.append_marks(files, index, owner_node, batch_id)
+    t.append(time.perf_counter())
+    steps = ("stage_bits", "row_ids", "col_ids", "facts", "marks")
     report = {"batch_id": batch_id, "bits": bits.count(),
-              "new_rows": added_rows.count(), "new_cols": added_cols.count()}
+              "new_rows": added_rows.count(), "new_cols": added_cols.count(),
+              "seconds": {k: round(t[i + 1] - t[i], 3) for i, k in enumerate(steps)}}
     store.drop_staging(batch_id)
     return report
 
