@@ -238,15 +238,17 @@ def column_id_expr(rank: Column, lanes_open: list[tuple[int, int]], base: int, c
 
 
 def assign_column_ids(values: DataFrame, col_dict: DataFrame, index: str,
-                      cfg: IdConfig = IdConfig(), new_values: DataFrame | None = None) -> DataFrame:
+                      cfg: IdConfig = IdConfig(), new_values: DataFrame | None = None,
+                      state: DataFrame | None = None) -> DataFrame:
     """D3 get-or-create: the *new* column-dictionary entries for ``values``.
 
     The open-lane table (at most ``lanes`` rows) and the base slot (one
     number) are read to the driver and become literals; everything else is
-    per-row arithmetic on the rank.
+    per-row arithmetic on the rank.  ``state`` (D4 rows) may come from a
+    smaller source than the dictionary, e.g. the store's shard log.
     """
-    d = _of_index(col_dict, index)
-    state = shard_state(d, cfg.shard_width)
+    if state is None:
+        state = shard_state(_of_index(col_dict, index), cfg.shard_width)
     lanes_open = [(r["shard"], r["next_offset"]) for r in open_shards(state, cfg).orderBy("lane").collect()]
     base = shard_base(state, cfg).collect()[0]["base"]
     new = new_values if new_values is not None else new_col_values(values, col_dict, index)

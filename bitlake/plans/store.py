@@ -4,12 +4,16 @@ Layout below ``root`` (any Hadoop file system; parquet, append-only)::
 
     row_dict/index=<i>/batch_id=<b>/       field, row_id, row_val
     col_dict/index=<i>/batch_id=<b>/       col_id, shard, col_val
+    shard_log/index=<i>/batch_id=<b>/      shard, last_id, ids_used (per batch)
     fact/index=<i>/field=<f>/batch_id=<b>/ shard, row_id, col_id, day
     bit/index=<i>/field=<f>/batch_id=<b>/  row_val, col_val, day      (keyed sink)
     marks/index=<i>/owner_node=<n>/batch_id=<b>/  day, bucket, file
     _staging/batch_id=<b>/<name>/          written intermediates of one batch
 
-Commit order of one batch: dictionaries, then facts, then marks.  Every
+Commit order of one batch: row dictionary, shard log, column dictionary,
+then facts, then marks.  The shard log is written before the column ids it
+describes, so it always covers the dictionary: shard state is read from this
+small table instead of a scan of the whole column dictionary.  Every
 committed fact is a true bit with durable ids, so a crash needs no rollback:
 unmarked files are read again, their values find the ids already stored and
 repeated bits collapse because every read of the facts is distinct.
@@ -42,6 +46,7 @@ SCHEMAS = {
                     ("index", S), ("field", S), ("batch_id", L)),
     "bit": _schema(("row_val", S), ("col_val", S), ("day", D), ("index", S), ("field", S), ("batch_id", L)),
     "marks": _schema(("day", D), ("bucket", I), ("file", S), ("index", S), ("owner_node", I), ("batch_id", L)),
+    "shard_log": _schema(("shard", L), ("last_id", L), ("ids_used", L), ("index", S), ("batch_id", L)),
 }
 PARTITIONS = {
     "row_dict": ["index", "batch_id"],
@@ -49,6 +54,7 @@ PARTITIONS = {
     "fact": ["index", "field", "batch_id"],
     "bit": ["index", "field", "batch_id"],
     "marks": ["index", "owner_node", "batch_id"],
+    "shard_log": ["index", "batch_id"],
 }
 
 
@@ -132,6 +138,26 @@ class BitStore:
     def append_col_dict(self, entries: DataFrame, batch_id: int) -> None:
         self._append("col_dict", entries.withColumn("batch_id", F.lit(batch_id)))
 
+    def append_shard_log(self, entries: DataFrame, index: str, batch_id: int) -> None:
+        """Per-shard summary of one batch's new column ids (a few rows)."""
+        self._append("shard_log", entries.groupBy("shard").agg(
+            F.max("col_id").alias("last_id"), F.count(F.lit(1)).alias("ids_used"))
+            .withColumn("index", F.lit(index)).withColumn("batch_id", F.lit(batch_id)))
+
+    def shard_state(self, index: str, shard_width: int) -> DataFrame:
+        """D4 from the shard log: ``max(last_id)`` per shard (the dictionary
+        is never scanned).  Without a log (dictionary written by other
+        means) it is derived from the dictionary itself."""
+        from ..operators.ids import shard_state as from_dict
+        if not path_exists(self.spark, self.path("shard_log")):
+            return from_dict(self.col_dict(index), shard_width)
+        w = int(shard_width)
+        return (self.read("shard_log").where(F.col("index") == F.lit(index))
+                .groupBy("index", "shard")
+                .agg(F.max("last_id").alias("last_id"), F.sum("ids_used").cast("long").alias("ids_used"))
+                .withColumn("next_offset", F.pmod(F.col("last_id") + 1, F.lit(w)))
+                .withColumn("full", F.col("next_offset") == 0))
+
     def append_facts(self, facts: DataFrame, index: str, batch_id: int) -> None:
         """A13 sink: rows of one (field, shard) go to the same writer task,
         sorted by (row_id, col_id), so parquet row-group statistics on
@@ -174,7 +200,7 @@ class BitStore:
     def refresh_index(self, index: str) -> None:
         """A10: drop facts, keyed bits and both dictionaries of an index, so
         old bits can never meet new ids."""
-        for t in ("fact", "bit", "col_dict", "row_dict"):
+        for t in ("fact", "bit", "shard_log", "col_dict", "row_dict"):
             delete_path(self.spark, f"{self.path(t)}/index={index}")
 
     def compact_facts(self, index: str, batch_id: int | None = None) -> None:

@@ -46,10 +46,10 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
                        batch_id, "rows")
     t.append(time.perf_counter())
     new_rows = rows.where(F.col("row_id").isNull()).select("field", "row_val")
-    store.append_row_dict(assign_row_ids(None, store.row_dict(index), index, cfg, new_values=new_rows), batch_id)
-    added_rows = (store.read("row_dict")
-                  .where((F.col("index") == F.lit(index)) & (F.col("batch_id") == F.lit(batch_id)))
-                  .select("field", "row_val", "row_id"))
+    row_entries = store.stage(assign_row_ids(None, store.row_dict(index), index, cfg, new_values=new_rows),
+                              batch_id, "new_rows")
+    store.append_row_dict(row_entries, batch_id)
+    added_rows = row_entries.select("field", "row_val", "row_id")
     row_map = rows.where(F.col("row_id").isNotNull()).unionByName(added_rows)
     t.append(time.perf_counter())
 
@@ -57,10 +57,12 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
     cd = store.col_dict(index).select("col_val", "col_id", "shard")
     cols = store.stage(bits.select("col_val").distinct().join(cd, "col_val", "left"), batch_id, "cols")
     new_cols = cols.where(F.col("col_id").isNull()).select("col_val")
-    store.append_col_dict(assign_column_ids(None, store.col_dict(index), index, cfg, new_values=new_cols), batch_id)
-    added_cols = (store.read("col_dict")
-                  .where((F.col("index") == F.lit(index)) & (F.col("batch_id") == F.lit(batch_id)))
-                  .select("col_val", "col_id", "shard"))
+    col_entries = store.stage(assign_column_ids(None, store.col_dict(index), index, cfg, new_values=new_cols,
+                                                state=store.shard_state(index, cfg.shard_width)),
+                              batch_id, "new_cols")
+    store.append_shard_log(col_entries, index, batch_id)   # log first: it always covers the dictionary
+    store.append_col_dict(col_entries, batch_id)
+    added_cols = col_entries.select("col_val", "col_id", "shard")
     col_map = cols.where(F.col("col_id").isNotNull()).unionByName(added_cols)
     t.append(time.perf_counter())
 

@@ -38,6 +38,10 @@ def test_split_run_equals_single_run(spark, lines, expected, workdir):
     run_load(spark, b, lines=lines, cfg=CFG)
     assert rows(a.decoded_bits()) == expected
     assert rows(b.decoded_bits()) == expected
+    # shard state from the per-batch log equals the state derived from the dictionary
+    from bitlake.operators.ids import shard_state
+    key = lambda df: rows(df.select("shard", "last_id", "next_offset", "full"))
+    assert key(a.shard_state("_test", CFG.shard_width)) == key(shard_state(a.col_dict("_test"), CFG.shard_width))
     # nothing left to do, nothing loaded again
     assert run_load(spark, a, lines=lines, cfg=CFG) == []
     # old ids unchanged by the second run
