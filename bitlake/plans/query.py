@@ -37,11 +37,14 @@ def _day(x) -> _dt.date:
 
 
 class Bitmap:
-    """A set of columns (distinct, one column)."""
+    """A set of columns (distinct, one column).  A leaf (``row``/``range``)
+    remembers ``(field, key, start, end)`` so that set operations over leaves
+    of one field can be answered by one fact scan."""
 
-    def __init__(self, index: "Index", df: DataFrame):
+    def __init__(self, index: "Index", df: DataFrame, leaf: tuple | None = None):
         self.index = index
         self.df = df
+        self.leaf = leaf
 
     def __or__(self, other: "Bitmap") -> "Bitmap":
         return self.index.union(self, other)
@@ -76,50 +79,78 @@ class Index:
 
     # ---- leaves -----------------------------------------------------------
 
-    def _bits_of(self, field: str, value: str) -> DataFrame | None:
+    def _key(self, field: str, value: str):
+        """Row key of ``field = value``: the value itself, or its row id
+        (one row of the row dictionary, read as a literal so the fact scan
+        can use parquet statistics).  None when the value was never seen."""
         self.spec.check_field(field)
         if not isinstance(value, str):
             raise TypeError(f"row value must be a string, got {type(value).__name__}")
-        f = self.facts.where(F.col("field") == F.lit(field))
         if not self.id_space:
-            return f.where(F.col("row_val") == F.lit(value))
+            return value
         hit = (self.row_dict.where((F.col("field") == F.lit(field)) & (F.col("row_val") == F.lit(value)))
                .select("row_id").limit(1).collect())
-        if not hit:
-            return None  # unseen value: empty answer, nothing is created
-        return f.where(F.col("row_id") == F.lit(int(hit[0]["row_id"])))
+        return int(hit[0]["row_id"]) if hit else None  # unseen: empty answer, nothing is created
 
     def _empty(self) -> Bitmap:
         return Bitmap(self, self.facts.where(F.lit(False)).select(self.ccol))
 
+    def _leaf_bits(self, field: str, keys: list, start=None, end=None) -> DataFrame:
+        f = self.facts.where((F.col("field") == F.lit(field)) & F.col(self.rcol).isin(*keys))
+        if start is not None:
+            f = f.where((F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(end)))
+        return f
+
+    def _leaf(self, field: str, value: str, start=None, end=None) -> Bitmap:
+        key = self._key(field, value)
+        if key is None:
+            return self._empty()
+        leaf = (field, key, start, end)
+        return Bitmap(self, self._leaf_bits(field, [key], start, end).select(self.ccol).distinct(), leaf)
+
     def row(self, field: str, value: str) -> Bitmap:
         """G1: columns with ``field = value`` on any day (or no day)."""
-        b = self._bits_of(field, value)
-        if b is None:
-            return self._empty()
-        return Bitmap(self, b.select(self.ccol).distinct())
+        return self._leaf(field, value)
 
     def range(self, field: str, value: str, start, end) -> Bitmap:
         """As ``row`` with ``start <= day < end`` (bounds floored to the
         day); bits without a day never match."""
-        b = self._bits_of(field, value)
-        if b is None:
-            return self._empty()
-        b = b.where((F.col("day") >= F.lit(_day(start))) & (F.col("day") < F.lit(_day(end))))
-        return Bitmap(self, b.select(self.ccol).distinct())
+        return self._leaf(field, value, _day(start), _day(end))
 
     # ---- set algebra ------------------------------------------------------
 
     def union(self, *bms: Bitmap) -> Bitmap:
-        """Columns in any operand (one distinct over the union)."""
+        """Columns in any operand (one distinct over the union).  Leaves
+        of one field and time window share one scan (``row IN (...)``)."""
         if not bms:
             return self._empty()
-        return Bitmap(self, reduce(lambda a, b: a.unionByName(b), [b.df for b in bms]).distinct())
+        groups: dict = {}
+        parts = []
+        for b in bms:
+            if b.leaf is None:
+                parts.append(b.df)
+            else:
+                field, key, start, end = b.leaf
+                groups.setdefault((field, start, end), set()).add(key)
+        for (field, start, end), keys in groups.items():
+            parts.append(self._leaf_bits(field, sorted(keys), start, end).select(self.ccol))
+        return Bitmap(self, reduce(lambda a, b: a.unionByName(b), parts).distinct())
 
     def intersect(self, *bms: Bitmap) -> Bitmap:
-        """Columns in every operand (left-semi chain)."""
+        """Columns in every operand.  Leaves of one field and time window
+        are fused into one scan: keep columns seen with all k keys; otherwise
+        a left-semi chain."""
         if not bms:
             return self._empty()
+        leaves = [b.leaf for b in bms]
+        if len(bms) > 1 and all(lf is not None for lf in leaves) and \
+                len({(lf[0], lf[2], lf[3]) for lf in leaves}) == 1:
+            field, _, start, end = leaves[0]
+            keys = sorted({lf[1] for lf in leaves})
+            pairs = self._leaf_bits(field, keys, start, end).select(self.rcol, self.ccol).distinct()
+            fused = (pairs.groupBy(self.ccol).agg(F.count(F.lit(1)).alias("_k"))
+                     .where(F.col("_k") == F.lit(len(keys))).select(self.ccol))
+            return Bitmap(self, fused)
         return Bitmap(self, reduce(lambda a, b: a.intersect(b), [b.df for b in bms]))
 
     def difference(self, first: Bitmap, *others: Bitmap) -> Bitmap:

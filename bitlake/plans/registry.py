@@ -478,5 +478,17 @@ for _n in ("row", "range", "union", "intersect", "difference", "nested", "count_
     QUERIES[f"{_n}_ids"] = _id_call(_n)
 
 
+_FIXTURES: dict = {}
+
+
+def fixture(spark: SparkSession, sf_dir: str) -> Fixture:
+    """One Fixture per Spark application and data folder, so the two-batch
+    dictionaries (checkpointed) are built once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FIXTURES:
+        _FIXTURES[key] = Fixture(spark, sf_dir)
+    return _FIXTURES[key]
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES[name](Fixture(spark, sf_dir))
+    return QUERIES[name](fixture(spark, sf_dir))

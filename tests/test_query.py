@@ -56,3 +56,24 @@ def test_bitmap_rollup_counts_equal_facts(fx):
     ix = fx.value_index
     a, b = ix.row("ofield", "click"), ix.row("sfield", "view")
     assert got == {"intersect": n((a & b).df), "union": n((a | b).df)}
+
+
+def test_fused_leaves_equal_pairwise(fx):
+    ix = fx.id_index
+    a, b, c = ix.row("sfield", "view"), ix.row("sfield", "click"), ix.range("sfield", "error", "2024-01-02", "2024-01-09")
+    pairwise = a.df.intersect(b.df)
+    assert sorted(map(tuple, (a & b).df.collect())) == sorted(map(tuple, pairwise.collect()))
+    u = a.df.unionByName(b.df).unionByName(c.df).distinct()
+    assert sorted(map(tuple, ix.union(a, b, c).df.collect())) == sorted(map(tuple, u.collect()))
+    # same key twice: A & A == A
+    assert ix.intersect(a, ix.row("sfield", "view")).df.count() == a.df.count()
+
+
+def test_codec_unknown_ids(spark, fx):
+    from bitlake.operators.codec import decode_columns, decode_rows
+    rows = spark.createDataFrame([("ofield", 10**9)], "field string, row_id long")
+    assert decode_rows(rows, fx.row_dict, "_test").collect()[0]["row_val"] == ""
+    cols = spark.createDataFrame([(10**12,)], "col_id long")
+    assert decode_columns(cols, fx.col_dict, "_test", strict=False).collect()[0]["col_val"] == str(10**12)
+    with pytest.raises(Exception, match="unknown column id"):
+        decode_columns(cols, fx.col_dict, "_test", strict=True).collect()
