@@ -30,6 +30,9 @@ from ..sources.logs import (file_cap, file_inventory, inventory_of_lines, read_l
 from ..spec import DEFAULT_INDEX, IdConfig, LogSpec, ScanConfig
 
 
+MAX_LISTED_PATHS = 200_000
+
+
 def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, spec: LogSpec = LogSpec(),
                cfg: IdConfig = IdConfig(), batch_id: int | None = None, files: DataFrame | None = None,
                owner_node: int = 0, keyed: bool = False) -> dict:
@@ -107,8 +110,10 @@ def run_load(spark: SparkSession, store: BitStore, *, root: str | None = None, l
         if n_files == 0:
             store.drop_staging(batch_id)
             break
-        if root is not None and scan.max_files is not None:
-            # bounded by max_files: read exactly these files, nothing else is listed
+        if root is not None and n_files <= MAX_LISTED_PATHS:
+            # read exactly the unprocessed files: marked files are never opened.
+            # (Spark's file index keeps every listed path on the driver anyway;
+            # MAX_LISTED_PATHS bounds what this hands to it.)
             paths = [r["file_path"] for r in batch_files.select("file_path").collect()]
             batch_lines = read_log_lines(spark, root, paths=paths)
         else:
