@@ -8,7 +8,6 @@ checkpoint directory.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,11 +78,3 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     if fs.exists(p):
         return bool(fs.delete(p, True))
     return False
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.exists(path)

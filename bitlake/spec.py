@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 DEFAULT_INDEX = "_test"
 
@@ -79,7 +79,6 @@ class ScanConfig:
     node_id: int = 0
     nodes_total: int = 1
     max_files: int | None = None
-    extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
         if self.nodes_total < 1:

@@ -111,3 +111,19 @@ def test_golden_ids(spark, tmp_path):
     ix = store.index("_test")
     assert cols(ix.columns(ix.row("ofield", "o1"))) == ["u1", "u2", "u3", "u6", "u7"]
     assert store.facts("_test").where(F.col("day") == dt.date(2018, 7, 4)).count() == 3
+
+
+def test_report_lists_files_without_lines(spark, tmp_path):
+    import gzip
+    from bitlake.streaming.ingest import ingest_report
+    root = str(tmp_path / "pixel")
+    write(root, LINES)
+    p = os.path.join(root, "dt=2018-07-01", "part=1", "empty.gz")
+    with gzip.open(p, "wb"):
+        pass                                   # a valid gzip with no lines
+    inv = file_inventory(spark, root)
+    rep = {os.path.basename(r["file_path"] or "*"): r for r in
+           ingest_report(read_log_lines(spark, root), inventory=inv).collect()}
+    assert rep["empty.gz"]["n_lines"] == 0
+    assert (rep["a.gz"]["n_lines"], rep["b.gz"]["n_rejects"], rep["b.gz"]["n_bad_time"]) == (3, 1, 1)
+    assert rep["*"]["n_lines"] == 8
