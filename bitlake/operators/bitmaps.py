@@ -63,3 +63,40 @@ def bitmap_row_counts(rollup: DataFrame, field: str) -> DataFrame:
     """Distinct columns per row of a field (TopN input) from the rollup."""
     return (rollup.where(F.col("field") == F.lit(field))
             .groupBy("row_id").agg(F.sum(F.bitmap_count("bitmap")).cast("long").alias("Count")))
+
+
+class BitmapIndex:
+    """Count / union / intersect / TopN answered from the rollup.
+
+    Leaves are ``(bucket, bitmap)`` frames; values are resolved to row ids
+    with one row of the row dictionary (as in :class:`bitlake.plans.query.Index`).
+    Time ranges and column lists need the facts (the rollup has no days, and
+    Spark has no built-in to expand a bitmap back to positions).
+    """
+
+    def __init__(self, rollup: DataFrame, row_dict: DataFrame, name: str):
+        self.rollup = rollup
+        self.row_dict = row_dict.where(F.col("index") == F.lit(name))
+
+    def row(self, field: str, value: str) -> DataFrame:
+        hit = (self.row_dict.where((F.col("field") == F.lit(field)) & (F.col("row_val") == F.lit(value)))
+               .select("row_id").limit(1).collect())
+        if not hit:
+            return self.rollup.where(F.lit(False)).select("bucket", "bitmap")
+        return row_bitmap(self.rollup, field, hit[0]["row_id"])
+
+    def union(self, *ops: DataFrame) -> DataFrame:
+        return or_bitmaps(*ops)
+
+    def intersect(self, *ops: DataFrame) -> DataFrame:
+        return and_bitmaps(*ops)
+
+    def count(self, bm: DataFrame) -> DataFrame:
+        return bitmap_cardinality(bm)
+
+    def topn(self, field: str, n: int | None = None) -> DataFrame:
+        d = self.row_dict.where(F.col("field") == F.lit(field)).select("row_id", "row_val")
+        out = (bitmap_row_counts(self.rollup, field).join(d, "row_id", "left")
+               .select(F.coalesce("row_val", F.lit("")).alias("Key"), "Count")
+               .orderBy(F.desc("Count"), F.asc("Key")))
+        return out.limit(int(n)) if n is not None else out

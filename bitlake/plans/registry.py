@@ -17,8 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.parse import offset_in_shard, parse_lines, reject_lines, accepted
 from ..operators import ids
-from ..operators.bitmaps import (and_bitmaps, bitmap_cardinality, bitmap_index, or_bitmaps,
-                                 row_bitmap, bitmap_row_counts)
+from ..operators.bitmaps import bitmap_index
 from ..operators.bits import BIT_COLS, list_elements, set_bits, time_views, unpivot_bits
 from ..operators.codec import decode_columns, decode_rows, encode_columns, encode_rows
 from ..session import checkpoint_dir
@@ -272,25 +271,21 @@ def bitmap_index_q(fx: Fixture) -> DataFrame:
     return r.select("field", "row_id", "bucket", F.bitmap_count("bitmap").alias("n_bits"))
 
 
-def bitmap_count_q(fx: Fixture) -> DataFrame:
-    """count(intersect(row(ofield=click), row(sfield=view))) over the rollup."""
-    r = bitmap_index(fx.facts)
-    rid = fx.row_dict.where((F.col("index") == fx.index))
+def _bitmap_index(fx: Fixture):
+    from ..operators.bitmaps import BitmapIndex
+    return BitmapIndex(bitmap_index(fx.facts), fx.row_dict, fx.index)
 
-    def rb(field, value):
-        i = rid.where((F.col("field") == field) & (F.col("row_val") == value)).select("row_id").collect()
-        return row_bitmap(r, field, i[0]["row_id"]) if i else r.where(F.lit(False)).select("bucket", "bitmap")
-    inter = bitmap_cardinality(and_bitmaps(rb("ofield", "click"), rb("sfield", "view")))
-    uni = bitmap_cardinality(or_bitmaps(rb("ofield", "click"), rb("sfield", "view")))
-    return (inter.select(F.lit("intersect").alias("kind"), "count")
-            .unionByName(uni.select(F.lit("union").alias("kind"), "count")))
+
+def bitmap_count_q(fx: Fixture) -> DataFrame:
+    """count(intersect / union of row(ofield=click), row(sfield=view)) over the rollup."""
+    bx = _bitmap_index(fx)
+    a, b = bx.row("ofield", "click"), bx.row("sfield", "view")
+    return (bx.count(bx.intersect(a, b)).select(F.lit("intersect").alias("kind"), "count")
+            .unionByName(bx.count(bx.union(a, b)).select(F.lit("union").alias("kind"), "count")))
 
 
 def bitmap_topn_q(fx: Fixture) -> DataFrame:
-    counts = bitmap_row_counts(bitmap_index(fx.facts), "sfield")
-    d = fx.row_dict.where((F.col("index") == fx.index) & (F.col("field") == "sfield")).select("row_id", "row_val")
-    return (counts.join(d, "row_id").select(F.col("row_val").alias("Key"), "Count")
-            .orderBy(F.desc("Count"), F.asc("Key")).limit(10))
+    return _bitmap_index(fx).topn("sfield", n=10)
 
 
 # ---- A7-A14, S1, S2: persistent loads over the fixture view -------------

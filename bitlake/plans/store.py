@@ -175,11 +175,12 @@ class BitStore:
         self._append("bit", out)
 
     def append_marks(self, files: DataFrame, index: str, owner_node: int, batch_id: int) -> None:
-        """Mark finished files (inventory rows: dt, part, file_path)."""
+        """Mark finished files (inventory rows: dt, part, file_path),
+        sorted by day so a day-range read of the marks skips row groups."""
         self._append("marks", files.select(
             F.col("dt").alias("day"), F.col("part").alias("bucket"), F.col("file_path").alias("file"),
             F.lit(index).alias("index"), F.lit(int(owner_node)).alias("owner_node"),
-            F.lit(batch_id).alias("batch_id")))
+            F.lit(batch_id).alias("batch_id")).sortWithinPartitions("day", "bucket", "file"))
 
     def stage(self, df: DataFrame, batch_id: int, name: str) -> DataFrame:
         """Write an intermediate of the batch and read it back: cuts the
@@ -200,9 +201,44 @@ class BitStore:
     def refresh_index(self, index: str) -> None:
         """A10: drop facts, keyed bits and both dictionaries of an index, so
         old bits can never meet new ids."""
-        for t in ("fact", "bit", "shard_log", "col_dict", "row_dict"):
+        for t in ("fact", "bit", "shard_log", "col_dict", "row_dict", "rollup"):
             delete_path(self.spark, f"{self.path(t)}/index={index}")
 
+    # ---- E5 rollup ----------------------------------------------------------
+
+    def write_rollup(self, index: str = DEFAULT_INDEX) -> str:
+        """Build the bitmap rollup of the current facts as a new version and
+        drop older versions (readers pick the newest complete one)."""
+        from ..operators.bitmaps import bitmap_index
+        version = new_batch_id()
+        base = f"{self.root}/rollup/index={index}"
+        bitmap_index(self.facts(index)).write.partitionBy("field").parquet(f"{base}/version={version}")
+        for old in self._versions(base):
+            if old != version:
+                delete_path(self.spark, f"{base}/version={old}")
+        return f"{base}/version={version}"
+
+    def _versions(self, base: str) -> list[int]:
+        if not path_exists(self.spark, base):
+            return []
+        from ..session import _fs
+        fs, p = _fs(self.spark, base)
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("version=") and path_exists(self.spark, st.getPath().toString() + "/_SUCCESS"):
+                out.append(int(name[len("version="):]))
+        return sorted(out)
+
+    def rollup_index(self, index: str = DEFAULT_INDEX):
+        from ..operators.bitmaps import BitmapIndex
+        base = f"{self.root}/rollup/index={index}"
+        versions = self._versions(base)
+        if not versions:
+            raise ValueError(f"no rollup for index {index!r}; call write_rollup first")
+        roll = self.spark.read.parquet(f"{base}/version={versions[-1]}")
+        return BitmapIndex(roll, self.row_dict(index), index)
+
     def compact_facts(self, index: str, batch_id: int | None = None) -> None:
         """Collapse repeated bits across batches: write the distinct facts as
         one new batch, then drop the old batch folders of each field."""

@@ -12,13 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows when the scan gives fewer partitions than the
-    session can run at once (e.g. one large row group); big inputs with
-    enough splits are left alone, so no shuffle is added at scale."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+from .logs import spread
 
 
 def _finish(df: DataFrame, value, dt, part, file_key) -> DataFrame:

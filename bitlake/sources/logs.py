@@ -32,7 +32,6 @@ INVENTORY_SCHEMA = T.StructType([
     T.StructField("part", T.IntegerType()),
 ])
 
-_PARTITION_SCHEMA = "dt date, part int"
 
 
 def _as_date(d) -> _dt.date | None:
@@ -78,12 +77,21 @@ def _load(spark: SparkSession, fmt: str, root: str, paths, options: dict) -> Dat
     return r.option("basePath", root).load(list(paths))
 
 
-def read_log_lines(spark: SparkSession, root: str, paths=None, start=None, end=None) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows when the scan gives fewer partitions than the
+    session can run at once (few large gzip files, one large row group);
+    inputs with enough splits are left alone, so no shuffle is added then."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
+def read_log_lines(spark: SparkSession, root: str, paths=None, start=None, end=None,
+                   spread_small: bool = True) -> DataFrame:
     """A1 ``log_scan``: one row per text line with day, bucket and file.
 
     ``lineSep`` is pinned to LF: Spark's default also breaks at a lone CR.
-    gzip is not splittable, so each file is one task; callers that read few
-    large files should repartition after the scan.
+    gzip is not splittable, so each file is one task; when that gives fewer
+    tasks than cores the lines are spread before parsing.
     """
     if paths is None and (start is not None or end is not None):
         paths = day_folders(spark, root, start, end)
@@ -97,7 +105,8 @@ def read_log_lines(spark: SparkSession, root: str, paths=None, start=None, end=N
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
     )
-    return scan_date_range(out, start, end)
+    out = scan_date_range(out, start, end)
+    return spread(out) if spread_small else out
 
 
 def file_inventory(spark: SparkSession, root: str, paths=None, start=None, end=None) -> DataFrame:
@@ -170,12 +179,15 @@ def select_files(inventory: DataFrame, cfg: ScanConfig) -> DataFrame:
     return inv
 
 
-def unprocessed_files(inventory: DataFrame, marks: DataFrame, index: str) -> DataFrame:
+def unprocessed_files(inventory: DataFrame, marks: DataFrame, index: str, start=None, end=None) -> DataFrame:
     """Inventory minus the files marked for ``index`` (left anti join).
 
-    Marks of every owner count: a file loaded by another job is done.
+    Marks of every owner count: a file loaded by another job is done.  The
+    run's day range also filters the marks (pushed to their parquet scan,
+    whose files are sorted by day).
     """
-    done = (marks.where(F.col("index") == F.lit(index))
+    done = (scan_date_range(marks.withColumnRenamed("day", "dt"), start, end).withColumnRenamed("dt", "day")
+            .where(F.col("index") == F.lit(index))
             .select(F.col("day").alias("dt"), F.col("bucket").alias("part"),
                     F.col("file").alias("file_path")))
     return inventory.join(done, ["dt", "part", "file_path"], "left_anti")

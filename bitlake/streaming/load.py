@@ -104,7 +104,8 @@ def run_load(spark: SparkSession, store: BitStore, *, root: str | None = None, l
             inv = file_inventory(spark, root, start=scan.start_date, end=scan.end_date)
         else:
             inv = inventory_of_lines(lines)
-        todo = unprocessed_files(select_files(inv, scan), store.marks(index), index)
+        todo = unprocessed_files(select_files(inv, scan), store.marks(index), index,
+                                 scan.start_date, scan.end_date)
         batch_files = store.stage(file_cap(todo, scan.max_files), batch_id, "files")
         n_files = batch_files.count()
         if n_files == 0:

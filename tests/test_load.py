@@ -101,3 +101,18 @@ def test_owner_split_by_bucket(spark, lines, expected, workdir):
     owners = dict(s.marks("_test").groupBy("owner_node").count().collect())
     assert set(owners) == {0, 1}
     assert s.marks("_test").where(F.pmod("bucket", F.lit(2)) != F.col("owner_node")).count() == 0
+
+
+def test_stored_rollup_matches_facts(spark, lines, workdir):
+    s = BitStore(spark, workdir + "/roll")
+    load_batch(s, lines, cfg=CFG)
+    s.write_rollup("_test")
+    s.write_rollup("_test")                      # a new version replaces the old one
+    bx, ix = s.rollup_index("_test"), s.index("_test")
+    a, b = ("ofield", "click"), ("sfield", "view")
+    got = bx.count(bx.intersect(bx.row(*a), bx.row(*b))).collect()[0]["count"]
+    assert got == ix.count(ix.row(*a) & ix.row(*b)).collect()[0]["count"]
+    got = bx.count(bx.union(bx.row(*a), bx.row(*b))).collect()[0]["count"]
+    assert got == ix.count(ix.row(*a) | ix.row(*b)).collect()[0]["count"]
+    assert rows(bx.topn("sfield", 7)) == rows(ix.topn("sfield", 7))
+    assert bx.count(bx.row("ofield", "no-such")).collect()[0]["count"] == 0
