@@ -97,15 +97,17 @@ def run_load(spark: SparkSession, store: BitStore, *, root: str | None = None, l
     """
     if (root is None) == (lines is None):
         raise ValueError("give exactly one of root and lines")
+    # List the selected files once; later batches only subtract new marks.
+    list_id = new_batch_id()
+    if root is not None:
+        inv = file_inventory(spark, root, start=scan.start_date, end=scan.end_date)
+    else:
+        inv = inventory_of_lines(lines)
+    selected = store.stage(select_files(inv, scan), list_id, "inventory")
     reports = []
     while True:
         batch_id = new_batch_id()
-        if root is not None:
-            inv = file_inventory(spark, root, start=scan.start_date, end=scan.end_date)
-        else:
-            inv = inventory_of_lines(lines)
-        todo = unprocessed_files(select_files(inv, scan), store.marks(index), index,
-                                 scan.start_date, scan.end_date)
+        todo = unprocessed_files(selected, store.marks(index), index, scan.start_date, scan.end_date)
         batch_files = store.stage(file_cap(todo, scan.max_files), batch_id, "files")
         n_files = batch_files.count()
         if n_files == 0:
@@ -126,6 +128,7 @@ def run_load(spark: SparkSession, store: BitStore, *, root: str | None = None, l
         reports.append(rep)
         if not until_done or scan.max_files is None:
             break
+    store.drop_staging(list_id)
     return reports
 
 
