@@ -11,6 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Column ids are stored in groups of 2^26 consecutive ids (a partition
+# column of the stored dictionary), so decoding a small answer reads only
+# the groups it touches (dynamic partition pruning).
+ID_GROUP_BITS = 26
+
+
+def id_group(col_id) -> "F.Column":
+    c = F.col(col_id) if isinstance(col_id, str) else col_id
+    return F.shiftright(c, ID_GROUP_BITS)
+
+
 def _of_index(d: DataFrame, index: str | None) -> DataFrame:
     return d.where(F.col("index") == F.lit(index)) if index is not None else d
 
@@ -38,8 +49,12 @@ def decode_columns(df: DataFrame, col_dict: DataFrame, index: str | None = None,
                    strict: bool = True) -> DataFrame:
     """col_id -> col_val.  ``strict``: an unknown id fails the job;
     otherwise the id itself is returned as text."""
-    d = _of_index(col_dict, index).select("col_id", "col_val")
-    j = df.join(d, "col_id", "left")
+    if "id_group" in col_dict.columns:
+        d = _of_index(col_dict, index).select("id_group", "col_id", "col_val")
+        j = df.withColumn("id_group", id_group("col_id")).join(d, ["id_group", "col_id"], "left").drop("id_group")
+    else:
+        d = _of_index(col_dict, index).select("col_id", "col_val")
+        j = df.join(d, "col_id", "left")
     if strict:
         v = F.when(F.col("col_val").isNull(),
                    F.raise_error(F.concat(F.lit("unknown column id "), F.col("col_id").cast("string"))

@@ -3,7 +3,7 @@
 Layout below ``root`` (any Hadoop file system; parquet, append-only)::
 
     row_dict/index=<i>/batch_id=<b>/       field, row_id, row_val
-    col_dict/index=<i>/batch_id=<b>/       col_id, shard, col_val
+    col_dict/index=<i>/id_group=<g>/batch_id=<b>/  col_id, shard, col_val (g = col_id >> 26)
     shard_log/index=<i>/batch_id=<b>/      shard, last_id, ids_used (per batch)
     fact/index=<i>/field=<f>/batch_id=<b>/ shard, row_id, col_id, day
     bit/index=<i>/field=<f>/batch_id=<b>/  row_val, col_val, day      (keyed sink)
@@ -41,7 +41,8 @@ def _schema(*cols) -> T.StructType:
 
 SCHEMAS = {
     "row_dict": _schema(("field", S), ("row_id", L), ("row_val", S), ("index", S), ("batch_id", L)),
-    "col_dict": _schema(("col_id", L), ("shard", L), ("col_val", S), ("index", S), ("batch_id", L)),
+    "col_dict": _schema(("col_id", L), ("shard", L), ("col_val", S), ("index", S), ("id_group", L),
+                        ("batch_id", L)),
     "fact": _schema(("shard", L), ("row_id", L), ("col_id", L), ("day", D),
                     ("index", S), ("field", S), ("batch_id", L)),
     "bit": _schema(("row_val", S), ("col_val", S), ("day", D), ("index", S), ("field", S), ("batch_id", L)),
@@ -50,7 +51,7 @@ SCHEMAS = {
 }
 PARTITIONS = {
     "row_dict": ["index", "batch_id"],
-    "col_dict": ["index", "batch_id"],
+    "col_dict": ["index", "id_group", "batch_id"],
     "fact": ["index", "field", "batch_id"],
     "bit": ["index", "field", "batch_id"],
     "marks": ["index", "owner_node", "batch_id"],
@@ -90,7 +91,7 @@ class BitStore:
         d = self.read("col_dict")
         if index is not None:
             d = d.where(F.col("index") == F.lit(index))
-        return d.select("index", "col_id", "shard", "col_val")
+        return d.select("index", "col_id", "shard", "col_val", "id_group")
 
     def facts(self, index: str = DEFAULT_INDEX) -> DataFrame:
         """A13 read-back: distinct bits of the index in id space."""
@@ -136,7 +137,9 @@ class BitStore:
         self._append("row_dict", entries.withColumn("batch_id", F.lit(batch_id)))
 
     def append_col_dict(self, entries: DataFrame, batch_id: int) -> None:
-        self._append("col_dict", entries.withColumn("batch_id", F.lit(batch_id)))
+        from ..operators.codec import id_group
+        self._append("col_dict", entries.withColumn("id_group", id_group("col_id"))
+                     .withColumn("batch_id", F.lit(batch_id)))
 
     def append_shard_log(self, entries: DataFrame, index: str, batch_id: int) -> None:
         """Per-shard summary of one batch's new column ids (a few rows)."""
