@@ -134,13 +134,16 @@ def run_load(spark: SparkSession, store: BitStore, *, root: str | None = None, l
 
 def stream_load(spark: SparkSession, store: BitStore, root: str, checkpoint: str, *,
                 index: str = DEFAULT_INDEX, spec: LogSpec = LogSpec(), cfg: IdConfig = IdConfig(),
-                max_files_per_trigger: int = 1000, owner_node: int = 0, keyed: bool = False):
+                max_files_per_trigger: int = 1000, owner_node: int = 0, keyed: bool = False,
+                processing_time: str | None = None):
     """The same load as Structured Streaming over a log folder.
 
     Each micro-batch (at most ``max_files_per_trigger`` files) runs
     :func:`load_batch`; the streaming checkpoint records which files were
     taken.  A replayed micro-batch is harmless: ids are get-or-create and
-    facts are read distinct.  Runs to the end of the available files.
+    facts are read distinct.  Runs to the end of the available files and
+    returns; with ``processing_time`` (e.g. ``"5 minutes"``) it keeps running
+    and the started query is returned.
     """
     src = (spark.readStream.format("text").option("lineSep", "\n")
            .option("maxFilesPerTrigger", int(max_files_per_trigger)).load(root))
@@ -156,9 +159,9 @@ def stream_load(spark: SparkSession, store: BitStore, root: str, checkpoint: str
             return
         load_batch(store, df, index, spec, cfg, batch_id, files=files, owner_node=owner_node, keyed=keyed)
 
-    q = (lines.writeStream.foreachBatch(each)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
+    w = lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    if processing_time:
+        return w.trigger(processingTime=processing_time).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return q
