@@ -35,10 +35,12 @@ MAX_LISTED_PATHS = 200_000
 
 def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, spec: LogSpec = LogSpec(),
                cfg: IdConfig = IdConfig(), batch_id: int | None = None, files: DataFrame | None = None,
-               owner_node: int = 0, keyed: bool = False) -> dict:
+               owner_node: int = 0, keyed: bool = False, skip_known_bits: bool = False) -> dict:
     """Load one batch of lines; ``files`` (dt, part, file_path) are marked
     once the facts are committed.  ``keyed`` also writes the value-space
-    bits (string keys, no ids)."""
+    bits (string keys, no ids).  ``skip_known_bits`` drops bits already in
+    the fact table (anti join, NULL days equal) instead of leaving repeats
+    to distinct reads and compaction; worth it while the table is small."""
     batch_id = batch_id or new_batch_id()
     t = [time.perf_counter()]
     bits = store.stage(set_bits(unpivot_bits(parse_lines(lines, spec), spec)), batch_id, "bits")
@@ -71,6 +73,13 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
 
     facts = (bits.join(row_map, ["field", "row_val"]).join(col_map, "col_val")
              .select("field", "shard", "row_id", "col_id", "day"))
+    if skip_known_bits:
+        old = (store.read("fact").where(F.col("index") == F.lit(index))
+               .select("field", "row_id", "col_id", "day").alias("o"))
+        n = facts.alias("n")
+        cond = [F.col("n.field") == F.col("o.field"), F.col("n.row_id") == F.col("o.row_id"),
+                F.col("n.col_id") == F.col("o.col_id"), F.col("n.day").eqNullSafe(F.col("o.day"))]
+        facts = n.join(old, cond, "left_anti")
     store.append_facts(facts, index, batch_id)
     t.append(time.perf_counter())
     if keyed:

@@ -116,3 +116,12 @@ def test_stored_rollup_matches_facts(spark, lines, workdir):
     assert got == ix.count(ix.row(*a) | ix.row(*b)).collect()[0]["count"]
     assert rows(bx.topn("sfield", 7)) == rows(ix.topn("sfield", 7))
     assert bx.count(bx.row("ofield", "no-such")).collect()[0]["count"] == 0
+
+
+def test_skip_known_bits(spark, lines, expected, workdir):
+    s = BitStore(spark, workdir + "/skip")
+    load_batch(s, lines, cfg=CFG)
+    n = s.read("fact").count()
+    load_batch(s, lines, cfg=CFG, skip_known_bits=True)
+    assert s.read("fact").count() == n
+    assert rows(s.decoded_bits()) == expected
