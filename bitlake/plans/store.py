@@ -28,7 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import delete_path, path_exists
+from ..session import delete_path, path_exists, touch
+
+DONE = "_bitlake_done"  # our own commit marker (Spark's _SUCCESS can be switched off)
 from ..spec import DEFAULT_INDEX, LogSpec
 from .query import Index
 
@@ -204,24 +206,41 @@ class BitStore:
     def refresh_index(self, index: str) -> None:
         """A10: drop facts, keyed bits and both dictionaries of an index, so
         old bits can never meet new ids."""
-        for t in ("fact", "bit", "shard_log", "col_dict", "row_dict", "rollup"):
+        for t in ("fact", "bit", "shard_log", "col_dict", "row_dict", "rollup", "rollup_delta"):
             delete_path(self.spark, f"{self.path(t)}/index={index}")
 
     # ---- E5 rollup ----------------------------------------------------------
+    # rollup/index=<i>/version=<v>/field=<f>/        full build from the facts
+    # rollup_delta/index=<i>/batch_id=<b>/field=<f>/ one per loaded batch
+    # Bitmap OR is idempotent, so readers OR the newest full version with the
+    # deltas of later batches per (field, row_id, bucket).
+
+    def append_rollup(self, index: str, batch_id: int) -> None:
+        """Delta rollup of one batch's committed facts (partition-pruned read)."""
+        from ..operators.bitmaps import bitmap_index
+        f = self.read("fact").where((F.col("index") == F.lit(index)) & (F.col("batch_id") == F.lit(batch_id)))
+        out = f"{self.root}/rollup_delta/index={index}/batch_id={batch_id}"
+        (bitmap_index(f.select("field", "row_id", "col_id")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy("field").parquet(out))
+        touch(self.spark, f"{out}/{DONE}")
 
     def write_rollup(self, index: str = DEFAULT_INDEX) -> str:
-        """Build the bitmap rollup of the current facts as a new version and
-        drop older versions (readers pick the newest complete one)."""
+        """Full build from the current facts as a new version; older versions
+        and the deltas it covers are dropped afterwards."""
         from ..operators.bitmaps import bitmap_index
         version = new_batch_id()
         base = f"{self.root}/rollup/index={index}"
+        covered = self._versions(f"{self.root}/rollup_delta/index={index}", "batch_id")
         bitmap_index(self.facts(index)).write.partitionBy("field").parquet(f"{base}/version={version}")
+        touch(self.spark, f"{base}/version={version}/{DONE}")
         for old in self._versions(base):
             if old != version:
                 delete_path(self.spark, f"{base}/version={old}")
+        for b in covered:
+            delete_path(self.spark, f"{self.root}/rollup_delta/index={index}/batch_id={b}")
         return f"{base}/version={version}"
 
-    def _versions(self, base: str) -> list[int]:
+    def _versions(self, base: str, key: str = "version") -> list[int]:
         if not path_exists(self.spark, base):
             return []
         from ..session import _fs
@@ -229,18 +248,35 @@ class BitStore:
         out = []
         for st in fs.listStatus(p):
             name = st.getPath().getName()
-            if name.startswith("version=") and path_exists(self.spark, st.getPath().toString() + "/_SUCCESS"):
-                out.append(int(name[len("version="):]))
+            if name.startswith(key + "=") and path_exists(self.spark, f"{st.getPath().toString()}/{DONE}"):
+                out.append(int(name[len(key) + 1:]))
         return sorted(out)
 
-    def rollup_index(self, index: str = DEFAULT_INDEX):
-        from ..operators.bitmaps import BitmapIndex
+    def rollup(self, index: str = DEFAULT_INDEX) -> DataFrame:
+        """Current rollup ``(field, row_id, bucket, bitmap)``: newest full
+        version OR the later deltas (merged lazily; filters on field and
+        row_id are pushed below the merge)."""
         base = f"{self.root}/rollup/index={index}"
         versions = self._versions(base)
-        if not versions:
-            raise ValueError(f"no rollup for index {index!r}; call write_rollup first")
-        roll = self.spark.read.parquet(f"{base}/version={versions[-1]}")
-        return BitmapIndex(roll, self.row_dict(index), index)
+        parts = []
+        if versions:
+            parts.append(self.spark.read.parquet(f"{base}/version={versions[-1]}"))
+        dbase = f"{self.root}/rollup_delta/index={index}"
+        newer = [b for b in self._versions(dbase, "batch_id") if not versions or b > versions[-1]]
+        parts += [self.spark.read.parquet(f"{dbase}/batch_id={b}") for b in newer]
+        if not parts:
+            raise ValueError(f"no rollup for index {index!r}; load with rollup=True or call write_rollup")
+        cols = ["field", "row_id", "bucket", "bitmap"]
+        if len(parts) == 1:
+            return parts[0].select(*cols)
+        u = parts[0].select(*cols)
+        for p in parts[1:]:
+            u = u.unionByName(p.select(*cols))
+        return u.groupBy("field", "row_id", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+    def rollup_index(self, index: str = DEFAULT_INDEX):
+        from ..operators.bitmaps import BitmapIndex
+        return BitmapIndex(self.rollup(index), self.row_dict(index), index)
 
     def compact_facts(self, index: str, batch_id: int | None = None) -> None:
         """Collapse repeated bits across batches: write the distinct facts as

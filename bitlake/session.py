@@ -20,7 +20,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -72,6 +71,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file (written after a job has committed)."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursive delete of a table partition folder (like DROP PARTITION)."""
     fs, p = _fs(spark, path)

@@ -35,12 +35,14 @@ MAX_LISTED_PATHS = 200_000
 
 def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, spec: LogSpec = LogSpec(),
                cfg: IdConfig = IdConfig(), batch_id: int | None = None, files: DataFrame | None = None,
-               owner_node: int = 0, keyed: bool = False, skip_known_bits: bool = False) -> dict:
+               owner_node: int = 0, keyed: bool = False, skip_known_bits: bool = False,
+               rollup: bool = False) -> dict:
     """Load one batch of lines; ``files`` (dt, part, file_path) are marked
     once the facts are committed.  ``keyed`` also writes the value-space
     bits (string keys, no ids).  ``skip_known_bits`` drops bits already in
     the fact table (anti join, NULL days equal) instead of leaving repeats
-    to distinct reads and compaction; worth it while the table is small."""
+    to distinct reads and compaction; worth it while the table is small.
+    ``rollup`` appends a delta bitmap rollup of the batch's facts."""
     batch_id = batch_id or new_batch_id()
     t = [time.perf_counter()]
     bits = store.stage(set_bits(unpivot_bits(parse_lines(lines, spec), spec)), batch_id, "bits")
@@ -81,6 +83,8 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
                 F.col("n.col_id") == F.col("o.col_id"), F.col("n.day").eqNullSafe(F.col("o.day"))]
         facts = n.join(old, cond, "left_anti")
     store.append_facts(facts, index, batch_id)
+    if rollup:
+        store.append_rollup(index, batch_id)
     t.append(time.perf_counter())
     if keyed:
         store.append_keyed_bits(bits, index, batch_id)
@@ -98,7 +102,7 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
 def run_load(spark: SparkSession, store: BitStore, *, root: str | None = None, lines: DataFrame | None = None,
              index: str = DEFAULT_INDEX, scan: ScanConfig = ScanConfig(), spec: LogSpec = LogSpec(),
              cfg: IdConfig = IdConfig(), owner_node: int = 0, keyed: bool = False,
-             until_done: bool = False) -> list[dict]:
+             until_done: bool = False, rollup: bool = False) -> list[dict]:
     """Load the files that are selected by ``scan`` and not yet marked
     for ``index`` — from a log folder ``root`` or from a line frame with
     ``file_path`` (e.g. a view over tables).  With ``max_files`` each batch
@@ -132,7 +136,7 @@ def run_load(spark: SparkSession, store: BitStore, *, root: str | None = None, l
             src = read_log_lines(spark, root, start=scan.start_date, end=scan.end_date) if root else lines
             batch_lines = src.join(batch_files.select("file_path"), "file_path", "left_semi")
         rep = load_batch(store, batch_lines, index, spec, cfg, batch_id, files=batch_files,
-                         owner_node=owner_node, keyed=keyed)
+                         owner_node=owner_node, keyed=keyed, rollup=rollup)
         rep["files"] = n_files
         reports.append(rep)
         if not until_done or scan.max_files is None:

@@ -1,6 +1,8 @@
 """Resumable loads: split run == single run, replay, refresh, compaction,
 file batches over a gzip folder and the streaming load."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,9 +107,17 @@ def test_owner_split_by_bucket(spark, lines, expected, workdir):
 
 def test_stored_rollup_matches_facts(spark, lines, workdir):
     s = BitStore(spark, workdir + "/roll")
-    load_batch(s, lines, cfg=CFG)
+    run_load(spark, s, lines=lines, scan=ScanConfig(end_date="2024-01-10"), cfg=CFG, rollup=True)
+    run_load(spark, s, lines=lines, cfg=CFG, rollup=True)      # two delta rollups
+    _check_rollup(s)
     s.write_rollup("_test")
-    s.write_rollup("_test")                      # a new version replaces the old one
+    s.write_rollup("_test")                      # a new version replaces the old one and the deltas
+    assert not os.path.exists(workdir + "/roll/rollup_delta/index=_test") or \
+        not os.listdir(workdir + "/roll/rollup_delta/index=_test")
+    _check_rollup(s)
+
+
+def _check_rollup(s):
     bx, ix = s.rollup_index("_test"), s.index("_test")
     a, b = ("ofield", "click"), ("sfield", "view")
     got = bx.count(bx.intersect(bx.row(*a), bx.row(*b))).collect()[0]["count"]
