@@ -85,8 +85,12 @@ def dense_rank_at_scale(df: DataFrame, order_col: str, group_cols=(),
     n = df.count()
     buckets = min(max_buckets, max(1, math.ceil(n / max(1, rows_per_bucket))))
     cuts = range_cut_points(df, key, n, buckets)
-    bucket = _bucket_expr(key, cuts) if cuts else F.lit(0)
-    b = df.withColumn("_bucket", bucket.cast("int"))
+    if not cuts:
+        # One range: at most rows_per_bucket values, ranked in one task per
+        # group (no offsets needed, and no join on a constant key).
+        w = Window.partitionBy(*group_cols).orderBy(order_col)
+        return df.withColumn(rank_col, (F.row_number().over(w) - 1).cast("long"))
+    b = df.withColumn("_bucket", _bucket_expr(key, cuts).cast("int"))
     rn = F.row_number().over(Window.partitionBy("_bucket", *group_cols).orderBy(order_col)) - 1
     ranked = b.withColumn("_rn", rn)
     counts = b.groupBy("_bucket", *group_cols).agg(F.count(F.lit(1)).alias("_n"))
