@@ -22,7 +22,7 @@ from bitlake.session import get_session, work_path  # noqa: E402
 from bitlake.sources.fixtures import lineitem_log_lines, write_log_files  # noqa: E402
 from bitlake.sources.logs import read_log_lines  # noqa: E402
 from bitlake.spec import IdConfig  # noqa: E402
-from bitlake.streaming.load import run_load  # noqa: E402
+from bitlake.streaming.load import run_load, stream_load  # noqa: E402
 
 
 def noop(df):
@@ -71,6 +71,11 @@ def main():
     n_bits = reps[0]["bits"]
     q["resume_noop"], _ = once(lambda: run_load(spark, store, root=root, cfg=cfg))
 
+    # the same load as Structured Streaming (micro-batches of at most 500 files)
+    sstore = BitStore(spark, work_path(spark, "bench-stream"))
+    q["stream_load"], _ = once(lambda: stream_load(spark, sstore, root, sstore.root + "/_checkpoint", cfg=cfg,
+                                                   max_files_per_trigger=500))
+
     ix = store.index("_test")
     calls = {
         "row": lambda: ix.columns(ix.row("ofield", "RF")),
