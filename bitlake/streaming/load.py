@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -166,11 +167,17 @@ def stream_load(spark: SparkSession, store: BitStore, root: str, checkpoint: str
 
     def each(df: DataFrame, epoch_id: int) -> None:
         batch_id = new_batch_id()
-        files = store.stage(inventory_of_lines(df), batch_id, "files")
-        if files.limit(1).count() == 0:
-            store.drop_staging(batch_id)
-            return
-        load_batch(store, df, index, spec, cfg, batch_id, files=files, owner_node=owner_node, keyed=keyed)
+        # The micro-batch feeds both its file list and the load: keep it
+        # (memory, spilling to disk; recomputed from the files if lost).
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            files = store.stage(inventory_of_lines(df), batch_id, "files")
+            if files.limit(1).count() == 0:
+                store.drop_staging(batch_id)
+                return
+            load_batch(store, df, index, spec, cfg, batch_id, files=files, owner_node=owner_node, keyed=keyed)
+        finally:
+            df.unpersist()
 
     w = lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if processing_time:
