@@ -38,8 +38,12 @@ def month_of(day) -> Column:
 
 
 def shard_of(col_id, width: int) -> Column:
-    """Shard of a column id."""
-    return F.expr(f"{_name(col_id)} div {int(width)}")
+    """Shard of a column id, ``col_id div width`` (exact integer)."""
+    w = int(width)
+    c = F.col(col_id) if isinstance(col_id, str) else col_id
+    if w & (w - 1) == 0:                       # power of two, e.g. the default 2^20
+        return F.shiftright(c, w.bit_length() - 1)
+    return ((c - F.pmod(c, F.lit(w))) / F.lit(w)).cast("long")
 
 
 def offset_in_shard(col_id, width: int) -> Column:
@@ -47,12 +51,6 @@ def offset_in_shard(col_id, width: int) -> Column:
     return F.pmod(F.col(col_id) if isinstance(col_id, str) else col_id, F.lit(int(width)))
 
 
-def _name(c) -> str:
-    if isinstance(c, str):
-        return f"`{c}`"
-    raise TypeError("shard_of takes a column name")
-
-
 def parse_lines(lines: DataFrame, spec: LogSpec = LogSpec()) -> DataFrame:
     """B1: split every line and take the configured positions.
 

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parse import offset_in_shard, parse_lines, reject_lines, accepted
+from ..functions.parse import accepted, offset_in_shard, parse_lines, reject_lines
+from ..functions.parse import shard_of as shard_of_id
 from ..operators import ids
 from ..operators.bitmaps import bitmap_index
 from ..operators.bits import BIT_COLS, list_elements, set_bits, time_views, unpivot_bits
@@ -180,7 +181,8 @@ def time_views_q(fx: Fixture) -> DataFrame:
 
 def shard_of(fx: Fixture) -> DataFrame:
     w = fx.cfg.shard_width
-    return fx.col_dict.select("col_val", "col_id", "shard", offset_in_shard("col_id", w).alias("offset"))
+    return fx.col_dict.select("col_val", "col_id", shard_of_id("col_id", w).alias("shard"),
+                              offset_in_shard("col_id", w).alias("offset"))
 
 
 # ---- C: joins -------------------------------------------------------------
