@@ -26,7 +26,7 @@ from ..functions.parse import parse_lines
 from ..operators.bits import set_bits, unpivot_bits
 from ..operators.ids import assign_column_ids, assign_row_ids
 from ..plans.store import BitStore, new_batch_id
-from ..sources.logs import (file_cap, file_inventory, inventory_of_lines, read_log_lines,
+from ..sources.logs import (day_folders, file_cap, file_inventory, inventory_of_lines, read_log_lines,
                             select_files, unprocessed_files)
 from ..spec import DEFAULT_INDEX, IdConfig, LogSpec, ScanConfig
 
@@ -103,25 +103,52 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
 def run_load(spark: SparkSession, store: BitStore, *, root: str | None = None, lines: DataFrame | None = None,
              index: str = DEFAULT_INDEX, scan: ScanConfig = ScanConfig(), spec: LogSpec = LogSpec(),
              cfg: IdConfig = IdConfig(), owner_node: int = 0, keyed: bool = False,
-             until_done: bool = False, rollup: bool = False) -> list[dict]:
+             until_done: bool = False, rollup: bool = False, days_per_listing: int = 31) -> list[dict]:
     """Load the files that are selected by ``scan`` and not yet marked
     for ``index`` — from a log folder ``root`` or from a line frame with
-    ``file_path`` (e.g. a view over tables).  With ``max_files`` each batch
-    takes at most that many files; ``until_done`` repeats until none is left.
+    ``file_path`` (e.g. a view over tables).  Without ``max_files`` a run
+    loads everything selected; with it each batch takes at most that many
+    files and a run is one batch, or all of them with ``until_done``.
+
+    A log folder is listed ``days_per_listing`` day folders at a time (one
+    top-level listing finds the days), so the driver never holds the file
+    list of the whole history.
     """
     if (root is None) == (lines is None):
         raise ValueError("give exactly one of root and lines")
-    # List the selected files once; later batches only subtract new marks.
+    kw = dict(index=index, scan=scan, spec=spec, cfg=cfg, owner_node=owner_node, keyed=keyed,
+              until_done=until_done, rollup=rollup)
+    if lines is not None:
+        return _load_listing(spark, store, inventory_of_lines(lines), root=None, lines=lines,
+                             start=scan.start_date, end=scan.end_date, **kw)
+    days = day_folders(spark, root, scan.start_date, scan.end_date)
+    reports = []
+    for i in range(0, len(days), max(1, days_per_listing)):
+        chunk = days[i:i + days_per_listing]
+        first, last = _day_of_folder(chunk[0]), _day_of_folder(chunk[-1])
+        reps = _load_listing(spark, store, file_inventory(spark, root, paths=chunk), root=root, lines=None,
+                             start=first, end=last, **kw)
+        reports += reps
+        if reps and not until_done and scan.max_files is not None:
+            break                                # one capped batch per run
+
+    return reports
+
+
+def _day_of_folder(path: str) -> str:
+    return path.rstrip("/").rsplit("dt=", 1)[1]
+
+
+def _load_listing(spark, store, inv, *, root, lines, start, end, index, scan, spec, cfg, owner_node, keyed,
+                  until_done, rollup) -> list[dict]:
+    """Batches over one file listing: stage it once, then each batch takes
+    up to ``max_files`` files not yet marked."""
     list_id = new_batch_id()
-    if root is not None:
-        inv = file_inventory(spark, root, start=scan.start_date, end=scan.end_date)
-    else:
-        inv = inventory_of_lines(lines)
     selected = store.stage(select_files(inv, scan), list_id, "inventory")
     reports = []
     while True:
         batch_id = new_batch_id()
-        todo = unprocessed_files(selected, store.marks(index), index, scan.start_date, scan.end_date)
+        todo = unprocessed_files(selected, store.marks(index), index, start, end)
         batch_files = store.stage(file_cap(todo, scan.max_files), batch_id, "files")
         n_files = batch_files.count()
         if n_files == 0:
@@ -134,7 +161,7 @@ def run_load(spark: SparkSession, store: BitStore, *, root: str | None = None, l
             paths = [r["file_path"] for r in batch_files.select("file_path").collect()]
             batch_lines = read_log_lines(spark, root, paths=paths)
         else:
-            src = read_log_lines(spark, root, start=scan.start_date, end=scan.end_date) if root else lines
+            src = read_log_lines(spark, root, start=start, end=end) if root else lines
             batch_lines = src.join(batch_files.select("file_path"), "file_path", "left_semi")
         rep = load_batch(store, batch_lines, index, spec, cfg, batch_id, files=batch_files,
                          owner_node=owner_node, keyed=keyed, rollup=rollup)

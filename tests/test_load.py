@@ -135,3 +135,12 @@ def test_skip_known_bits(spark, lines, expected, workdir):
     load_batch(s, lines, cfg=CFG, skip_known_bits=True)
     assert s.read("fact").count() == n
     assert rows(s.decoded_bits()) == expected
+
+
+def test_listing_in_day_chunks(spark, lines, expected, workdir):
+    root = write_log_files(lines, workdir + "/chunked-logs")
+    s = BitStore(spark, workdir + "/chunked")
+    reps = run_load(spark, s, root=root, cfg=CFG, days_per_listing=7)
+    assert len(reps) == 5                     # 30 days, 7 per listing, one batch each
+    assert rows(s.decoded_bits()) == expected
+    assert run_load(spark, s, root=root, cfg=CFG, until_done=True, days_per_listing=7) == []
