@@ -93,6 +93,9 @@ def test_file_batches_and_stream(spark, lines, expected, workdir):
     stream_load(spark, st, root, workdir + "/stream/_ckpt", cfg=CFG, max_files_per_trigger=80)
     assert rows(st.decoded_bits()) == expected
     assert st.marks("_test").count() == n_files
+    # restart on the same checkpoint: no new files, nothing loaded again
+    stream_load(spark, st, root, workdir + "/stream/_ckpt", cfg=CFG, max_files_per_trigger=80)
+    assert st.marks("_test").count() == n_files
 
 
 def test_owner_split_by_bucket(spark, lines, expected, workdir):
