@@ -154,6 +154,11 @@ def _load_listing(spark, store, inv, *, root, lines, start, end, index, scan, sp
         if n_files == 0:
             store.drop_staging(batch_id)
             break
+        # A file far above an even share of the batch's bytes per core would
+        # keep its parsing in one task (gzip cannot be split): spread lines.
+        size = batch_files.agg(F.max("file_size").alias("mx"), F.sum("file_size").alias("sum")).collect()[0]
+        par = spark.sparkContext.defaultParallelism
+        skewed = bool(size["mx"]) and size["mx"] > 2 * (size["sum"] or 0) / par and n_files > 1
         if root is not None and n_files <= MAX_LISTED_PATHS:
             # read exactly the unprocessed files: marked files are never opened.
             # (Spark's file index keeps every listed path on the driver anyway;
@@ -163,6 +168,8 @@ def _load_listing(spark, store, inv, *, root, lines, start, end, index, scan, sp
         else:
             src = read_log_lines(spark, root, start=start, end=end) if root else lines
             batch_lines = src.join(batch_files.select("file_path"), "file_path", "left_semi")
+        if skewed:
+            batch_lines = batch_lines.repartition(par)
         rep = load_batch(store, batch_lines, index, spec, cfg, batch_id, files=batch_files,
                          owner_node=owner_node, keyed=keyed, rollup=rollup)
         rep["files"] = n_files

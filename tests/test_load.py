@@ -147,3 +147,23 @@ def test_listing_in_day_chunks(spark, lines, expected, workdir):
     assert len(reps) == 5                     # 30 days, 7 per listing, one batch each
     assert rows(s.decoded_bits()) == expected
     assert run_load(spark, s, root=root, cfg=CFG, until_done=True, days_per_listing=7) == []
+
+
+def test_one_big_file_is_spread(spark, workdir):
+    import gzip
+    import os as _os
+    root = workdir + "/big"
+    rows_ = []
+    for f, n in (("dt=2024-01-01/part=0/big.gz", 3000), ("dt=2024-01-01/part=1/a.gz", 10),
+                 ("dt=2024-01-02/part=0/b.gz", 10)):
+        p = _os.path.join(root, f)
+        _os.makedirs(_os.path.dirname(p), exist_ok=True)
+        with gzip.open(p, "wt", newline="") as fh:
+            for i in range(n):
+                fh.write(f"2024-01-01 00:00:00\tu{i % 700}\tc{i % 5}\to{i % 3}\ts{i % 11},s{i % 13}\n")
+                rows_.append(i)
+    s = BitStore(spark, workdir + "/bigstore")
+    rep = run_load(spark, s, root=root, cfg=CFG)
+    assert sum(r["files"] for r in rep) == 3
+    ix = s.index("_test")
+    assert ix.count(ix.row("ofield", "o1")).collect()[0]["count"] == len({i % 700 for i in range(3000) if i % 3 == 1})
