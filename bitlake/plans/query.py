@@ -157,9 +157,24 @@ class Index:
         return Bitmap(self, reduce(lambda a, b: a.join(b, self.ccol, "left_semi"), [b.df for b in bms]))
 
     def difference(self, first: Bitmap, *others: Bitmap) -> Bitmap:
-        """First operand minus all others: one anti join against their union."""
+        """First operand minus all others: one anti join against their
+        union; leaves of one field and time window are one scan, keeping
+        columns seen with the first key and none of the others."""
         if not others:
             return first
+        leaves = [first.leaf] + [b.leaf for b in others]
+        if all(lf is not None for lf in leaves) and len({(lf[0], lf[2], lf[3]) for lf in leaves}) == 1:
+            field, key, start, end = first.leaf
+            rest = sorted({lf[1] for lf in leaves[1:]})
+            if key in rest:
+                return self._empty()
+            is_first = F.col(self.rcol) == F.lit(key)
+            fused = (self._leaf_bits(field, [key] + rest, start, end)
+                     .groupBy(self.ccol)
+                     .agg(F.max(is_first.cast("int")).alias("_a"), F.min(is_first.cast("int")).alias("_b"))
+                     .where((F.col("_a") == 1) & (F.col("_b") == 1))
+                     .select(self.ccol))
+            return Bitmap(self, fused)
         rest = reduce(lambda a, b: a.unionByName(b), [b.df for b in others])
         return Bitmap(self, first.df.join(rest, self.ccol, "left_anti"))
 

@@ -77,3 +77,15 @@ def test_codec_unknown_ids(spark, fx):
     assert decode_columns(cols, fx.col_dict, "_test", strict=False).collect()[0]["col_val"] == str(10**12)
     with pytest.raises(Exception, match="unknown column id"):
         decode_columns(cols, fx.col_dict, "_test", strict=True).collect()
+
+
+def test_fused_difference_equals_anti_join(fx):
+    for ix in (fx.value_index, fx.id_index):
+        a, b, c = ix.row("cfield", "k1"), ix.row("cfield", "k2"), ix.row("cfield", "k3")
+        want = a.df.join(b.df.unionByName(c.df), ix.ccol, "left_anti")
+        assert sorted(map(tuple, ix.difference(a, b, c).df.collect())) == sorted(map(tuple, want.collect()))
+        r1 = ix.range("ofield", "view", "2024-01-01", "2024-01-10")
+        r2 = ix.range("ofield", "click", "2024-01-01", "2024-01-10")
+        want = r1.df.join(r2.df, ix.ccol, "left_anti")
+        assert sorted(map(tuple, (r1 - r2).df.collect())) == sorted(map(tuple, want.collect()))
+        assert (a - ix.row("cfield", "k1")).df.count() == 0

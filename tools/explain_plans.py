@@ -91,7 +91,7 @@ def main():
           "rows); with one range of at most 2M values the rank is a plain `row_number`.")
     print("* **Aggregates are partial + final, so map-side combining comes before each shuffle.** TopN counts "
           "distinct (row, col) pairs first, so a hot row is spread over tasks.")
-    print("* **A same-field intersect is one scan** with `In(row_id, [...])`. Other intersects are left-semi "
+    print("* **A same-field intersect, union or difference is one scan** with `In(row_id, [...])`. Other intersects are left-semi "
           "joins between distinct operands, with no extra distinct.")
     print("* **No Python evaluation node anywhere.**\n")
     for title, df in plans.items():
