@@ -253,8 +253,15 @@ def assign_column_ids(values: DataFrame, col_dict: DataFrame, index: str,
     """
     if state is None:
         state = shard_state(_of_index(col_dict, index), cfg.shard_width)
-    lanes_open = [(r["shard"], r["next_offset"]) for r in open_shards(state, cfg).orderBy("lane").collect()]
-    base = shard_base(state, cfg).collect()[0]["base"]
+    # one bounded read: at most `lanes` open shards plus the base slot
+    opened = open_shards(state, cfg).select(F.lit(0).alias("_k"), "lane", "shard", "next_offset")
+    base_row = shard_base(state, cfg).select(F.lit(1).alias("_k"), F.lit(None).cast("int").alias("lane"),
+                                             F.col("base").alias("shard"),
+                                             F.lit(None).cast("long").alias("next_offset"))
+    got = opened.unionByName(base_row).collect()
+    lanes_open = [(r["shard"], r["next_offset"]) for r in sorted((r for r in got if r["_k"] == 0),
+                                                                 key=lambda r: r["lane"])]
+    base = [r["shard"] for r in got if r["_k"] == 1][0]
     new = new_values if new_values is not None else new_col_values(values, col_dict, index)
     ranked = dense_rank_at_scale(new, "col_val", (), cfg.rows_per_rank_bucket, cfg.max_rank_buckets)
     shard, col_id = column_id_expr(F.col("rank"), lanes_open, base, cfg)
