@@ -127,3 +127,18 @@ def test_report_lists_files_without_lines(spark, tmp_path):
     assert rep["empty.gz"]["n_lines"] == 0
     assert (rep["a.gz"]["n_lines"], rep["b.gz"]["n_rejects"], rep["b.gz"]["n_bad_time"]) == (3, 1, 1)
     assert rep["*"]["n_lines"] == 8
+
+
+def test_stream_processing_time_mode(spark, tmp_path):
+    from bitlake.streaming.load import stream_load
+    root = str(tmp_path / "pixel")
+    write(root, LINES)
+    store = BitStore(spark, str(tmp_path / "store"))
+    q = stream_load(spark, store, root, str(tmp_path / "ckpt"), processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert store.marks("_test").count() == 3
+    ix = store.index("_test")
+    assert cols(ix.columns(ix.row("ofield", "o1"))) == ["u1", "u2", "u3"]
