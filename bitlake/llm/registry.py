@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bitlake.llm import exact_dedup, mixing, secret_scan, sharding
+from bitlake.llm import exact_dedup, mixing, secret_scan, sharding, simhash, substring_dedup, suffix_array_dedup
 from bitlake.llm.common import read_table
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -22,12 +26,21 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(read_table(spark, sf_dir, "documents")))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array_dedup.suffix_array_dedup(read_table(spark, sf_dir, "documents"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_exact_dedup, op6_sharding, op7_mixing, op10_secret_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op2_substring_dedup, op5_exact_dedup, op6_sharding, op7_mixing, op8_suffix_array_dedup, op9_simhash,
+    op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
