@@ -6,14 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bitlake.llm import exact_dedup, mixing, secret_scan, sharding, simhash, substring_dedup, suffix_array_dedup
+from bitlake.llm import decontaminate, exact_dedup, mixing, quality, secret_scan, sharding, simhash, substring_dedup, suffix_array_dedup
 from bitlake.llm.common import read_table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(spark, read_table(spark, sf_dir, "documents"),
+                                       read_table(spark, sf_dir, "benchmark"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -39,7 +48,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_substring_dedup, op5_exact_dedup, op6_sharding, op7_mixing, op8_suffix_array_dedup, op9_simhash,
+    op1_quality, op2_substring_dedup, op3_decontamination, op5_exact_dedup, op6_sharding, op7_mixing, op8_suffix_array_dedup, op9_simhash,
     op10_secret_scan)}
 
 
