@@ -168,6 +168,20 @@ def taken(pieces: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
             .agg(F.coalesce(F.sum(words), F.lit(0)).cast("bigint").alias("taken")).drop("place"))
 
 
+def mix_documents(docs: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PER_SHARD,
+                  repeats: int = REPEATS, seed: int = SEED) -> DataFrame:
+    """The mix as rows of ``docs``: each as often as its taken words, rounded to
+    whole texts, say, in a hashed order in each partition."""
+    row = "__mix_row"
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    words = taken(mix(rows, shards, blocks_per_shard, repeats, seed, extra=(row,)), extra=(row,))
+    copies = (words.select(row, F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5).cast("int").alias("__mix_n"))
+              .filter("__mix_n > 0"))
+    out = rows.join(copies, row).withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_n"))))
+    return (out.sortWithinPartitions(F.xxhash64(F.lit(seed), row, "__mix_copy"))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,

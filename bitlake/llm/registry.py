@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bitlake.llm import decontaminate, exact_dedup, mixing, quality, secret_scan, sharding, simhash, substring_dedup, suffix_array_dedup
+from bitlake.llm import decontaminate, exact_dedup, html_extract, mixing, quality, secret_scan, sharding, simhash, substring_dedup, suffix_array_dedup
 from bitlake.llm.common import read_table
 
 
@@ -23,6 +23,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -48,8 +52,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_quality, op2_substring_dedup, op3_decontamination, op5_exact_dedup, op6_sharding, op7_mixing, op8_suffix_array_dedup, op9_simhash,
-    op10_secret_scan)}
+    op1_quality, op2_substring_dedup, op3_decontamination, op4_html_extraction, op5_exact_dedup, op6_sharding,
+    op7_mixing, op8_suffix_array_dedup, op9_simhash, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

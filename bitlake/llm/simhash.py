@@ -34,7 +34,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bitlake.llm.common import stage, text_or_empty
@@ -67,15 +67,13 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(starts)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)``; ``fp`` holds the 64 bits as a bigint."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+def fingerprint_of(text: Column, shingle: int = SHINGLE) -> Column:
+    """The 64 bits of a text column's fingerprints, as a bigint."""
+    @F.arrow_udf("bigint")
+    def fp(t: pa.Array) -> pa.Array:
+        return pa.array(np.fromiter((fingerprint(x.as_py(), shingle) for x in t), np.uint64, len(t)).view(np.int64))
 
-    d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.encode(text_or_empty(), "UTF-8").alias("t"))
-    return d.mapInArrow(run, "doc_id bigint, fp bigint")
+    return fp(F.encode(text, "UTF-8"))
 
 
 class BKTree:
@@ -207,16 +205,35 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarra
         yield tuple(held)
 
 
+def classes(rows: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """``(fp, root)`` of every fingerprint of ``rows``: its class."""
+    fps = stage(rows.select("fp").distinct(), "distinct-fingerprints")
+    roots = components(similar(fps, radius, shard_rows))
+    return stage(fps.join(roots, fps["fp"] == roots["node"], "left")
+                 .select("fp", F.coalesce("root", "fp").alias("root")), "classes")
+
+
 def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
                   shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``."""
-    rows = stage(fingerprints(docs, shingle), "fingerprints")
-    fps = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = components(similar(fps.select("fp"), radius, shard_rows))
-    labelled = (fps.join(roots, fps["fp"] == roots["node"], "left")
-                .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    labelled = stage(labelled, "labelled")
-    least = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    byfp = labelled.join(least, "root").select("fp", "component_id")
-    return rows.join(byfp, "fp").select(
+    rows = stage(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                             fingerprint_of(text_or_empty(), shingle).alias("fp")), "fingerprints")
+    of = classes(rows, radius, shard_rows)
+    first = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    least = first.join(of, "fp").groupBy("root").agg(F.min("first").alias("component_id"))
+    by_fp = of.join(least, "root").select("fp", "component_id")
+    return rows.join(by_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
+             shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """``docs`` with one row of each class: that of the smallest id."""
+    row, fp = "__simhash_row", "__simhash_fp"
+    held = stage(docs.withColumn(fp, fingerprint_of(text_or_empty(), shingle))
+                 .withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
+    rows = held.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(row).alias("row"), F.col(fp).alias("fp"))
+    kept = (rows.join(classes(rows, radius, shard_rows), "fp").groupBy("root")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("best"))
+            .select(F.col("best.row").alias(row)))
+    return held.join(kept, row, "left_semi").drop(row, fp)
