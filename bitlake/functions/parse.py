@@ -43,7 +43,7 @@ def shard_of(col_id, width: int) -> Column:
     c = F.col(col_id) if isinstance(col_id, str) else col_id
     if w & (w - 1) == 0:                       # power of two, e.g. the default 2^20
         return F.shiftright(c, w.bit_length() - 1)
-    return ((c - F.pmod(c, F.lit(w))) / F.lit(w)).cast("long")
+    return F.call_function("div", c, F.lit(w)).cast("long")
 
 
 def offset_in_shard(col_id, width: int) -> Column:

@@ -68,22 +68,33 @@ def bitmap_row_counts(rollup: DataFrame, field: str) -> DataFrame:
 class BitmapIndex:
     """Count / union / intersect / TopN answered from the rollup.
 
-    Leaves are ``(bucket, bitmap)`` frames; values are resolved to row ids
-    with one row of the row dictionary (as in :class:`bitlake.plans.query.Index`).
+    Leaves are ``(bucket, bitmap)`` frames; :meth:`rows` resolves the values of
+    a call to row ids with one read of the row dictionary.
     Time ranges and column lists need the facts (the rollup has no days, and
     Spark has no built-in to expand a bitmap back to positions).
     """
 
-    def __init__(self, rollup: DataFrame, row_dict: DataFrame, name: str):
+    def __init__(self, rollup: DataFrame, row_dict: DataFrame, name: str, fields: list[str] | None = None):
         self.rollup = rollup
         self.row_dict = row_dict.where(F.col("index") == F.lit(name))
+        self.fields = fields
+
+    def _check(self, field: str) -> None:
+        if self.fields is not None and field not in self.fields:
+            raise ValueError(f"field {field!r} is not in the rollup; it has {', '.join(self.fields)}")
+
+    def rows(self, *pairs: tuple[str, str]) -> list[DataFrame]:
+        """The bitmaps of several ``(field, value)``; unseen values have none."""
+        for f, _ in pairs:
+            self._check(f)
+        hits = (self.row_dict.where(F.col("field").isin(*{f for f, _ in pairs}) & F.col("row_val").isin(*{v for _, v in pairs}))
+                .select("field", "row_val", "row_id").collect())
+        ids = {(r["field"], r["row_val"]): r["row_id"] for r in hits}
+        return [row_bitmap(self.rollup, p[0], ids[p]) if p in ids
+                else self.rollup.where(F.lit(False)).select("bucket", "bitmap") for p in pairs]
 
     def row(self, field: str, value: str) -> DataFrame:
-        hit = (self.row_dict.where((F.col("field") == F.lit(field)) & (F.col("row_val") == F.lit(value)))
-               .select("row_id").limit(1).collect())
-        if not hit:
-            return self.rollup.where(F.lit(False)).select("bucket", "bitmap")
-        return row_bitmap(self.rollup, field, hit[0]["row_id"])
+        return self.rows((field, value))[0]
 
     def union(self, *ops: DataFrame) -> DataFrame:
         return or_bitmaps(*ops)
@@ -95,6 +106,7 @@ class BitmapIndex:
         return bitmap_cardinality(bm)
 
     def topn(self, field: str, n: int | None = None) -> DataFrame:
+        self._check(field)
         d = self.row_dict.where(F.col("field") == F.lit(field)).select("row_id", "row_val")
         out = (bitmap_row_counts(self.rollup, field).join(d, "row_id", "left")
                .select(F.coalesce("row_val", F.lit("")).alias("Key"), "Count")

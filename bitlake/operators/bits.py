@@ -45,6 +45,38 @@ def unpivot_bits(parsed: DataFrame, spec: LogSpec = LogSpec(), keep=()) -> DataF
             .select("_b.field", "_b.row_val", "col_val", "day", *keep))
 
 
+def load_rows(parsed: DataFrame, spec: LogSpec = LogSpec()) -> DataFrame:
+    """What a load needs of the lines, from one pass over the files: the bits
+    (E1: once each), the rejected lines and per file the number of lines by kind.
+
+    ``(field, row_val, col_val, day, part, n_pos, n)``; the field of a rejected
+    line is ``#reject`` (file, line, day of the folder) and of a line count
+    ``#line`` (file, kind, day of the folder), names no attribute can have."""
+    def col(name, kind):
+        return F.col(name) if name in parsed.columns else F.lit(None).cast(kind)
+
+    def row(field, row_val, col_val, day, part=None, n_pos=None):
+        return F.struct(field.alias("field"), row_val.alias("row_val"), col_val.alias("col_val"), day.alias("day"),
+                        (F.lit(None) if part is None else part).cast("int").alias("part"),
+                        (F.lit(None) if n_pos is None else n_pos).cast("int").alias("n_pos"))
+
+    file, dt, part = col("file_path", "string"), col("dt", "date"), col("part", "int")
+    short = F.col("n_pos") < F.lit(spec.min_positions)
+    kind = F.when(short, "reject").when(F.col("ts").isNull(), "bad_time").otherwise("ok")
+    parts = [F.array(*[row(F.lit(n), F.col(n), F.col("idfield"), F.col("day")) for n, _ in spec.scalar_fields])]
+    for n, _ in spec.list_fields:
+        parts.append(F.transform(list_elements(f"{n}_list", spec.list_sep), _element_row(n, row)))
+    bits = F.concat(*parts)
+    rejects = F.array(row(F.lit("#reject"), file, F.col("value"), dt, part, F.col("n_pos")))
+    lines = F.array(row(F.lit("#line"), file, kind, dt, part))
+    out = parsed.select(F.explode(F.concat(lines, F.when(short, rejects).otherwise(bits))).alias("_r")).select("_r.*")
+    return out.groupBy(*out.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _element_row(field, row):
+    return lambda x: row(F.lit(field), x, F.col("idfield"), F.col("day"))
+
+
 def set_bits(bits: DataFrame) -> DataFrame:
     """Repeated bits collapse (NULL days compare equal here).
 

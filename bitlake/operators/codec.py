@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 # column of the stored dictionary), so decoding a small answer reads only
 # the groups it touches (dynamic partition pruning).
 ID_GROUP_BITS = 26
+# The copy of the column dictionary for lookup by value has so many groups.
+VALUE_GROUPS = 64
 
 
 def id_group(col_id) -> "F.Column":
@@ -22,6 +24,10 @@ def id_group(col_id) -> "F.Column":
     return F.shiftright(c, ID_GROUP_BITS)
 
 
+def value_group(col_val) -> "F.Column":
+    return F.pmod(F.xxhash64(col_val), F.lit(VALUE_GROUPS)).cast("int")
+
+
 def _of_index(d: DataFrame, index: str | None) -> DataFrame:
     return d.where(F.col("index") == F.lit(index)) if index is not None else d
 
@@ -48,17 +54,19 @@ def decode_rows(df: DataFrame, row_dict: DataFrame, index: str | None = None) ->
 def decode_columns(df: DataFrame, col_dict: DataFrame, index: str | None = None,
                    strict: bool = True) -> DataFrame:
     """col_id -> col_val.  ``strict``: an unknown id fails the job;
-    otherwise the id itself is returned as text."""
-    if "id_group" in col_dict.columns:
-        d = _of_index(col_dict, index).select("id_group", "col_id", "col_val")
-        j = df.withColumn("id_group", id_group("col_id")).join(d, ["id_group", "col_id"], "left").drop("id_group")
-    else:
-        d = _of_index(col_dict, index).select("col_id", "col_val")
-        j = df.join(d, "col_id", "left")
+    otherwise the id itself is returned as text.
+
+    Hits are an inner join, so that a small answer prunes the dictionary's id
+    groups while the query runs (an outer join never does); ids without a hit
+    are found against the hits, not against the dictionary."""
+    d = _of_index(col_dict, index)
+    key = ["id_group", "col_id"] if "id_group" in col_dict.columns else ["col_id"]
+    d = d.select(*key, "col_val")
+    asked = df.withColumn("id_group", id_group("col_id")) if len(key) > 1 else df
+    hits = asked.join(d, key)
+    missing = asked.join(hits.select("col_id"), "col_id", "left_anti")
+    text = F.col("col_id").cast("string")
     if strict:
-        v = F.when(F.col("col_val").isNull(),
-                   F.raise_error(F.concat(F.lit("unknown column id "), F.col("col_id").cast("string"))
-                                 ).cast("string")).otherwise(F.col("col_val"))
-    else:
-        v = F.coalesce(F.col("col_val"), F.col("col_id").cast("string"))
-    return j.withColumn("col_val", v)
+        text = F.raise_error(F.concat(F.lit("unknown column id "), text)).cast("string")
+    out = [*df.columns, "col_val"]
+    return hits.select(*out).unionByName(missing.withColumn("col_val", text).select(*out))

@@ -9,10 +9,9 @@ used one.  In both, new values of one batch get ids in byte order of the
 value, so ids are deterministic and a retried batch gets the same ids.
 
 The rank over all new values is the scalable part: a global ``row_number``
-would put every new value into one task.  Instead values are cut into
-ranges by sampled cut points (a pure function of the value, hence
-retry-safe), ranked inside each range, and shifted by the sizes of the
-ranges before them.
+would put every new value into one task.  Instead values are range-partitioned
+by Spark, ranked inside each range, and shifted by the sizes of the ranges
+before them.
 """
 
 from __future__ import annotations
@@ -22,83 +21,37 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from ..spec import IdConfig
 
 ROW_DICT_COLS = ["index", "field", "row_id", "row_val"]
 COL_DICT_COLS = ["index", "col_id", "shard", "col_val"]
 
-_SAMPLES_PER_BUCKET = 32
 
-
-def _less_than(cols: list[str], vals: tuple) -> Column:
-    """Lexicographic ``(cols) < (vals)`` for non-null keys."""
-    c, v = F.col(cols[0]), F.lit(vals[0])
-    if len(cols) == 1:
-        return c < v
-    return (c < v) | ((c == v) & _less_than(cols[1:], vals[1:]))
-
-
-def _bucket_expr(cols: list[str], cuts: list[tuple]) -> Column:
-    """Number of cut points <= key, by binary search: log2(#cuts) compares."""
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_less_than(cols, cuts[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
-    return search(0, len(cuts))
-
-
-def range_cut_points(df: DataFrame, cols: list[str], n: int, buckets: int,
-                     seed: int = 20180701) -> list[tuple]:
-    """Up to ``buckets - 1`` cut points splitting ``cols`` into even ranges.
-
-    The only collect in the id path: a sample of about 32 keys per bucket,
-    bounded by ``buckets`` (itself capped by the caller).
-    """
-    if buckets <= 1 or n <= 0:
-        return []
-    frac = min(1.0, buckets * _SAMPLES_PER_BUCKET / n)
-    sample = [tuple(r) for r in df.select(*cols).sample(False, frac, seed).orderBy(*cols).collect()]
-    if not sample:
-        return []
-    cuts = []
-    for i in range(1, buckets):
-        t = sample[min(len(sample) - 1, (i * len(sample)) // buckets)]
-        if not cuts or t > cuts[-1]:
-            cuts.append(t)
-    return cuts
-
-
-def dense_rank_at_scale(df: DataFrame, order_col: str, group_cols=(),
-                        rows_per_bucket: int = 2_000_000, max_buckets: int = 4096,
+def dense_rank_at_scale(df: DataFrame, order_col: str, group_cols=(), rows_per_bucket: int = 50_000,
                         rank_col: str = "rank") -> DataFrame:
     """0-based rank of ``order_col`` within ``group_cols`` (byte order).
 
     ``df`` must be distinct on ``group_cols + [order_col]`` and should be a
-    materialised table (it is read by a count, a sample and the rank).
-    Work is spread over ``ceil(n / rows_per_bucket)`` range buckets; only
-    the per-bucket counts (one row per bucket and group) are combined in a
-    single task.
+    materialised table.  Spark range-partitions the values into
+    ``ceil(n / rows_per_bucket)`` buckets (any number of them); the bucket of
+    every value is then checkpointed, so a retried task meets the same buckets.
+    Values are ranked inside their bucket, and a bucket is shifted by the sizes
+    of those before it (one row per bucket and group).
     """
     group_cols = list(group_cols)
     key = group_cols + [order_col]
-    n = df.count()
-    buckets = min(max_buckets, max(1, math.ceil(n / max(1, rows_per_bucket))))
-    cuts = range_cut_points(df, key, n, buckets)
-    if not cuts:
-        # One range: at most rows_per_bucket values, ranked in one task per
-        # group (no offsets needed, and no join on a constant key).
-        w = Window.partitionBy(*group_cols).orderBy(order_col)
-        return df.withColumn(rank_col, (F.row_number().over(w) - 1).cast("long"))
-    b = df.withColumn("_bucket", _bucket_expr(key, cuts).cast("int"))
-    rn = F.row_number().over(Window.partitionBy("_bucket", *group_cols).orderBy(order_col)) - 1
-    ranked = b.withColumn("_rn", rn)
+    buckets = max(1, math.ceil(df.count() / max(1, rows_per_bucket)))
+    checkpoint_dir(df.sparkSession)
+    b = (df.repartitionByRange(buckets, *key)
+         .withColumn("_bucket", F.spark_partition_id()).checkpoint())
+    inside = Window.partitionBy("_bucket", *group_cols).orderBy(order_col)
+    ranked = b.withColumn("_rn", F.row_number().over(inside) - 1)
     counts = b.groupBy("_bucket", *group_cols).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket", *group_cols,
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # offsets has at most (#buckets + #groups) rows: bounded by max_buckets.
-    return (ranked.join(F.broadcast(offsets), ["_bucket", *group_cols])
+    return (ranked.join(offsets, ["_bucket", *group_cols])
             .withColumn(rank_col, (F.col("_off") + F.col("_rn")).cast("long"))
             .drop("_bucket", "_rn", "_off"))
 
@@ -129,7 +82,7 @@ def assign_row_ids(values: DataFrame, row_dict: DataFrame, index: str,
     Pass ``new_values`` when the caller already materialised them.
     """
     new = new_values if new_values is not None else new_row_values(values, row_dict, index)
-    ranked = dense_rank_at_scale(new, "row_val", ["field"], cfg.rows_per_rank_bucket, cfg.max_rank_buckets)
+    ranked = dense_rank_at_scale(new, "row_val", ["field"], cfg.rows_per_rank_bucket)
     nxt = next_row_id(row_dict, index).select("field", "next_id")
     return (ranked.join(nxt, "field", "left")
             .select(F.lit(index).alias("index"), "field",
@@ -152,6 +105,27 @@ def dict_integrity(d: DataFrame, kind: str = "row") -> DataFrame:
     return out
 
 
+def check_row_entries(entries: DataFrame, row_dict: DataFrame, index: str) -> None:
+    """D7 before a commit: raise unless the new row entries keep both unique
+    keys.  New ids start at the next free id, so they cannot meet old ones."""
+    low = (entries.join(next_row_id(row_dict, index).select("field", "next_id"), "field")
+           .where(F.col("row_id") < F.col("next_id")).agg(F.count(F.lit(1)).alias("n")))
+    _raise_if_any(dict_integrity(entries, "row").agg(F.sum("violations").alias("n")).unionByName(low), "row")
+
+
+def check_col_entries(entries: DataFrame, state: DataFrame) -> None:
+    """D7 before a commit, for column entries and the shard state they started from."""
+    low = (entries.join(state.select("shard", "last_id"), "shard")
+           .where(F.col("col_id") <= F.col("last_id")).agg(F.count(F.lit(1)).alias("n")))
+    _raise_if_any(dict_integrity(entries, "col").agg(F.sum("violations").alias("n")).unionByName(low), "column")
+
+
+def _raise_if_any(counts: DataFrame, what: str) -> None:
+    n = counts.agg(F.sum("n")).first()[0] or 0
+    if n:
+        raise RuntimeError(f"{n} {what} dictionary entries would break a unique key; nothing was committed")
+
+
 # ---- column dictionary (D3-D6, D8) ----------------------------------------
 
 def shard_state(col_dict: DataFrame, shard_width: int, index: str | None = None) -> DataFrame:
@@ -210,9 +184,8 @@ def new_col_values(values: DataFrame, col_dict: DataFrame, index: str) -> DataFr
 
 
 def _idiv(c: Column, n: int) -> Column:
-    """Integer ``c div n`` for c >= 0 (the quotient is exact in double for
-    ranks and offsets, which stay far below 2^53)."""
-    return ((c - F.pmod(c, F.lit(int(n)))) / F.lit(int(n))).cast("long")
+    """Integer ``c div n``, exact for any bigint."""
+    return F.call_function("div", c, F.lit(int(n))).cast("long")
 
 
 def column_id_expr(rank: Column, lanes_open: list[tuple[int, int]], base: int, cfg: IdConfig):
@@ -226,11 +199,12 @@ def column_id_expr(rank: Column, lanes_open: list[tuple[int, int]], base: int, c
     L, W, N, o = cfg.lanes, cfg.shard_width, cfg.n_owners, cfg.owner
     lane = F.pmod(rank, F.lit(L))
     q = _idiv(rank, L)
-    open_shard = F.lit(None).cast("long")
-    next_off = F.lit(0).cast("long")
-    for i, (shard, off) in enumerate(lanes_open):
-        open_shard = F.when(lane == i, F.lit(int(shard))).otherwise(open_shard)
-        next_off = F.when(lane == i, F.lit(int(off))).otherwise(next_off)
+    # Lane i is the i-th open shard: one array literal each, whatever the number.
+    def of_lane(values):
+        return F.get(F.array(*[F.lit(int(v)).cast("long") for v in values]).cast("array<bigint>"), lane.cast("int"))
+
+    open_shard = of_lane([s for s, _ in lanes_open])
+    next_off = F.coalesce(of_lane([n for _, n in lanes_open]), F.lit(0).cast("long"))
     p = q + next_off
     k = _idiv(p, W)
     is_open = open_shard.isNotNull()
@@ -263,7 +237,7 @@ def assign_column_ids(values: DataFrame, col_dict: DataFrame, index: str,
                                                                  key=lambda r: r["lane"])]
     base = [r["shard"] for r in got if r["_k"] == 1][0]
     new = new_values if new_values is not None else new_col_values(values, col_dict, index)
-    ranked = dense_rank_at_scale(new, "col_val", (), cfg.rows_per_rank_bucket, cfg.max_rank_buckets)
+    ranked = dense_rank_at_scale(new, "col_val", (), cfg.rows_per_rank_bucket)
     shard, col_id = column_id_expr(F.col("rank"), lanes_open, base, cfg)
     return ranked.select(F.lit(index).alias("index"), col_id.alias("col_id"),
                          shard.alias("shard"), "col_val")

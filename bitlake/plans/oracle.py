@@ -225,6 +225,16 @@ _BODIES = {
     "resume_ingest": "SELECT * FROM bits",
     "resume_topn": _topn("sfield", 10),
     "stream_ingest": "SELECT * FROM bits",
+    "resume_ingest_files": "SELECT * FROM bits",
+    "load_rejects": ("SELECT value, 'positions=' || CAST(n_pos AS VARCHAR) || ' < 5' AS reason, dt, part, file_path, "
+                     "count(*) AS n FROM parsed WHERE n_pos < 5 GROUP BY ALL"),
+    "load_report": """
+        SELECT dt, part, file_path, CAST(max(file_size) AS BIGINT) AS file_size, count(*) AS n_lines,
+               CAST(sum(CASE WHEN n_pos < 5 THEN 1 ELSE 0 END) AS BIGINT) AS n_rejects,
+               CAST(sum(CASE WHEN n_pos >= 5 AND ts IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_time
+        FROM parsed GROUP BY dt, part, file_path""",
+    "stream_after_resume": ("SELECT dt AS day, part AS bucket, CAST(0 AS BIGINT) AS marked_twice, count(*) AS n_lines "
+                            "FROM parsed GROUP BY dt, part"),
 }
 
 

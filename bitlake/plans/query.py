@@ -10,9 +10,9 @@ two spaces:
 
 A :class:`Bitmap` is a lazily built one-column, distinct DataFrame of
 columns.  Nothing is collected: every answer is a DataFrame, so nesting and
-batches are one Catalyst plan each.  The only driver read is the id of the
-value named in ``row``/``range`` (one row of the row dictionary), turned into
-a literal so that the fact scan can use parquet statistics on ``row_id``.
+batches are one Catalyst plan each.  The only driver read is the ids of the
+values that a call names (one read of the row dictionary for all its leaves),
+turned into literals so that the fact scan can use parquet statistics on ``row_id``.
 """
 
 from __future__ import annotations
@@ -32,20 +32,26 @@ def _day(x) -> _dt.date:
         return x.date()
     if isinstance(x, _dt.date):
         return x
-    s = str(x).strip()
-    return _dt.date.fromisoformat(s[:10])
+    return _dt.datetime.fromisoformat(str(x).strip()).date()  # the whole text, or ValueError
 
 
 class Bitmap:
     """A set of columns (distinct, one column).  A leaf (``row``/``range``)
-    remembers ``(field, key, start, end)`` so that set operations over leaves
-    of one field can be answered by one fact scan."""
+    only remembers ``(field, value, start, end)``: its row id is looked up when
+    a call needs it, together with those of the call's other leaves, and set
+    operations over leaves of one field can be answered by one fact scan."""
 
-    def __init__(self, index: "Index", df: DataFrame, leaf: tuple | None = None):
+    def __init__(self, index: "Index", df: DataFrame | None = None, leaf: tuple | None = None):
         self.index = index
-        self.df = df
+        self._df = df
         self.leaf = leaf
 
+    @property
+    def df(self) -> DataFrame:
+        if self._df is None:
+            self._df = self.index._leaf_columns(self.leaf)
+        return self._df
+
     def __or__(self, other: "Bitmap") -> "Bitmap":
         return self.index.union(self, other)
 
@@ -70,7 +76,10 @@ class Index:
         self.id_space = "row_id" in facts.columns
         self.rcol = "row_id" if self.id_space else "row_val"
         self.ccol = "col_id" if self.id_space else "col_val"
-        self.facts = facts.select("field", self.rcol, self.ccol, "day")
+        # Stored facts are partitioned by month; a range filters it, too.
+        self.months = "month" in facts.columns
+        self.facts = facts.select("field", self.rcol, self.ccol, "day", *(["month"] if self.months else []))
+        self._ids: dict = {}
         if self.id_space:
             if row_dict is None or col_dict is None:
                 raise ValueError("an id-space index needs both dictionaries")
@@ -79,18 +88,21 @@ class Index:
 
     # ---- leaves -----------------------------------------------------------
 
-    def _key(self, field: str, value: str):
-        """Row key of ``field = value``: the value itself, or its row id
-        (one row of the row dictionary, read as a literal so the fact scan
-        can use parquet statistics).  None when the value was never seen."""
-        self.spec.check_field(field)
-        if not isinstance(value, str):
-            raise TypeError(f"row value must be a string, got {type(value).__name__}")
+    def _resolve(self, leaves) -> dict:
+        """Row key of every ``(field, value)`` of ``leaves``: the value itself,
+        or its row id; values that were never seen have none.  One read of the
+        row dictionary for all that are not known yet."""
+        pairs = {(lf[0], lf[1]) for lf in leaves}
         if not self.id_space:
-            return value
-        hit = (self.row_dict.where((F.col("field") == F.lit(field)) & (F.col("row_val") == F.lit(value)))
-               .select("row_id").limit(1).collect())
-        return int(hit[0]["row_id"]) if hit else None  # unseen: empty answer, nothing is created
+            return {p: p[1] for p in pairs}
+        new = pairs - self._ids.keys()
+        if new:
+            fields, values = sorted({f for f, _ in new}), sorted({v for _, v in new})
+            hits = (self.row_dict.where(F.col("field").isin(*fields) & F.col("row_val").isin(*values))
+                    .select("field", "row_val", "row_id").collect())
+            got = {(r["field"], r["row_val"]): int(r["row_id"]) for r in hits}
+            self._ids |= {p: got.get(p) for p in new}
+        return {p: self._ids[p] for p in pairs if self._ids[p] is not None}
 
     def _empty(self) -> Bitmap:
         return Bitmap(self, self.facts.where(F.lit(False)).select(self.ccol))
@@ -99,14 +111,27 @@ class Index:
         f = self.facts.where((F.col("field") == F.lit(field)) & F.col(self.rcol).isin(*keys))
         if start is not None:
             f = f.where((F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(end)))
+            if self.months:
+                f = f.where(F.col("month").between(start.year * 100 + start.month, end.year * 100 + end.month))
         return f
 
+    def _leaf_columns(self, leaf: tuple) -> DataFrame:
+        field, value, start, end = leaf
+        keys = list(self._resolve([leaf]).values())
+        if not keys:
+            return self._empty().df  # unseen: empty answer, nothing is created
+        return self._leaf_bits(field, keys, start, end).select(self.ccol).distinct()
+
     def _leaf(self, field: str, value: str, start=None, end=None) -> Bitmap:
-        key = self._key(field, value)
-        if key is None:
-            return self._empty()
-        leaf = (field, key, start, end)
-        return Bitmap(self, self._leaf_bits(field, [key], start, end).select(self.ccol).distinct(), leaf)
+        self.spec.check_field(field)
+        if not isinstance(value, str):
+            raise TypeError(f"row value must be a string, got {type(value).__name__}")
+        return Bitmap(self, leaf=(field, value, start, end))
+
+    def _resolve_all(self, bms) -> None:
+        leaves = [b.leaf for b in bms if b.leaf is not None]
+        if leaves:
+            self._resolve(leaves)
 
     def row(self, field: str, value: str) -> Bitmap:
         """G1: columns with ``field = value`` on any day (or no day)."""
@@ -124,16 +149,19 @@ class Index:
         of one field and time window share one scan (``row IN (...)``)."""
         if not bms:
             return self._empty()
+        self._resolve_all(bms)
         groups: dict = {}
         parts = []
         for b in bms:
             if b.leaf is None:
                 parts.append(b.df)
             else:
-                field, key, start, end = b.leaf
-                groups.setdefault((field, start, end), set()).add(key)
+                for key in self._resolve([b.leaf]).values():
+                    groups.setdefault((b.leaf[0], b.leaf[2], b.leaf[3]), set()).add(key)
         for (field, start, end), keys in groups.items():
             parts.append(self._leaf_bits(field, sorted(keys), start, end).select(self.ccol))
+        if not parts:
+            return self._empty()
         return Bitmap(self, reduce(lambda a, b: a.unionByName(b), parts).distinct())
 
     def intersect(self, *bms: Bitmap) -> Bitmap:
@@ -142,11 +170,15 @@ class Index:
         a left-semi chain."""
         if not bms:
             return self._empty()
+        self._resolve_all(bms)
         leaves = [b.leaf for b in bms]
         if len(bms) > 1 and all(lf is not None for lf in leaves) and \
                 len({(lf[0], lf[2], lf[3]) for lf in leaves}) == 1:
             field, _, start, end = leaves[0]
-            keys = sorted({lf[1] for lf in leaves})
+            known = self._resolve(leaves)
+            if len(known) < len({lf[1] for lf in leaves}):
+                return self._empty()
+            keys = sorted(known.values())
             pairs = self._leaf_bits(field, keys, start, end).select(self.rcol, self.ccol).distinct()
             fused = (pairs.groupBy(self.ccol).agg(F.count(F.lit(1)).alias("_k"))
                      .where(F.col("_k") == F.lit(len(keys))).select(self.ccol))
@@ -162,11 +194,14 @@ class Index:
         columns seen with the first key and none of the others."""
         if not others:
             return first
+        self._resolve_all([first, *others])
         leaves = [first.leaf] + [b.leaf for b in others]
         if all(lf is not None for lf in leaves) and len({(lf[0], lf[2], lf[3]) for lf in leaves}) == 1:
-            field, key, start, end = first.leaf
-            rest = sorted({lf[1] for lf in leaves[1:]})
-            if key in rest:
+            field, value, start, end = first.leaf
+            known = self._resolve(leaves)
+            key = known.get((field, value))
+            rest = sorted({known[lf[:2]] for lf in leaves[1:] if lf[:2] in known})
+            if key is None or key in rest:
                 return self._empty()
             is_first = F.col(self.rcol) == F.lit(key)
             fused = (self._leaf_bits(field, [key] + rest, start, end)

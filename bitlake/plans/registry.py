@@ -27,6 +27,7 @@ from ..sources.logs import (file_cap, inventory_of_lines, scan_bucket_range, sca
                             scan_owned_buckets, unprocessed_files)
 from ..spec import DEFAULT_INDEX, IdConfig, LogSpec, ScanConfig
 from .query import Index, batch_calls
+from .store import BitStore
 
 # Fixed parameters of the test queries.
 INDEX = DEFAULT_INDEX
@@ -281,7 +282,7 @@ def _bitmap_index(fx: Fixture):
 def bitmap_count_q(fx: Fixture) -> DataFrame:
     """count(intersect / union of row(ofield=click), row(sfield=view)) over the rollup."""
     bx = _bitmap_index(fx)
-    a, b = bx.row("ofield", "click"), bx.row("sfield", "view")
+    a, b = bx.rows(("ofield", "click"), ("sfield", "view"))
     return (bx.count(bx.intersect(a, b)).select(F.lit("intersect").alias("kind"), "count")
             .unionByName(bx.count(bx.union(a, b)).select(F.lit("union").alias("kind"), "count")))
 
@@ -307,7 +308,6 @@ def loaded_store(fx: Fixture) -> "BitStore":
     files up to SPLIT_DAY, run 2 (owner 1) everything not yet marked."""
     from ..session import work_path
     from ..streaming.load import run_load
-    from .store import BitStore
 
     def build():
         store = BitStore(fx.spark, work_path(fx.spark, "store"))
@@ -329,6 +329,75 @@ def log_folder(fx: Fixture) -> str:
     return _cached(fx, "logs", lambda: write_log_files(fx.lines, work_path(fx.spark, "logs")))
 
 
+_ODD_NAMES = ("a[1]", "x{1}", "s*t", "q?", "b c", "p%20+q", "back\\slash", "plain")
+
+
+def odd_log_folder(fx: Fixture) -> str:
+    """A real log folder whose file names have pattern characters, spaces and
+    percent signs."""
+    from ..session import _fs, work_path
+    from ..sources.fixtures import write_log_files
+
+    def build():
+        root = write_log_files(fx.lines, work_path(fx.spark, "odd-logs"))
+        fs, p = _fs(fx.spark, root)
+        path = fx.spark._jvm.org.apache.hadoop.fs.Path
+        it, files = fs.listFiles(p, True), []
+        while it.hasNext():
+            f = it.next().getPath()
+            if f.getName().startswith("part-"):
+                files.append(f)
+        for i, f in enumerate(files):
+            fs.rename(f, path(f.getParent(), f"{_ODD_NAMES[i % len(_ODD_NAMES)]}{i // len(_ODD_NAMES)}.txt.gz"))
+        return root
+    return _cached(fx, "odd-logs", build)
+
+
+def resume_ingest_files(fx: Fixture) -> DataFrame:
+    """S1 over a real folder, in two runs: first 37 files, then the rest."""
+    from ..session import work_path
+    from ..streaming.load import run_load
+
+    def build():
+        store = BitStore(fx.spark, work_path(fx.spark, "file-store"))
+        run_load(fx.spark, store, root=odd_log_folder(fx), index=fx.index, scan=ScanConfig(max_files=37),
+                 spec=fx.spec, cfg=fx.cfg, days_per_listing=3)
+        run_load(fx.spark, store, root=odd_log_folder(fx), index=fx.index, spec=fx.spec, cfg=fx.cfg, files_per_batch=150)
+        return store.root
+    return BitStore(fx.spark, _cached(fx, "files", build)).decoded_bits(fx.index)
+
+
+def load_rejects(fx: Fixture) -> DataFrame:
+    """B3 as the loads stored it."""
+    return loaded_store(fx).rejects(fx.index).select(
+        "value", "reason", "dt", "part", "file_path", "n")
+
+
+def load_report(fx: Fixture) -> DataFrame:
+    """A15 as the loads stored it."""
+    return loaded_store(fx).load_report(fx.index).drop("batch_id")
+
+
+def stream_after_resume(fx: Fixture) -> DataFrame:
+    """S2 after S1 took the files up to SPLIT_DAY: raw fact and mark counts
+    show that no file was loaded twice."""
+    from ..session import work_path
+    from ..streaming.load import run_load, stream_load
+
+    def build():
+        store = BitStore(fx.spark, work_path(fx.spark, "mixed"))
+        root = log_folder(fx)
+        run_load(fx.spark, store, root=root, index=fx.index, scan=ScanConfig(end_date=SPLIT_DAY), spec=fx.spec, cfg=fx.cfg)
+        stream_load(fx.spark, store, root, store.root + "/_checkpoint", index=fx.index, spec=fx.spec, cfg=fx.cfg)
+        return store.root
+    st = BitStore(fx.spark, _cached(fx, "mixed", build))
+    return (st.marks(fx.index).groupBy("day", "bucket").agg(F.count(F.lit(1)).alias("marks"),
+                                                           F.countDistinct("file").alias("files"))
+            .select("day", "bucket", (F.col("marks") - F.col("files")).alias("marked_twice"))
+            .join(st.load_report(fx.index).groupBy(F.col("dt").alias("day"), F.col("part").alias("bucket"))
+                  .agg(F.sum("n_lines").alias("n_lines")), ["day", "bucket"]))
+
+
 def log_files_scan(fx: Fixture) -> DataFrame:
     from ..sources.logs import read_log_lines
     return read_log_lines(fx.spark, log_folder(fx)).select("dt", "part", "value")
@@ -344,7 +413,6 @@ def marked_files(fx: Fixture) -> DataFrame:
 
 def refresh_marks(fx: Fixture) -> DataFrame:
     from ..session import work_path
-    from .store import BitStore
     store = BitStore(fx.spark, work_path(fx.spark, "marks"))
     inv = inventory_of_lines(fx.lines)
     first = F.col("dt") <= F.lit(SPLIT_DAY)
@@ -358,7 +426,6 @@ def refresh_marks(fx: Fixture) -> DataFrame:
 def refresh_index(fx: Fixture) -> DataFrame:
     from ..session import work_path
     from ..streaming.load import load_batch
-    from .store import BitStore
     store = BitStore(fx.spark, work_path(fx.spark, "refresh"))
     load_batch(store, fx.lines, fx.index, fx.spec, fx.cfg)
     before = {t: store.read(t).where(F.col("index") == fx.index).count() for t in ("fact", "row_dict", "col_dict")}
@@ -398,15 +465,13 @@ def resume_topn(fx: Fixture) -> DataFrame:
 def stream_ingest(fx: Fixture) -> DataFrame:
     from ..session import work_path
     from ..streaming.load import stream_load
-    from .store import BitStore
 
     def build():
         store = BitStore(fx.spark, work_path(fx.spark, "stream"))
         stream_load(fx.spark, store, log_folder(fx), store.root + "/_checkpoint", index=fx.index,
                     spec=fx.spec, cfg=fx.cfg, max_files_per_trigger=60)
         return store.root
-    from .store import BitStore as _B
-    return _B(fx.spark, _cached(fx, "stream", build)).decoded_bits(fx.index)
+    return BitStore(fx.spark, _cached(fx, "stream", build)).decoded_bits(fx.index)
 
 
 def _value_call(name):
@@ -468,6 +533,10 @@ QUERIES = {
     "resume_ingest": resume_ingest,
     "resume_topn": resume_topn,
     "stream_ingest": stream_ingest,
+    "resume_ingest_files": resume_ingest_files,
+    "load_rejects": load_rejects,
+    "load_report": load_report,
+    "stream_after_resume": stream_after_resume,
 }
 for _n in ("row", "range", "union", "intersect", "difference", "nested", "count_bitmap", "topn",
            "topn_filtered", "batch_calls"):

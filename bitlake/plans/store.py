@@ -1,39 +1,48 @@
 """Persistent tables of an index and the commit protocol.
 
-Layout below ``root`` (any Hadoop file system; parquet, append-only)::
-
-    row_dict/index=<i>/batch_id=<b>/       field, row_id, row_val
-    col_dict/index=<i>/id_group=<g>/batch_id=<b>/  col_id, shard, col_val (g = col_id >> 26)
-    shard_log/index=<i>/batch_id=<b>/      shard, last_id, ids_used (per batch)
-    fact/index=<i>/field=<f>/batch_id=<b>/ shard, row_id, col_id, day
-    bit/index=<i>/field=<f>/batch_id=<b>/  row_val, col_val, day      (keyed sink)
+Layout below ``root`` (any Hadoop file system; parquet).  Every batch writes
+folders of its own, so jobs that commit at the same time share no output folder::
+
+    row_dict/index=<i>/batch_id=<b>/field=<f>/    row_id, row_val (sorted by value)
+    col_dict/index=<i>/batch_id=<b>/id_group=<g>/ col_id, shard, col_val (g = col_id >> 26; for decoding)
+    col_lookup/index=<i>/batch_id=<b>/val_group=<h>/  the same entries by hash of the value (for encoding)
+    shard_log/index=<i>/batch_id=<b>/             shard, last_id, ids_used
+    fact/index=<i>/batch_id=<b>/field=<f>/month=<m>/  shard, row_id, col_id, day (m = yyyyMM of the day)
+    bit/index=<i>/batch_id=<b>/field=<f>/         row_val, col_val, day      (keyed sink)
     marks/index=<i>/owner_node=<n>/batch_id=<b>/  day, bucket, file
-    _staging/batch_id=<b>/<name>/          written intermediates of one batch
-
-Commit order of one batch: row dictionary, shard log, column dictionary,
-then facts, then marks.  The shard log is written before the column ids it
-describes, so it always covers the dictionary: shard state is read from this
-small table instead of a scan of the whole column dictionary.  Every
-committed fact is a true bit with durable ids, so a crash needs no rollback:
-unmarked files are read again, their values find the ids already stored and
-repeated bits collapse because every read of the facts is distinct.
-Refreshes drop whole partition folders, never read-and-overwrite one path.
+    reject/index=<i>/batch_id=<b>/                value, reason, dt, part, file_path, n
+    load_report/index=<i>/batch_id=<b>/           a row per file: size, lines, rejects, bad times
+    _staging/batch_id=<b>/<name>/                 written intermediates of one batch
+    _writer/index=<i>                             who is giving out ids just now
+
+Commit order of one batch: row dictionary, shard log, column lookup, column
+dictionary, then facts, rejects and report, then marks.  The shard log is
+written before the column ids it describes, so it always covers the
+dictionary: shard state is read from this small table instead of a scan of the
+whole column dictionary.  Every committed fact is a true bit with durable ids,
+so a crash needs no rollback: unmarked files are read again, their values find
+the ids already stored and repeated bits collapse because every read of the
+facts is distinct.  Ids are given out by one job at a time (:meth:`BitStore.writer`);
+everything else of several jobs' batches runs side by side.
 """
 
 from __future__ import annotations
 
+import contextlib
+import json
+import re
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import delete_path, path_exists, touch
-
-DONE = "_bitlake_done"  # our own commit marker (Spark's _SUCCESS can be switched off)
+from ..session import delete_path, list_folders, path_exists, read_text, write_text
 from ..spec import DEFAULT_INDEX, LogSpec
 from .query import Index
 
+DONE = "_bitlake_done"  # our own commit marker (Spark's _SUCCESS can be switched off)
 S, L, D, I, B = T.StringType(), T.LongType(), T.DateType(), T.IntegerType(), T.BooleanType()
 
 
@@ -42,23 +51,29 @@ def _schema(*cols) -> T.StructType:
 
 
 SCHEMAS = {
-    "row_dict": _schema(("field", S), ("row_id", L), ("row_val", S), ("index", S), ("batch_id", L)),
-    "col_dict": _schema(("col_id", L), ("shard", L), ("col_val", S), ("index", S), ("id_group", L),
-                        ("batch_id", L)),
+    "row_dict": _schema(("row_id", L), ("row_val", S), ("index", S), ("batch_id", L), ("field", S)),
+    "col_dict": _schema(("col_id", L), ("shard", L), ("col_val", S), ("index", S), ("batch_id", L),
+                        ("id_group", L)),
+    "col_lookup": _schema(("col_id", L), ("shard", L), ("col_val", S), ("index", S), ("batch_id", L),
+                          ("val_group", I)),
     "fact": _schema(("shard", L), ("row_id", L), ("col_id", L), ("day", D),
-                    ("index", S), ("field", S), ("batch_id", L)),
-    "bit": _schema(("row_val", S), ("col_val", S), ("day", D), ("index", S), ("field", S), ("batch_id", L)),
+                    ("index", S), ("batch_id", L), ("field", S), ("month", I)),
+    "bit": _schema(("row_val", S), ("col_val", S), ("day", D), ("index", S), ("batch_id", L), ("field", S)),
     "marks": _schema(("day", D), ("bucket", I), ("file", S), ("index", S), ("owner_node", I), ("batch_id", L)),
     "shard_log": _schema(("shard", L), ("last_id", L), ("ids_used", L), ("index", S), ("batch_id", L)),
+    "reject": _schema(("value", S), ("reason", S), ("dt", D), ("part", I), ("file_path", S), ("n", L),
+                      ("index", S), ("batch_id", L)),
+    "load_report": _schema(("dt", D), ("part", I), ("file_path", S), ("file_size", L), ("n_lines", L),
+                           ("n_rejects", L), ("n_bad_time", L), ("index", S), ("batch_id", L)),
 }
-PARTITIONS = {
-    "row_dict": ["index", "batch_id"],
-    "col_dict": ["index", "id_group", "batch_id"],
-    "fact": ["index", "field", "batch_id"],
-    "bit": ["index", "field", "batch_id"],
-    "marks": ["index", "owner_node", "batch_id"],
-    "shard_log": ["index", "batch_id"],
-}
+#: Partition columns below the batch's folder.
+INNER = {"row_dict": ["field"], "col_dict": ["id_group"], "col_lookup": ["val_group"], "fact": ["field", "month"],
+         "bit": ["field"]}
+
+
+def month_key(day):
+    """Partition key of a day, ``yyyyMM`` as a number; NULL without a day."""
+    return (F.year(day) * 100 + F.month(day)).cast("int")
 
 
 def new_batch_id() -> int:
@@ -76,6 +91,11 @@ class BitStore:
 
     # ---- reads ------------------------------------------------------------
 
+    def _index_path(self, table: str, index: str) -> str:
+        if not re.fullmatch(r"[A-Za-z0-9_.-]+", index):
+            raise ValueError(f"index name {index!r}: letters, digits and _ . - only")
+        return f"{self.path(table)}/index={index}"
+
     def read(self, table: str) -> DataFrame:
         p = self.path(table)
         schema = SCHEMAS[table]
@@ -95,6 +115,11 @@ class BitStore:
             d = d.where(F.col("index") == F.lit(index))
         return d.select("index", "col_id", "shard", "col_val", "id_group")
 
+    def col_lookup(self, index: str) -> DataFrame:
+        """The column dictionary in groups by hash of the value."""
+        return self.read("col_lookup").where(F.col("index") == F.lit(index)).select(
+            "val_group", "col_val", "col_id", "shard")
+
     def facts(self, index: str = DEFAULT_INDEX) -> DataFrame:
         """A13 read-back: distinct bits of the index in id space."""
         return (self.read("fact").where(F.col("index") == F.lit(index))
@@ -118,7 +143,9 @@ class BitStore:
                 .select("file").distinct())
 
     def index(self, index: str = DEFAULT_INDEX, spec: LogSpec = LogSpec()) -> Index:
-        return Index(self.facts(index), spec, self.row_dict(index), self.col_dict(index), index)
+        raw = (self.read("fact").where(F.col("index") == F.lit(index))
+               .select("field", "row_id", "col_id", "shard", "day", "month"))
+        return Index(raw.distinct(), spec, self.row_dict(index), self.col_dict(index), index)
 
     def decoded_bits(self, index: str = DEFAULT_INDEX) -> DataFrame:
         """End state in value space: facts joined back to both dictionaries."""
@@ -129,32 +156,41 @@ class BitStore:
 
     # ---- appends (one batch each) -------------------------------------------
 
-    def _append(self, table: str, df: DataFrame) -> None:
-        cols = [f.name for f in SCHEMAS[table].fields]
-        (df.select(*[F.col(c).cast(SCHEMAS[table][c].dataType) for c in cols])
-         .write.mode("append").partitionBy(*PARTITIONS[table]).parquet(self.path(table)))
-
-    def append_row_dict(self, entries: DataFrame, batch_id: int) -> None:
-        """New (index, field, row_id, row_val) entries."""
-        self._append("row_dict", entries.withColumn("batch_id", F.lit(batch_id)))
-
-    def append_col_dict(self, entries: DataFrame, batch_id: int) -> None:
-        from ..operators.codec import id_group
-        self._append("col_dict", entries.withColumn("id_group", id_group("col_id"))
-                     .withColumn("batch_id", F.lit(batch_id)))
+    def _append(self, table: str, df: DataFrame, index: str, batch_id: int, owner_node: int | None = None) -> None:
+        inner = INNER.get(table, [])
+        out = self._index_path(table, index)
+        if owner_node is not None:
+            out += f"/owner_node={int(owner_node)}"
+        cols = [f for f in SCHEMAS[table].fields if f.name not in ("index", "batch_id", "owner_node")]
+        (df.select(*[F.col(f.name).cast(f.dataType) for f in cols])
+         .write.mode("append").partitionBy(*inner).parquet(f"{out}/batch_id={int(batch_id)}"))
+
+    def append_row_dict(self, entries: DataFrame, index: str, batch_id: int) -> None:
+        """New (index, field, row_id, row_val) entries, sorted by value."""
+        self._append("row_dict", entries.hint("rebalance", "field").sortWithinPartitions("field", "row_val"),
+                     index, batch_id)
+
+    def append_col_dict(self, entries: DataFrame, index: str, batch_id: int) -> None:
+        """New column entries: first by value, for encoding, then by id, for decoding."""
+        from ..operators.codec import id_group, value_group
+        by_val = entries.withColumn("val_group", value_group("col_val"))
+        self._append("col_lookup", by_val.hint("rebalance", "val_group").sortWithinPartitions("val_group", "col_val"),
+                     index, batch_id)
+        by_id = entries.withColumn("id_group", id_group("col_id"))
+        self._append("col_dict", by_id.hint("rebalance", "id_group").sortWithinPartitions("id_group", "col_id"),
+                     index, batch_id)
 
     def append_shard_log(self, entries: DataFrame, index: str, batch_id: int) -> None:
         """Per-shard summary of one batch's new column ids (a few rows)."""
         self._append("shard_log", entries.groupBy("shard").agg(
-            F.max("col_id").alias("last_id"), F.count(F.lit(1)).alias("ids_used"))
-            .withColumn("index", F.lit(index)).withColumn("batch_id", F.lit(batch_id)))
+            F.max("col_id").alias("last_id"), F.count(F.lit(1)).alias("ids_used")), index, batch_id)
 
     def shard_state(self, index: str, shard_width: int) -> DataFrame:
-        """D4 from the shard log: ``max(last_id)`` per shard (the dictionary
-        is never scanned).  Without a log (dictionary written by other
-        means) it is derived from the dictionary itself."""
+        """D4 from the index's shard log: ``max(last_id)`` per shard (the
+        dictionary is never scanned).  An index without a log (its dictionary
+        was written by other means) has it derived from the dictionary."""
         from ..operators.ids import shard_state as from_dict
-        if not path_exists(self.spark, self.path("shard_log")):
+        if not path_exists(self.spark, self._index_path("shard_log", index)):
             return from_dict(self.col_dict(index), shard_width)
         w = int(shard_width)
         return (self.read("shard_log").where(F.col("index") == F.lit(index))
@@ -164,28 +200,74 @@ class BitStore:
                 .withColumn("full", F.col("next_offset") == 0))
 
     def append_facts(self, facts: DataFrame, index: str, batch_id: int) -> None:
-        """A13 sink: rows of one (field, shard) go to the same writer task,
-        sorted by (row_id, col_id), so parquet row-group statistics on
-        ``row_id`` prune row queries.  ``rebalance`` (not ``repartition``)
-        lets AQE split a skewed (field, shard) group and merge small ones."""
-        out = (facts.withColumn("index", F.lit(index)).withColumn("batch_id", F.lit(batch_id))
-               .hint("rebalance", "field", "shard")
-               .sortWithinPartitions("field", "shard", "row_id", "col_id"))
-        self._append("fact", out)
+        """A13 sink: rows of one (field, month, shard) go to the same writer
+        task, sorted by (row_id, col_id), so parquet row-group statistics on
+        ``row_id`` prune row queries and the month prunes range queries.
+        ``rebalance`` (not ``repartition``) lets AQE split a skewed group and
+        merge small ones."""
+        out = (facts.withColumn("month", month_key("day"))
+               .hint("rebalance", "field", "month", "shard")
+               .sortWithinPartitions("field", "month", "shard", "row_id", "col_id"))
+        self._append("fact", out, index, batch_id)
 
     def append_keyed_bits(self, bits: DataFrame, index: str, batch_id: int) -> None:
         """A14 sink: bits with string keys (no dictionaries)."""
-        out = (bits.withColumn("index", F.lit(index)).withColumn("batch_id", F.lit(batch_id))
-               .hint("rebalance", "field").sortWithinPartitions("field", "row_val", "col_val"))
-        self._append("bit", out)
+        out = bits.hint("rebalance", "field").sortWithinPartitions("field", "row_val", "col_val")
+        self._append("bit", out, index, batch_id)
 
     def append_marks(self, files: DataFrame, index: str, owner_node: int, batch_id: int) -> None:
         """Mark finished files (inventory rows: dt, part, file_path),
         sorted by day so a day-range read of the marks skips row groups."""
         self._append("marks", files.select(
-            F.col("dt").alias("day"), F.col("part").alias("bucket"), F.col("file_path").alias("file"),
-            F.lit(index).alias("index"), F.lit(int(owner_node)).alias("owner_node"),
-            F.lit(batch_id).alias("batch_id")).sortWithinPartitions("day", "bucket", "file"))
+            F.col("dt").alias("day"), F.col("part").alias("bucket"), F.col("file_path").alias("file"))
+            .sortWithinPartitions("day", "bucket", "file"), index, batch_id, owner_node)
+
+    def append_rejects(self, rejects: DataFrame, index: str, batch_id: int) -> None:
+        """Rejected lines of a batch (``n``: how often the line occurs in its file)."""
+        self._append("reject", rejects, index, batch_id)
+
+    def append_report(self, report: DataFrame, index: str, batch_id: int) -> None:
+        """One row per file of a batch."""
+        self._append("load_report", report, index, batch_id)
+
+    def rejects(self, index: str = DEFAULT_INDEX) -> DataFrame:
+        return self.read("reject").where(F.col("index") == F.lit(index)).select(
+            "value", "reason", "dt", "part", "file_path", "n", "batch_id")
+
+    def load_report(self, index: str = DEFAULT_INDEX) -> DataFrame:
+        return self.read("load_report").where(F.col("index") == F.lit(index)).select(
+            "dt", "part", "file_path", "file_size", "n_lines", "n_rejects", "n_bad_time", "batch_id")
+
+    # ---- one writer of ids at a time ------------------------------------------
+
+    @contextlib.contextmanager
+    def writer(self, index: str, wait_s: float = 3600.0, poll_s: float = 1.0):
+        """Hold the index's writer mark while new ids are given out and
+        committed.  Another job waits up to ``wait_s`` seconds, then fails.  A
+        job that died inside leaves the mark; :meth:`release_writer` removes it."""
+        path = f"{self.root}/_writer/index={index}"
+        own = uuid.uuid4().hex
+        until = time.monotonic() + wait_s
+        while True:
+            try:
+                write_text(self.spark, path, own, overwrite=False)
+                time.sleep(0.05)  # a file system without atomic create: the last one in has it
+                if read_text(self.spark, path) == own:
+                    break
+            except Exception as e:  # noqa: BLE001 - the file system says that the mark is there or has just gone
+                if not re.search("AlreadyExists|already exists|FileNotFound|does not exist", str(e)):
+                    raise
+            if time.monotonic() > until:
+                raise TimeoutError(f"another job gives out ids for index {index!r} (mark {path})")
+            time.sleep(poll_s)
+        try:
+            yield
+        finally:
+            delete_path(self.spark, path)
+
+    def release_writer(self, index: str) -> bool:
+        """Remove the mark of a writer that died."""
+        return delete_path(self.spark, f"{self.root}/_writer/index={index}")
 
     def stage(self, df: DataFrame, batch_id: int, name: str) -> DataFrame:
         """Write an intermediate of the batch and read it back: cuts the
@@ -201,95 +283,143 @@ class BitStore:
 
     def refresh_marks(self, index: str, owner_node: int) -> None:
         """Forget the marks of this index made by this owner only."""
-        delete_path(self.spark, f"{self.path('marks')}/index={index}/owner_node={int(owner_node)}")
+        delete_path(self.spark, f"{self._index_path('marks', index)}/owner_node={int(owner_node)}")
 
     def refresh_index(self, index: str) -> None:
-        """A10: drop facts, keyed bits and both dictionaries of an index, so
-        old bits can never meet new ids."""
-        for t in ("fact", "bit", "shard_log", "col_dict", "row_dict", "rollup", "rollup_delta"):
-            delete_path(self.spark, f"{self.path(t)}/index={index}")
+        """A10: drop facts, keyed bits, rollups, rejects, reports and the
+        dictionaries of an index, so old bits can never meet new ids."""
+        for t in ("rollup", "rollup_delta", "fact", "bit", "reject", "load_report", "shard_log", "col_lookup",
+                  "col_dict", "row_dict"):
+            delete_path(self.spark, self._index_path(t, index))
 
     # ---- E5 rollup ----------------------------------------------------------
     # rollup/index=<i>/version=<v>/field=<f>/        full build from the facts
     # rollup_delta/index=<i>/batch_id=<b>/field=<f>/ one per loaded batch
-    # Bitmap OR is idempotent, so readers OR the newest full version with the
-    # deltas of later batches per (field, row_id, bucket).
+    # The marker of a version holds the ids of the batches it covers.  Bitmap OR
+    # is idempotent, so readers OR the newest version with the deltas of all
+    # batches it does not cover, and refuse if a batch is in neither.
 
-    def append_rollup(self, index: str, batch_id: int) -> None:
-        """Delta rollup of one batch's committed facts (partition-pruned read)."""
+    def _rollup_of(self, index: str, batches: list[int] | None, fields: list[str] | None) -> DataFrame:
+        """Bitmaps of raw facts: OR needs no distinct input."""
         from ..operators.bitmaps import bitmap_index
-        f = self.read("fact").where((F.col("index") == F.lit(index)) & (F.col("batch_id") == F.lit(batch_id)))
-        out = f"{self.root}/rollup_delta/index={index}/batch_id={batch_id}"
-        (bitmap_index(f.select("field", "row_id", "col_id")).write.mode("overwrite")
+        f = self.read("fact").where(F.col("index") == F.lit(index))
+        if batches is not None:
+            f = f.where(F.col("batch_id").isin(*batches))
+        if fields is not None:
+            f = f.where(F.col("field").isin(*fields))
+        return bitmap_index(f.select("field", "row_id", "col_id"))
+
+    def append_rollup(self, index: str, batch_id: int) -> None:
+        """Delta rollup of one batch's committed facts (partition-pruned read),
+        of the fields that the newest version has (all without one)."""
+        out = f"{self._index_path('rollup_delta', index)}/batch_id={batch_id}"
+        _, _, fields = self._newest(index)
+        (self._rollup_of(index, [batch_id], fields).write.mode("overwrite")
          .option("partitionOverwriteMode", "static").partitionBy("field").parquet(out))
-        touch(self.spark, f"{out}/{DONE}")
+        write_text(self.spark, f"{out}/{DONE}")
 
-    def write_rollup(self, index: str = DEFAULT_INDEX) -> str:
-        """Full build from the current facts as a new version; older versions
-        and the deltas it covers are dropped afterwards."""
-        from ..operators.bitmaps import bitmap_index
+    def fact_batches(self, index: str) -> list[int]:
+        return _ids(list_folders(self.spark, self._index_path("fact", index)), "batch_id")
+
+    def write_rollup(self, index: str = DEFAULT_INDEX, fields: list[str] | None = None) -> str:
+        """Full build from the batches that are committed now, as a new version;
+        older versions and the deltas it covers are dropped afterwards.
+        ``fields`` names the fields worth it (dense rows; default: all)."""
         version = new_batch_id()
-        base = f"{self.root}/rollup/index={index}"
-        covered = self._versions(f"{self.root}/rollup_delta/index={index}", "batch_id")
-        bitmap_index(self.facts(index)).write.partitionBy("field").parquet(f"{base}/version={version}")
-        touch(self.spark, f"{base}/version={version}/{DONE}")
+        base = self._index_path("rollup", index)
+        batches = self.fact_batches(index)
+        (self._rollup_of(index, batches or [-1], fields).write.partitionBy("field")
+         .parquet(f"{base}/version={version}"))
+        write_text(self.spark, f"{base}/version={version}/{DONE}", json.dumps({"batches": batches, "fields": fields}))
         for old in self._versions(base):
             if old != version:
                 delete_path(self.spark, f"{base}/version={old}")
-        for b in covered:
-            delete_path(self.spark, f"{self.root}/rollup_delta/index={index}/batch_id={b}")
+        deltas = self._index_path("rollup_delta", index)
+        for b in self._versions(deltas, "batch_id"):
+            if b in batches:
+                delete_path(self.spark, f"{deltas}/batch_id={b}")
         return f"{base}/version={version}"
 
     def _versions(self, base: str, key: str = "version") -> list[int]:
-        if not path_exists(self.spark, base):
-            return []
-        from ..session import _fs
-        fs, p = _fs(self.spark, base)
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith(key + "=") and path_exists(self.spark, f"{st.getPath().toString()}/{DONE}"):
-                out.append(int(name[len(key) + 1:]))
-        return sorted(out)
+        return [v for v in _ids(list_folders(self.spark, base), key)
+                if path_exists(self.spark, f"{base}/{key}={v}/{DONE}")]
 
-    def rollup(self, index: str = DEFAULT_INDEX) -> DataFrame:
-        """Current rollup ``(field, row_id, bucket, bitmap)``: newest full
-        version OR the later deltas (merged lazily; filters on field and
-        row_id are pushed below the merge)."""
-        base = f"{self.root}/rollup/index={index}"
+    def _newest(self, index: str) -> tuple[int | None, list[int], list[str] | None]:
+        """Newest rollup version, the batches it covers and its fields."""
+        base = self._index_path("rollup", index)
         versions = self._versions(base)
-        parts = []
-        if versions:
-            parts.append(self.spark.read.parquet(f"{base}/version={versions[-1]}"))
-        dbase = f"{self.root}/rollup_delta/index={index}"
-        newer = [b for b in self._versions(dbase, "batch_id") if not versions or b > versions[-1]]
-        parts += [self.spark.read.parquet(f"{dbase}/batch_id={b}") for b in newer]
-        if not parts:
+        if not versions:
+            return None, [], None
+        says = json.loads(read_text(self.spark, f"{base}/version={versions[-1]}/{DONE}"))
+        return versions[-1], says["batches"], says["fields"]
+
+    def rollup(self, index: str = DEFAULT_INDEX) -> DataFrame:
+        """Current rollup ``(field, row_id, bucket, bitmap)``: the newest full
+        version OR the deltas it does not cover (merged lazily; filters on field
+        and row_id are pushed below the merge).  Raises if a batch is missing."""
+        version, covered, _ = self._newest(index)
+        deltas = self._index_path("rollup_delta", index)
+        newer = [b for b in self._versions(deltas, "batch_id") if b not in covered]
+        missing = set(self.fact_batches(index)) - set(covered) - set(newer)
+        if missing:
+            raise ValueError(f"the rollup of index {index!r} lacks {len(missing)} loaded batches; call write_rollup")
+        paths = [f"{deltas}/batch_id={b}" for b in newer]
+        if version is not None:
+            paths.insert(0, f"{self._index_path('rollup', index)}/version={version}")
+        if not paths:
             raise ValueError(f"no rollup for index {index!r}; load with rollup=True or call write_rollup")
-        cols = ["field", "row_id", "bucket", "bitmap"]
-        if len(parts) == 1:
-            return parts[0].select(*cols)
-        u = parts[0].select(*cols)
+        cols = "row_id bigint, bucket bigint, bitmap binary, field string"
+        parts = [self.spark.read.schema(cols).parquet(p).select("field", "row_id", "bucket", "bitmap") for p in paths]
+        out = parts[0]
         for p in parts[1:]:
-            u = u.unionByName(p.select(*cols))
-        return u.groupBy("field", "row_id", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+            out = out.unionByName(p)
+        if len(parts) == 1:
+            return out
+        return out.groupBy("field", "row_id", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
 
     def rollup_index(self, index: str = DEFAULT_INDEX):
         from ..operators.bitmaps import BitmapIndex
-        return BitmapIndex(self.rollup(index), self.row_dict(index), index)
+        return BitmapIndex(self.rollup(index), self.row_dict(index), index, self._newest(index)[2])
+
+    # ---- compaction ---------------------------------------------------------
 
     def compact_facts(self, index: str, batch_id: int | None = None) -> None:
-        """Collapse repeated bits across batches: write the distinct facts as
-        one new batch, then drop the old batch folders of each field."""
+        """Collapse repeated bits across batches: write the distinct facts once,
+        as one new batch, then drop the old batch folders."""
+        old = self.fact_batches(index)
         batch_id = batch_id or new_batch_id()
-        f = self.read("fact").where(F.col("index") == F.lit(index))
-        old = [r["batch_id"] for r in f.select("batch_id").distinct().collect()]  # one row per batch
-        tmp = self.stage(self.facts(index), batch_id, "compact")
-        self.append_facts(tmp, index, batch_id)
-        base = f"{self.path('fact')}/index={index}"
-        fields = [r["field"] for r in self.read("fact").where(F.col("index") == F.lit(index))
-                  .select("field").distinct().collect()]
-        for fld in fields:
-            for b in old:
-                delete_path(self.spark, f"{base}/field={fld}/batch_id={b}")
-        self.drop_staging(batch_id)
+        version, covered, fields = self._newest(index)
+        deltas = self._versions(self._index_path("rollup_delta", index), "batch_id")
+        self.append_facts(self.facts(index), index, batch_id)
+        if set(old) <= set(covered) | set(deltas):  # the rollup covers the new batch, too
+            if version is not None:
+                write_text(self.spark, f"{self._index_path('rollup', index)}/version={version}/{DONE}",
+                           json.dumps({"batches": [*covered, batch_id], "fields": fields}))
+            elif deltas:
+                self.append_rollup(index, batch_id)
+        for b in old:
+            delete_path(self.spark, f"{self._index_path('fact', index)}/batch_id={b}")
+
+    def compact_dicts(self, index: str) -> None:
+        """Fold the dictionaries' and the shard log's batch folders into one
+        each, then drop the old folders.  Entries are never changed, so a reader
+        meets the same ids before and after; if the job dies in between, entries
+        are there twice until it is run again (it writes them distinct)."""
+        with self.writer(index):
+            batch_id = new_batch_id()
+            old = {t: _ids(list_folders(self.spark, self._index_path(t, index)), "batch_id")
+                   for t in ("row_dict", "col_dict", "col_lookup", "shard_log")}
+            rows = self.row_dict(index).distinct()
+            cols = self.col_dict(index).select("index", "col_id", "shard", "col_val").distinct()
+            if old["row_dict"]:
+                self.append_row_dict(rows, index, batch_id)
+            if old["col_dict"]:
+                self.append_shard_log(cols, index, batch_id)
+                self.append_col_dict(cols, index, batch_id)
+            for t, batches in old.items():
+                for b in batches:
+                    delete_path(self.spark, f"{self._index_path(t, index)}/batch_id={b}")
+
+
+def _ids(names: list[str], key: str) -> list[int]:
+    return sorted(int(n[len(key) + 1:]) for n in names if n.startswith(key + "="))

@@ -1,13 +1,13 @@
 """Session helpers: a configured SparkSession and the shared work folder.
 
 On a cluster the work folder is the one named by ``spark.checkpoint.dir``
-(a shared file system or object store).  Only when the session has none, as
-in local tests, a fresh local folder is created and registered as the
-checkpoint directory.
+(a shared file system or object store).  Only in local mode may it be unset:
+then a fresh local folder is created and registered as the checkpoint directory.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,14 +47,19 @@ def get_session(master: str | None = None, app: str = "bitlake",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and written intermediate tables."""
+    """The shared folder for checkpoints and written intermediate tables.
+
+    It must be named by ``spark.checkpoint.dir`` (or set on the context).  Only
+    in local mode, where driver and executors are one process, a fresh local
+    folder is made when there is none."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        # Only reached when nobody configured a shared folder (local tests).
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="bitlake-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -77,10 +82,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty marker file (written after a job has committed)."""
+def write_text(spark: SparkSession, path: str, text: str = "", overwrite: bool = True) -> None:
+    """Write a small file, such as a marker after a job has committed."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, overwrite)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    src = fs.open(p)
+    try:
+        return bytes(src.readAllBytes()).decode()
+    finally:
+        src.close()
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path`` (none if it does not exist)."""
     fs, p = _fs(spark, path)
-    fs.create(p, True).close()
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:

@@ -9,6 +9,8 @@ so that the file listing itself (not only the scan) is pruned.
 from __future__ import annotations
 
 import datetime as _dt
+import re
+import urllib.parse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,34 +66,39 @@ def day_folders(spark: SparkSession, root: str, start=None, end=None) -> list[st
     return sorted(out)
 
 
+_GLOB = str.maketrans({c: "\\" + c for c in "\\[]{}*?"})
+
+
+def literal_path(path: str) -> str:
+    """``path`` with the characters quoted that ``load`` takes for a pattern."""
+    return path.translate(_GLOB)
+
+
+def plain_path(c: Column) -> Column:
+    """The text source's URL-encoded ``_metadata.file_path`` as the plain path
+    that the inventory has."""
+    plain = F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+
+
 def _load(spark: SparkSession, fmt: str, root: str, paths, options: dict) -> DataFrame | None:
     r = spark.read.format(fmt)
     for k, v in options.items():
         r = r.option(k, v)
     if paths is None:
-        return r.load(root)
+        return r.load(literal_path(root))
     if len(paths) == 0:
         # load([]) would lose the partition columns: the caller builds an
         # empty frame with the right schema instead.
         return None
-    return r.option("basePath", root).load(list(paths))
+    return r.option("basePath", root).load([literal_path(p) for p in paths])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows when the scan gives fewer partitions than the
-    session can run at once (few large gzip files, one large row group);
-    inputs with enough splits are left alone, so no shuffle is added then."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
-
-
-def read_log_lines(spark: SparkSession, root: str, paths=None, start=None, end=None,
-                   spread_small: bool = True) -> DataFrame:
+def read_log_lines(spark: SparkSession, root: str, paths=None, start=None, end=None) -> DataFrame:
     """A1 ``log_scan``: one row per text line with day, bucket and file.
 
     ``lineSep`` is pinned to LF: Spark's default also breaks at a lone CR.
-    gzip is not splittable, so each file is one task; when that gives fewer
-    tasks than cores the lines are spread before parsing.
+    ``paths`` are taken literally, whatever characters they have.
     """
     if paths is None and (start is not None or end is not None):
         paths = day_folders(spark, root, start, end)
@@ -102,11 +109,21 @@ def read_log_lines(spark: SparkSession, root: str, paths=None, start=None, end=N
         "value",
         F.col("dt").cast("date").alias("dt"),
         F.col("part").cast("int").alias("part"),
-        F.col("_metadata.file_path").alias("file_path"),
+        plain_path(F.col("_metadata.file_path")).alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
     )
-    out = scan_date_range(out, start, end)
-    return spread(out) if spread_small else out
+    return scan_date_range(out, start, end)
+
+
+def check_files_read(lines: DataFrame, paths: list[str]) -> None:
+    """Raise unless a scan reads exactly the files ``paths``."""
+    def norm(p):
+        return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):/+(?=/)", r"\1:", p)
+    got = {norm(urllib.parse.unquote(p)) for p in lines.inputFiles()}
+    want = {norm(p) for p in paths}
+    if got != want:
+        odd = sorted(got ^ want)
+        raise RuntimeError(f"the batch would read other files than it marks: {len(odd)} differ, such as {odd[0]}")
 
 
 def file_inventory(spark: SparkSession, root: str, paths=None, start=None, end=None) -> DataFrame:

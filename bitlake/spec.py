@@ -23,7 +23,7 @@ class LogSpec:
     list_fields: tuple = (("sfield", 4),)
     # Spark datetime pattern equivalent of the Go layout; a fraction and a
     # one-digit hour are accepted as Go's parser does.
-    ts_format: str = "yyyy-MM-dd H:mm:ss[.SSSSSS]"
+    ts_format: str = "yyyy-MM-dd H:mm:ss[.SSSSSSSSS]"
     sep: str = "\t"
     list_sep: str = ","
 
@@ -54,8 +54,7 @@ class IdConfig:
     lanes: int = 1
     owner: int = 0
     n_owners: int = 1
-    rows_per_rank_bucket: int = 2_000_000
-    max_rank_buckets: int = 4096
+    rows_per_rank_bucket: int = 50_000
 
     def __post_init__(self):
         if self.shard_width < 1:

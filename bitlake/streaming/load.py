@@ -3,15 +3,17 @@ runner that skips marked files (S1) and the Structured Streaming load (S2).
 
 One batch:
 
-1. parse the lines, unpivot to bits, collapse repeats -> staged ``bits``;
-2. left-join the batch's distinct row values with the row dictionary once
-   (staged), give the unknown ones ids and append them (commit 1);
-3. the same for column values with sharded ids (commit 2);
-4. encode the bits with the batch's value->id maps and append the facts
-   (commit 3, one task per (field, shard));
+1. one pass over the lines: bits (repeats collapsed), rejected lines and line
+   counts per file -> staged;
+2. look up the batch's distinct row and column values in the dictionaries;
+3. as the index's writer, give the unknown ones ids, check both unique keys and
+   append them (commits 1 and 2);
+4. encode the bits with the batch's value->id maps and append the facts, the
+   rejects and the report (commit 3);
 5. mark the batch's files (commit 4).
 
-Only the batch's *distinct* values meet the dictionaries, each once.
+Only the batch's *distinct* values meet the dictionaries, each once, and a small
+batch reads only the groups of the column dictionary that its values hash to.
 """
 
 from __future__ import annotations
@@ -23,58 +25,70 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parse import parse_lines
-from ..operators.bits import set_bits, unpivot_bits
-from ..operators.ids import assign_column_ids, assign_row_ids
+from ..operators.bits import BIT_COLS, load_rows
+from ..operators.codec import value_group
+from ..operators.ids import assign_column_ids, assign_row_ids, check_col_entries, check_row_entries
 from ..plans.store import BitStore, new_batch_id
-from ..sources.logs import (day_folders, file_cap, file_inventory, inventory_of_lines, read_log_lines,
-                            select_files, unprocessed_files)
+from ..sources.logs import (check_files_read, day_folders, file_cap, file_inventory, inventory_of_lines, plain_path,
+                            read_log_lines, select_files, unprocessed_files)
 from ..spec import DEFAULT_INDEX, IdConfig, LogSpec, ScanConfig
 
+#: Files that one batch opens at most: the driver holds their paths.
+FILES_PER_BATCH = 50_000
+#: gzip cannot be split, so lines of larger files are dealt out before they are parsed.
+BIG_FILE_BYTES = 256 << 20
 
-MAX_LISTED_PATHS = 200_000
+
+def _known_columns(vals: DataFrame, lookup: DataFrame) -> DataFrame:
+    """``(col_val, col_id, shard)`` of the staged values that have ids.  Inner
+    join on the value's group: the small side is broadcast and prunes the groups."""
+    return vals.join(lookup, ["val_group", "col_val"]).select("col_val", "col_id", "shard")
 
 
 def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, spec: LogSpec = LogSpec(),
                cfg: IdConfig = IdConfig(), batch_id: int | None = None, files: DataFrame | None = None,
                owner_node: int = 0, keyed: bool = False, skip_known_bits: bool = False,
-               rollup: bool = False) -> dict:
-    """Load one batch of lines; ``files`` (dt, part, file_path) are marked
-    once the facts are committed.  ``keyed`` also writes the value-space
+               rollup: bool = False, writer_wait_s: float = 3600.0) -> dict:
+    """Load one batch of lines; ``files`` (dt, part, file_path, file_size) are
+    marked once the facts are committed.  ``keyed`` also writes the value-space
     bits (string keys, no ids).  ``skip_known_bits`` drops bits already in
     the fact table (anti join, NULL days equal) instead of leaving repeats
     to distinct reads and compaction; worth it while the table is small.
-    ``rollup`` appends a delta bitmap rollup of the batch's facts."""
+    ``rollup`` appends a delta bitmap rollup of the batch's facts.  The report
+    has the totals of the batch; the store has it by file (``load_report``)."""
     batch_id = batch_id or new_batch_id()
     t = [time.perf_counter()]
-    bits = store.stage(set_bits(unpivot_bits(parse_lines(lines, spec), spec)), batch_id, "bits")
-
-    # rows: the batch's distinct values meet the dictionary once
-    rd = store.row_dict(index).select("field", "row_val", "row_id")
-    rows = store.stage(bits.select("field", "row_val").distinct().join(rd, ["field", "row_val"], "left"),
-                       batch_id, "rows")
-    t.append(time.perf_counter())
-    new_rows = rows.where(F.col("row_id").isNull()).select("field", "row_val")
-    row_entries = store.stage(assign_row_ids(None, store.row_dict(index), index, cfg, new_values=new_rows),
-                              batch_id, "new_rows")
-    store.append_row_dict(row_entries, batch_id)
-    added_rows = row_entries.select("field", "row_val", "row_id")
-    row_map = rows.where(F.col("row_id").isNotNull()).unionByName(added_rows)
+    staged = store.stage(load_rows(parse_lines(lines, spec), spec), batch_id, "rows")
+    bits = staged.where(~F.col("field").startswith("#")).select(*BIT_COLS)
+    row_vals = store.stage(bits.select("field", "row_val").distinct(), batch_id, "row_values")
+    col_vals = store.stage(bits.select("col_val").distinct().withColumn("val_group", value_group("col_val")),
+                           batch_id, "col_values")
     t.append(time.perf_counter())
 
-    # columns
-    cd = store.col_dict(index).select("col_val", "col_id", "shard")
-    cols = store.stage(bits.select("col_val").distinct().join(cd, "col_val", "left"), batch_id, "cols")
-    new_cols = cols.where(F.col("col_id").isNull()).select("col_val")
-    col_entries = store.stage(assign_column_ids(None, store.col_dict(index), index, cfg, new_values=new_cols,
-                                                state=store.shard_state(index, cfg.shard_width)),
-                              batch_id, "new_cols")
-    store.append_shard_log(col_entries, index, batch_id)   # log first: it always covers the dictionary
-    store.append_col_dict(col_entries, batch_id)
-    added_cols = col_entries.select("col_val", "col_id", "shard")
-    col_map = cols.where(F.col("col_id").isNotNull()).unionByName(added_cols)
-    t.append(time.perf_counter())
+    with store.writer(index, writer_wait_s):
+        rd = store.row_dict(index)
+        old_rows = store.stage(row_vals.join(rd.select("field", "row_val", "row_id"), ["field", "row_val"]),
+                               batch_id, "old_rows")
+        new_rows = row_vals.join(old_rows, ["field", "row_val"], "left_anti")
+        row_entries = store.stage(assign_row_ids(None, rd, index, cfg, new_values=new_rows), batch_id, "new_rows")
+        check_row_entries(row_entries, rd, index)
+        store.append_row_dict(row_entries, index, batch_id)
+        t.append(time.perf_counter())
 
-    facts = (bits.join(row_map, ["field", "row_val"]).join(col_map, "col_val")
+        old_cols = store.stage(_known_columns(col_vals, store.col_lookup(index)), batch_id, "old_cols")
+        new_cols = store.stage(col_vals.select("col_val").join(old_cols, "col_val", "left_anti"), batch_id, "new_col_values")
+        state = store.shard_state(index, cfg.shard_width)
+        col_entries = store.stage(assign_column_ids(None, store.col_dict(index), index, cfg, new_values=new_cols,
+                                                    state=state), batch_id, "new_cols")
+        check_col_entries(col_entries, state)
+        store.append_shard_log(col_entries, index, batch_id)   # log first: it always covers the dictionary
+        store.append_col_dict(col_entries, index, batch_id)
+        t.append(time.perf_counter())
+
+    added_rows = row_entries.select("field", "row_val", "row_id")
+    added_cols = col_entries.select("col_val", "col_id", "shard")
+    facts = (bits.join(old_rows.unionByName(added_rows), ["field", "row_val"])
+             .join(old_cols.unionByName(added_cols), "col_val")
              .select("field", "shard", "row_id", "col_id", "day"))
     if skip_known_bits:
         old = (store.read("fact").where(F.col("index") == F.lit(index))
@@ -86,29 +100,62 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
     store.append_facts(facts, index, batch_id)
     if rollup:
         store.append_rollup(index, batch_id)
-    t.append(time.perf_counter())
     if keyed:
         store.append_keyed_bits(bits, index, batch_id)
+    t.append(time.perf_counter())
+    totals = _report(store, staged, files, index, spec, batch_id)
     if files is not None:
         store.append_marks(files, index, owner_node, batch_id)
     t.append(time.perf_counter())
-    steps = ("stage_bits", "row_ids", "col_ids", "facts", "marks")
+    steps = ("stage_bits", "row_ids", "col_ids", "facts", "report_marks")
     report = {"batch_id": batch_id, "bits": bits.count(),
-              "new_rows": added_rows.count(), "new_cols": added_cols.count(),
+              "new_rows": added_rows.count(), "new_cols": added_cols.count(), **totals,
               "seconds": {k: round(t[i + 1] - t[i], 3) for i, k in enumerate(steps)}}
     store.drop_staging(batch_id)
     return report
 
 
+def _report(store: BitStore, staged: DataFrame, files: DataFrame | None, index: str, spec: LogSpec,
+            batch_id: int) -> dict:
+    """Commit the batch's rejects and its report by file; the totals."""
+    rejects = staged.where(F.col("field") == "#reject").select(
+        F.col("col_val").alias("value"),
+        F.concat(F.lit("positions="), F.col("n_pos").cast("string"), F.lit(f" < {spec.min_positions}")).alias("reason"),
+        F.col("day").alias("dt"), "part", F.col("row_val").alias("file_path"), "n")
+    store.append_rejects(rejects, index, batch_id)
+
+    def lines_of(kind=None):
+        n = F.col("n") if kind is None else F.when(F.col("col_val") == kind, F.col("n")).otherwise(0)
+        return F.sum(n).cast("long")
+
+    by_file = staged.where(F.col("field") == "#line").groupBy(F.col("row_val").alias("file_path")).agg(
+        F.max("day").alias("dt"), F.max("part").alias("part"), lines_of().alias("n_lines"),
+        lines_of("reject").alias("n_rejects"), lines_of("bad_time").alias("n_bad_time"))
+    counts = ("n_lines", "n_rejects", "n_bad_time")
+    if files is not None:
+        by_file = files.select("dt", "part", "file_path", "file_size").join(
+            by_file.drop("dt", "part"), "file_path", "left")
+        by_file = by_file.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
+    else:
+        by_file = by_file.withColumn("file_size", F.lit(None).cast("long"))
+    by_file = store.stage(by_file, batch_id, "report")
+    store.append_report(by_file, index, batch_id)
+    r = by_file.agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"), F.sum("n_lines").alias("lines"),
+                    F.sum("n_rejects").alias("rejects"), F.sum("n_bad_time").alias("bad_times")).first()
+    return {k: int(r[k] or 0) for k in ("files", "bytes", "lines", "rejects", "bad_times")}
+
+
 def run_load(spark: SparkSession, store: BitStore, *, root: str | None = None, lines: DataFrame | None = None,
              index: str = DEFAULT_INDEX, scan: ScanConfig = ScanConfig(), spec: LogSpec = LogSpec(),
              cfg: IdConfig = IdConfig(), owner_node: int = 0, keyed: bool = False,
-             until_done: bool = False, rollup: bool = False, days_per_listing: int = 31) -> list[dict]:
+             until_done: bool = False, rollup: bool = False, days_per_listing: int = 31,
+             files_per_batch: int = FILES_PER_BATCH, writer_wait_s: float = 3600.0) -> list[dict]:
     """Load the files that are selected by ``scan`` and not yet marked
     for ``index`` — from a log folder ``root`` or from a line frame with
     ``file_path`` (e.g. a view over tables).  Without ``max_files`` a run
-    loads everything selected; with it each batch takes at most that many
-    files and a run is one batch, or all of them with ``until_done``.
+    loads everything selected; with it a run loads exactly so many files (fewer
+    only if there are no more), or with ``until_done`` everything, that many at
+    a time.  A batch has at most ``files_per_batch`` files.
 
     A log folder is listed ``days_per_listing`` day folders at a time (one
     top-level listing finds the days), so the driver never holds the file
@@ -116,22 +163,27 @@ def run_load(spark: SparkSession, store: BitStore, *, root: str | None = None, l
     """
     if (root is None) == (lines is None):
         raise ValueError("give exactly one of root and lines")
-    kw = dict(index=index, scan=scan, spec=spec, cfg=cfg, owner_node=owner_node, keyed=keyed,
-              until_done=until_done, rollup=rollup)
+    left = None if until_done else scan.max_files
+    per_batch = max(0, min(files_per_batch, files_per_batch if scan.max_files is None else scan.max_files))
+    kw = dict(index=index, scan=scan, spec=spec, cfg=cfg, owner_node=owner_node, keyed=keyed, rollup=rollup,
+              per_batch=per_batch, writer_wait_s=writer_wait_s)
+    if per_batch == 0:
+        return []
     if lines is not None:
         return _load_listing(spark, store, inventory_of_lines(lines), root=None, lines=lines,
-                             start=scan.start_date, end=scan.end_date, **kw)
+                             start=scan.start_date, end=scan.end_date, left=left, **kw)
     days = day_folders(spark, root, scan.start_date, scan.end_date)
     reports = []
     for i in range(0, len(days), max(1, days_per_listing)):
-        chunk = days[i:i + days_per_listing]
+        chunk = days[i:i + max(1, days_per_listing)]
         first, last = _day_of_folder(chunk[0]), _day_of_folder(chunk[-1])
         reps = _load_listing(spark, store, file_inventory(spark, root, paths=chunk), root=root, lines=None,
-                             start=first, end=last, **kw)
+                             start=first, end=last, left=left, **kw)
         reports += reps
-        if reps and not until_done and scan.max_files is not None:
-            break                                # one capped batch per run
-
+        if left is not None:
+            left -= sum(r["files"] for r in reps)
+            if left <= 0:
+                break
     return reports
 
 
@@ -140,55 +192,61 @@ def _day_of_folder(path: str) -> str:
 
 
 def _load_listing(spark, store, inv, *, root, lines, start, end, index, scan, spec, cfg, owner_node, keyed,
-                  until_done, rollup) -> list[dict]:
+                  rollup, per_batch, left, writer_wait_s) -> list[dict]:
     """Batches over one file listing: stage it once, then each batch takes
-    up to ``max_files`` files not yet marked."""
+    up to ``per_batch`` files not yet marked, ``left`` in all (None: no end)."""
     list_id = new_batch_id()
     selected = store.stage(select_files(inv, scan), list_id, "inventory")
     reports = []
-    while True:
+    while left is None or left > 0:
         batch_id = new_batch_id()
         todo = unprocessed_files(selected, store.marks(index), index, start, end)
-        batch_files = store.stage(file_cap(todo, scan.max_files), batch_id, "files")
-        n_files = batch_files.count()
+        take = per_batch if left is None else min(per_batch, left)
+        batch_files = store.stage(file_cap(todo, take), batch_id, "files")
+        if root is not None:
+            # Exactly the batch's files, at most files_per_batch: marked files are never opened.
+            listed = {r["file_path"]: r["file_size"] for r in batch_files.select("file_path", "file_size").collect()}
+            n_files = len(listed)
+            batch_lines = _lines_of(spark, root, listed) if listed else None
+        else:
+            n_files = batch_files.count()
+            batch_lines = lines.join(batch_files.select("file_path"), "file_path", "left_semi")
         if n_files == 0:
             store.drop_staging(batch_id)
             break
-        # A file far above an even share of the batch's bytes per core would
-        # keep its parsing in one task (gzip cannot be split): spread lines.
-        size = batch_files.agg(F.max("file_size").alias("mx"), F.sum("file_size").alias("sum")).collect()[0]
-        par = spark.sparkContext.defaultParallelism
-        skewed = bool(size["mx"]) and size["mx"] > 2 * (size["sum"] or 0) / par and n_files > 1
-        if root is not None and n_files <= MAX_LISTED_PATHS:
-            # read exactly the unprocessed files: marked files are never opened.
-            # (Spark's file index keeps every listed path on the driver anyway;
-            # MAX_LISTED_PATHS bounds what this hands to it.)
-            paths = [r["file_path"] for r in batch_files.select("file_path").collect()]
-            batch_lines = read_log_lines(spark, root, paths=paths)
-        else:
-            src = read_log_lines(spark, root, start=start, end=end) if root else lines
-            batch_lines = src.join(batch_files.select("file_path"), "file_path", "left_semi")
-        if skewed:
-            batch_lines = batch_lines.repartition(par)
-        rep = load_batch(store, batch_lines, index, spec, cfg, batch_id, files=batch_files,
-                         owner_node=owner_node, keyed=keyed, rollup=rollup)
-        rep["files"] = n_files
-        reports.append(rep)
-        if not until_done or scan.max_files is None:
-            break
+        reports.append(load_batch(store, batch_lines, index, spec, cfg, batch_id, files=batch_files,
+                                  owner_node=owner_node, keyed=keyed, rollup=rollup, writer_wait_s=writer_wait_s))
+        if left is not None:
+            left -= n_files
     store.drop_staging(list_id)
     return reports
 
 
+def _lines_of(spark: SparkSession, root: str, sizes: dict[str, int]) -> DataFrame:
+    """Lines of the listed files.  Lines of big files are rebalanced (AQE sizes
+    the parts); the others are parsed where they are read."""
+    out = None
+    for big in (False, True):
+        paths = [p for p, n in sizes.items() if (n > BIG_FILE_BYTES) == big]
+        if paths:
+            df = read_log_lines(spark, root, paths=paths)
+            check_files_read(df, paths)
+            df = df.hint("rebalance") if big else df
+            out = df if out is None else out.unionByName(df)
+    return out
+
+
 def stream_load(spark: SparkSession, store: BitStore, root: str, checkpoint: str, *,
-                index: str = DEFAULT_INDEX, spec: LogSpec = LogSpec(), cfg: IdConfig = IdConfig(),
-                max_files_per_trigger: int = 1000, owner_node: int = 0, keyed: bool = False,
-                processing_time: str | None = None):
+                index: str = DEFAULT_INDEX, scan: ScanConfig = ScanConfig(), spec: LogSpec = LogSpec(),
+                cfg: IdConfig = IdConfig(), max_files_per_trigger: int = 1000, owner_node: int = 0,
+                keyed: bool = False, rollup: bool = False, processing_time: str | None = None):
     """The same load as Structured Streaming over a log folder.
 
-    Each micro-batch (at most ``max_files_per_trigger`` files) runs
-    :func:`load_batch`; the streaming checkpoint records which files were
-    taken.  A replayed micro-batch is harmless: ids are get-or-create and
+    Each micro-batch (at most ``max_files_per_trigger`` files) keeps the files
+    that ``scan`` selects (days, buckets, owner; ``max_files`` does not apply)
+    and that no job has marked, and runs :func:`load_batch` on them; the
+    streaming checkpoint records which files were taken.  A replayed
+    micro-batch is harmless: its files are marked, or ids are get-or-create and
     facts are read distinct.  Runs to the end of the available files and
     returns; with ``processing_time`` (e.g. ``"5 minutes"``) it keeps running
     and the started query is returned.
@@ -196,7 +254,7 @@ def stream_load(spark: SparkSession, store: BitStore, root: str, checkpoint: str
     src = (spark.readStream.format("text").option("lineSep", "\n")
            .option("maxFilesPerTrigger", int(max_files_per_trigger)).load(root))
     lines = src.select("value", F.col("dt").cast("date").alias("dt"), F.col("part").cast("int").alias("part"),
-                       F.col("_metadata.file_path").alias("file_path"),
+                       plain_path(F.col("_metadata.file_path")).alias("file_path"),
                        F.col("_metadata.file_size").alias("file_size"))
 
     def each(df: DataFrame, epoch_id: int) -> None:
@@ -205,11 +263,14 @@ def stream_load(spark: SparkSession, store: BitStore, root: str, checkpoint: str
         # (memory, spilling to disk; recomputed from the files if lost).
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            files = store.stage(inventory_of_lines(df), batch_id, "files")
-            if files.limit(1).count() == 0:
+            todo = unprocessed_files(select_files(inventory_of_lines(df), scan), store.marks(index), index)
+            files = store.stage(todo, batch_id, "files")
+            if files.isEmpty():
                 store.drop_staging(batch_id)
                 return
-            load_batch(store, df, index, spec, cfg, batch_id, files=files, owner_node=owner_node, keyed=keyed)
+            own = df.join(files.select("file_path"), "file_path", "left_semi")
+            load_batch(store, own, index, spec, cfg, batch_id, files=files, owner_node=owner_node, keyed=keyed,
+                       rollup=rollup)
         finally:
             df.unpersist()
 
