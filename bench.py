@@ -13,6 +13,8 @@ import statistics
 import sys
 import time
 
+from pyspark.sql import functions as F
+
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -22,7 +24,7 @@ from bitlake.session import get_session, work_path  # noqa: E402
 from bitlake.sources.fixtures import lineitem_log_lines, write_log_files  # noqa: E402
 from bitlake.sources.logs import read_log_lines  # noqa: E402
 from bitlake.spec import IdConfig  # noqa: E402
-from bitlake.streaming.load import run_load, stream_load  # noqa: E402
+from bitlake.streaming.load import load_batch, run_load, stream_load  # noqa: E402
 
 
 def noop(df):
@@ -77,6 +79,16 @@ def main():
     q["stream_load"], _ = once(lambda: stream_load(spark, sstore, root, sstore.root + "/_checkpoint", cfg=cfg,
                                                    max_files_per_trigger=500))
 
+    # two new and two known entities against a dictionary of 3M entries
+    big = BitStore(spark, work_path(spark, "bench-dict"))
+    entries = spark.range(3_000_000).select(F.col("id").alias("col_id"), F.shiftright("id", 20).alias("shard"),
+                                            F.concat(F.lit("e"), F.col("id").cast("string")).alias("col_val"))
+    big.append_shard_log(entries, "_test", 1)
+    big.append_col_dict(entries, "_test", 1)
+    few = spark.createDataFrame([(f"2024-01-01 00:00:00\t{v}\tc\to\ts",) for v in ("e7", "e2999999", "n1", "n2")],
+                                "value string")
+    q["small_batch_on_large_dict"], _ = once(lambda: load_batch(big, few, cfg=cfg))
+
     ix = store.index("_test")
     calls = {
         "row": lambda: ix.columns(ix.row("ofield", "RF")),
@@ -92,8 +104,8 @@ def main():
     # bitmap rollup: built once and stored, then count / topn from bitmaps
     q["bitmap_build"], _ = once(lambda: store.write_rollup("_test"))
     bx = store.rollup_index("_test")
-    q["bitmap_intersect_count"] = timed(lambda: noop(bx.count(bx.intersect(bx.row("ofield", "RF"),
-                                                                          bx.row("sfield", "q10")))), runs)
+    q["bitmap_intersect_count"] = timed(lambda: noop(bx.count(bx.intersect(
+        *bx.rows(("ofield", "RF"), ("sfield", "q10"))))), runs)
     q["bitmap_topn"] = timed(lambda: noop(bx.topn("sfield", n=10)), runs)
 
     total = sum(q.values())

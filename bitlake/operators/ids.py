@@ -42,6 +42,9 @@ def dense_rank_at_scale(df: DataFrame, order_col: str, group_cols=(), rows_per_b
     group_cols = list(group_cols)
     key = group_cols + [order_col]
     buckets = max(1, math.ceil(df.count() / max(1, rows_per_bucket)))
+    if buckets == 1:  # one bucket's worth: nothing to shift
+        w = Window.partitionBy(*group_cols).orderBy(order_col)
+        return df.withColumn(rank_col, (F.row_number().over(w) - 1).cast("long"))
     checkpoint_dir(df.sparkSession)
     b = (df.repartitionByRange(buckets, *key)
          .withColumn("_bucket", F.spark_partition_id()).checkpoint())

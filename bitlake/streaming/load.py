@@ -42,7 +42,8 @@ BIG_FILE_BYTES = 256 << 20
 def _known_columns(vals: DataFrame, lookup: DataFrame) -> DataFrame:
     """``(col_val, col_id, shard)`` of the staged values that have ids.  Inner
     join on the value's group: the small side is broadcast and prunes the groups."""
-    return vals.join(lookup, ["val_group", "col_val"]).select("col_val", "col_id", "shard")
+    # The predicate, true of every group, is what makes Spark consider pruning.
+    return vals.where("val_group >= 0").join(lookup, ["val_group", "col_val"]).select("col_val", "col_id", "shard")
 
 
 def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, spec: LogSpec = LogSpec(),
