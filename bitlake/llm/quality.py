@@ -4,11 +4,11 @@ A text's features are indicators of n-grams: word 1- and 2-grams, and 1-, 2- and
 3-grams of word shapes (letters by case, digits, each punctuation mark; runs
 count once; a word equal to the one before has a shape of its own).  They are
 hashed into ``2**BITS`` slots.  Each indicator is scaled by its class log-count
-ratio, counted over *all* labelled training rows, and the vector to unit length.
-A linear hinge-loss model is fit by dual coordinate descent to a sample of about
-:data:`SAMPLE` training rows a class (documented bound; the rows with the
-smallest hashes of their texts).  Margins of rows that a model has not seen
-(three folds) set a logistic curve that turns margins into scores.
+ratio and the vector to unit length.  A linear hinge-loss model is fit by dual
+coordinate descent.  The model (ratios, weights, curve) is fit to a bounded
+sample of labelled rows, at most :data:`SAMPLE` a class.  Margins of rows that a
+model has not seen (three folds) set a logistic curve that turns margins into
+scores.
 
 Labels, language, source and ids are never inputs of a score.
 
@@ -32,7 +32,7 @@ from bitlake.llm.common import stage, text_or_empty
 from bitlake.llm.hashing import BYTE, Prefix, chunks, mix, word_tokens
 
 BITS = 18
-#: Training rows a class that the linear model is fit to, at most about.
+#: Training rows a class that the model is fit to, at most.
 SAMPLE = 6000
 THRESHOLD = 0.7
 EPOCHS = 20
@@ -132,31 +132,18 @@ def held_out() -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(t, y)``: texts of the rows that may be learned from, and their labels."""
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """``(t, y)``: texts and labels of the rows that are learned from, at most
+    ``sample`` a class, those of the smallest hashes.  The sample is drawn from
+    the labels, so it is small enough to broadcast and texts are not shuffled."""
     one = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("y"))
-           .filter("doc_id is not null and y in (0, 1)")
+           .filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out())
            .groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).filter("y = z").select("doc_id", "y"))
+    order = (F.xxhash64("doc_id"), "doc_id")
+    picked = one.filter("y = 0").orderBy(*order).limit(sample).unionByName(
+        one.filter("y = 1").orderBy(*order).limit(sample))
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.encode(text_or_empty(), "UTF-8").alias("t"))
-    return d.filter(F.col("doc_id").isNotNull() & ~held_out()).join(one, "doc_id").select("t", "y")
-
-
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: documents of each class that have a slot's feature.  Slot -1: all."""
-    counts = np.zeros((2, 1 << BITS), np.int64)
-    n = np.zeros(2, np.int64)
-    for b in batches:
-        y = b.column(1).to_numpy(zero_copy_only=False)
-        n += np.bincount(y, minlength=2)
-        for i, _, buf, offs in chunks(b.column(0), CHUNK):
-            doc, slot = features(buf, offs)
-            own = y[i + doc]
-            for k in (0, 1):
-                counts[k] += np.bincount(slot[own == k], minlength=1 << BITS)
-    seen = np.flatnonzero(counts.any(0))
-    yield pa.RecordBatch.from_arrays([
-        pa.array(np.append(seen, -1), pa.int32()), pa.array(np.append(counts[0][seen], n[0])),
-        pa.array(np.append(counts[1][seen], n[1]))], ["slot", "n0", "n1"])
+    return d.join(F.broadcast(picked), "doc_id").select("t", "y")
 
 
 class QualityModel:
@@ -181,21 +168,7 @@ class QualityModel:
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityModel | float:
     """A model, or the score of every text if there is only one class."""
-    rows = stage(training_rows(docs, labels), "training")
-    got = rows.mapInArrow(_counts, "slot int, n0 bigint, n1 bigint").groupBy("slot").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    got = np.array([tuple(r) for r in got.collect()], np.int64).reshape(-1, 3)  # 2**BITS rows at most
-    n = got[got[:, 0] < 0][:, 1:].sum(0)
-    if not n.all():
-        return 0.0 if n[0] else 1.0
-    counts = np.zeros((2, 1 << BITS))
-    seen = got[got[:, 0] >= 0]
-    counts[:, seen[:, 0]] = seen[:, 1:].T
-    ratios = log_count_ratios(counts)
-    # Of each class, the rows whose hash is below sample / rows of the whole range.
-    share = F.when(F.col("y") == 1, F.lit(sample / int(n[1]))).otherwise(F.lit(sample / int(n[0])))
-    picked = (rows.withColumn("h", F.pmod(F.xxhash64("t"), F.lit(1 << 30)))
-              .filter(F.col("h") < share * (1 << 30)).select("t", "y", "h"))
+    rows = stage(training_rows(docs, labels, sample), "training")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -206,11 +179,17 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = S
                     pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(slot.astype(np.int32))),
                     b.column(1).slice(i, j - i), b.column(2).slice(i, j - i)], ["slots", "y", "h"])
 
-    data = picked.mapInArrow(vectors, "slots array<int>, y int, h bigint").toArrow()
-    order = np.lexsort((data["y"].to_numpy(), data["h"].to_numpy()))
+    data = (rows.select("t", "y", F.xxhash64("t").alias("h"))
+            .mapInArrow(vectors, "slots array<int>, y int, h bigint").toArrow())
+    labelled = data["y"].to_numpy()
+    if len(set(labelled.tolist())) < 2:
+        return 0.0 if 0 in labelled else 1.0
+    order = np.lexsort((labelled, data["h"].to_numpy()))
     lists = data["slots"].combine_chunks()
     flat, cut = lists.values.to_numpy(), lists.offsets.to_numpy()
-    y = np.where(data["y"].to_numpy()[order] == 1, 1.0, -1.0)
+    per = np.repeat(labelled, np.diff(cut))
+    ratios = log_count_ratios(np.stack([np.bincount(flat[cut[0]:cut[-1]][per == k], minlength=1 << BITS) for k in (0, 1)]))
+    y = np.where(labelled[order] == 1, 1.0, -1.0)
     x = []
     for i in order:
         slots = flat[cut[i]:cut[i + 1]]
