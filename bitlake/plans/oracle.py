@@ -138,6 +138,7 @@ _BODIES = {
     # A
     "log_scan": "SELECT dt, part, file_path, value FROM log_line",
     "file_inventory": "SELECT file_path, file_size, dt, part FROM inv",
+    "file_inventory_files": "SELECT DISTINCT dt, part, true AS has_bytes FROM inv",
     "scan_date_range": "SELECT * FROM inv WHERE dt BETWEEN DATE '2024-01-03' AND DATE '2024-01-05'",
     "scan_bucket_range": "SELECT * FROM inv WHERE part BETWEEN 2 AND 5",
     "scan_owned_buckets": "SELECT * FROM inv WHERE part % 3 = 1",

@@ -403,6 +403,13 @@ def log_files_scan(fx: Fixture) -> DataFrame:
     return read_log_lines(fx.spark, log_folder(fx)).select("dt", "part", "value")
 
 
+def file_inventory_files(fx: Fixture) -> DataFrame:
+    """A2 over the real folder: its days and buckets, and whether all files have bytes."""
+    from ..sources.logs import file_inventory as files_of
+    return files_of(fx.spark, odd_log_folder(fx)).groupBy("dt", "part").agg(
+        (F.min("file_size") > 0).alias("has_bytes"))
+
+
 def mark_files(fx: Fixture) -> DataFrame:
     return loaded_store(fx).marks(fx.index)
 
@@ -522,6 +529,7 @@ QUERIES = {
     "bitmap_topn": bitmap_topn_q,
     # A7-A14, S
     "log_files_scan": log_files_scan,
+    "file_inventory_files": file_inventory_files,
     "mark_files": mark_files,
     "marked_files": marked_files,
     "refresh_marks": refresh_marks,
