@@ -191,7 +191,13 @@ def _count_windows(texts: DataFrame, length: int, words: bool) -> DataFrame:
 
     rows = stage(texts.mapInArrow(run, "a bigint, c bigint, h bigint, g bigint, lo int"), "hot-windows")
     often = rows.groupBy("h", "g").count().filter("count > 1").select("h", "g")
-    return rows.join(often, ["h", "g"]).select("a", "c", "lo", (F.col("lo") + length).alias("hi"))
+    # One row a class with its windows (a few hundred at most), then one a run of them.
+    per = rows.join(often, ["h", "g"]).groupBy("a", "c").agg(F.array_sort(F.collect_set("lo")).alias("at"))
+    runs = F.expr(f"""aggregate(at, cast(array() as array<struct<lo:int,hi:int>>), (out, x) ->
+        if(size(out) > 0 and x <= element_at(out, -1).hi,
+           concat(slice(out, 1, size(out) - 1), array(named_struct('lo', element_at(out, -1).lo, 'hi', x + {length}))),
+           concat(out, array(named_struct('lo', x, 'hi', x + {length})))))""")
+    return per.select("a", "c", F.explode(runs).alias("r")).select("a", "c", "r.lo", "r.hi")
 
 
 def repeated_spans(docs: DataFrame, length: int, gram: int, words: bool, solver: Solver,
@@ -199,7 +205,8 @@ def repeated_spans(docs: DataFrame, length: int, gram: int, words: bool, solver:
     """``(k, tx, spans)``: per row with repeats the token spans ``(lo, hi)`` (they
     may overlap) whose windows occur elsewhere too."""
     found = stage(anchors(docs, length, gram, words), "anchors")
-    again = found.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a")
+    # Written first, so that the join has two plain exchanges and AQE can split a hot anchor.
+    again = stage(found.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a"), "anchors-again")
     found = stage(found.join(again, "a", "left_semi"), "repeated-anchors")
     classes = stage(found.groupBy("a", "c").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "tx", "start", "len")).alias("one")), "classes")
