@@ -21,22 +21,28 @@ KEEP = re.compile(r"^\(\d+\) (Scan|Exchange|BroadcastExchange|Window|Generate|So
 
 
 def formatted(df) -> str:
+    df.collect()  # so that the plan is the one that ran
     jvm = df.sparkSession._jvm
     mode = jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     return df._jdf.queryExecution().explainString(mode)
 
 
 def digest(text: str) -> str:
-    tree, details, in_tree = [], [], True
+    tree, details, in_tree, in_list = [], [], True, False
     for ln in text.splitlines():
         if in_tree:
-            if ln.startswith("=="):
+            if ln.startswith("+- == Initial Plan"):
+                in_tree = False
+                continue
+            if ln.startswith("==") or ln.startswith("+- =="):
                 continue
-            if ln.strip() == "":
+            if ln.strip() == "" and tree:
                 in_tree = False
                 continue
             tree.append(ln)
-        elif KEEP.search(ln):
+        elif ln.strip() == "":
+            in_list = True
+        elif in_list and KEEP.search(ln):
             details.append(re.sub(r"#\d+L?", "", re.sub(r"\[plan_id=\d+\]", "", ln)))
     return "\n".join(tree + [""] + details)
 
@@ -72,27 +78,30 @@ def main():
                               IdConfig(shard_width=64, lanes=3, rows_per_rank_bucket=500),
                               new_values=fx.bits.select("col_val").distinct()
                               .withColumn("col_val", F.concat(F.lit("new-"), "col_val"))),
-        "bitmap rollup count (E5)": (lambda bx: bx.count(bx.intersect(bx.row("ofield", "click"),
-                                                                      bx.row("sfield", "view"))))(
+        "bitmap rollup count (E5)": (lambda bx: bx.count(bx.intersect(
+            *bx.rows(("ofield", "click"), ("sfield", "view")))))(
             __import__("bitlake.operators.bitmaps", fromlist=["BitmapIndex"]).BitmapIndex(
                 __import__("bitlake.operators.bitmaps", fromlist=["bitmap_index"]).bitmap_index(store.facts("_test")),
                 store.row_dict("_test"), "_test")),
     }
     print("# PLANS — physical plans of the main operators\n")
-    print(f"Generated by `tools/explain_plans.py` on {sf_dir} (local[8], AQE on; initial plans, before AQE's "
-          "runtime re-planning, which turns small joins into broadcasts). Expression ids are stripped.\n")
+    print(f"Generated by `tools/explain_plans.py` on {sf_dir} (local[8], AQE on; executed plans; details may "
+          "include the initial plan's nodes). Expression ids are stripped.\n")
     print("What to check in each plan:\n")
     print("* **Pruning and pushdown reach the scans.** `PartitionFilters` cover `index` and `field` (facts), "
-          "`dt` (logs) and `id_group` via dynamic pruning (column dictionary). `PushedFilters` carry the "
-          "literal `row_id` (and day bounds), and `ReadSchema` has only the columns used.")
+          "`dt` (logs) and, for small answers, `id_group` (column dictionary). `PushedFilters` carry the "
+          "literal `row_id` (and day bounds), `month` filters a range, and `ReadSchema` has only the columns used.")
     print("* **Every exchange over per-value data is `hashpartitioning` on the operator's key.** "
           "`SinglePartition` appears in two bounded places only. One is a global count or sum, which merges one "
-          "partial row per task. The other is the running sum over the rank's per-range counts (at most #ranges "
-          "rows); with one range of at most 2M values the rank is a plain `row_number`.")
+          "partial row per task. The other is the running sum over the rank's per-range counts (one row "
+          "per 50,000 values).")
     print("* **Aggregates are partial + final, so map-side combining comes before each shuffle.** TopN counts "
           "distinct (row, col) pairs first, so a hot row is spread over tasks.")
     print("* **A same-field intersect, union or difference is one scan** with `In(row_id, [...])`. Other intersects are left-semi "
           "joins between distinct operands, with no extra distinct.")
+    print("* **Column dictionary.** Here it is smaller than the answers, so AQE broadcasts it whole and `id_group` is not "
+          "pruned\n  (`dynamicpruningexpression(true)`). With a small answer over a large dictionary the answer is "
+          "broadcast and prunes it:\n  `tests/test_scale_rules.py` checks that executed plan.")
     print("* **No Python evaluation node anywhere.**\n")
     for title, df in plans.items():
         print(f"## {title}\n\n```\n{digest(formatted(df))}\n```\n")
