@@ -35,9 +35,10 @@ from pyspark.sql import functions as F
 from bitlake.llm.common import stage, text_or_empty
 from bitlake.llm.hashing import BYTE, Prefix, chunks, mix, sliding_min, word_tokens
 
-#: Classes of one anchor that are compared in one task.
-GROUP = 2048
-#: Bytes that a task hashes at a time, and tokens that it compares at a time.
+#: Classes of one anchor that are compared in one task (about 1.5 MB of bytes).
+GROUP = 4096
+#: Bytes that a task hashes at a time, and twice the bytes after which it compares
+#: the groups that it holds.
 CHUNK = 1 << 21
 #: A solver takes (tokens, separator slots) and returns starts and ends of spans.
 Solver = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -154,13 +155,11 @@ def _compare(texts: DataFrame, solver: Solver, words: bool) -> DataFrame:
             pa.array(a[which]), pa.array(c[which]), pa.array(lo.astype(np.int32)),
             pa.array((lo + e - s).astype(np.int32))], ["a", "c", "lo", "hi"])
 
-    most = CHUNK // 2
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, c, t, size = [], [], [], 0
         for b in batches:
             for x, y, z in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                if size > most and x != a[-1]:
+                if size > CHUNK // 2 and x != a[-1]:
                     if (out := solved(np.array(a), np.array(c), t)) is not None:
                         yield out
                     a, c, t, size = [], [], [], 0

@@ -28,7 +28,8 @@ from bitlake.llm.repeats import repeated_spans, with_spans
 from bitlake.llm.suffix import SuffixArray, covered
 
 WINDOW = 200
-GRAM = 24
+#: Anchors this long rarely repeat by chance.
+GRAM = 64
 
 
 def intervals(sa: SuffixArray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
