@@ -37,9 +37,9 @@ from bitlake.llm.hashing import BYTE, Prefix, chunks, mix, sliding_min, word_tok
 
 #: Classes of one anchor that are compared in one task (about 1.5 MB of bytes).
 GROUP = 4096
-#: Bytes that a task hashes at a time, and twice the bytes after which it compares
-#: the groups that it holds.
-CHUNK = 1 << 21
+#: Bytes that a task hashes at a time (they and their hashes fit a cache), and
+#: bytes after which it compares the groups that it holds.
+CHUNK, COMPARED = 1 << 18, 1 << 17
 #: A solver takes (tokens, separator slots) and returns starts and ends of spans.
 Solver = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -159,7 +159,7 @@ def _compare(texts: DataFrame, solver: Solver, words: bool) -> DataFrame:
         a, c, t, size = [], [], [], 0
         for b in batches:
             for x, y, z in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                if size > CHUNK // 2 and x != a[-1]:
+                if size > COMPARED and x != a[-1]:
                     if (out := solved(np.array(a), np.array(c), t)) is not None:
                         yield out
                     a, c, t, size = [], [], [], 0

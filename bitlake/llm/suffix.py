@@ -7,6 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 
 
+def _ranks(names: np.ndarray) -> np.ndarray:
+    order = np.argsort(names)
+    there = names[order]
+    out = np.empty(len(names), np.int32)
+    out[order] = np.cumsum(np.append(False, there[1:] != there[:-1]), dtype=np.int32)
+    return out
+
+
 class SuffixArray:
     """Suffixes of several token sequences laid end to end.  A separator of its
     own ends each, so that common prefixes never leave a sequence.
@@ -21,15 +29,20 @@ class SuffixArray:
         ids[ends] = ids.max(initial=0) + 1 + np.arange(len(ends))
         self.ids, n = ids, len(ids)
         longest = int(np.diff(ends, prepend=-1).max(initial=1))
+        # Names of prefixes of 1, 2, 4 ... tokens: side by side in one number as far
+        # as they fit, then ranks of pairs of shorter ones.  What lies past the end
+        # does not matter, as the separator before it occurs only once.
         bits = max(1, int(ids.max(initial=0)).bit_length())
-        # Names of prefixes of 2**level tokens, from pairs of shorter ones.
         self.levels = [(1, ids)]
-        while self.levels[-1][0] < longest and bits:
-            h, rank = self.levels[-1]
-            other = np.zeros(n, np.int64)
-            other[:n - h] = rank[h:] + 1
-            _, rank = np.unique((rank.astype(np.int64) << 31) | other, return_inverse=True)
-            self.levels.append((2 * h, rank.astype(np.int32)))
+        while self.levels[-1][0] < longest:
+            h, name = self.levels[-1]
+            if name.dtype != np.int32 and 2 * h * bits > 62:
+                name = _ranks(name)
+                self.levels[-1] = (h, name)
+            width = 32 if name.dtype == np.int32 else h * bits
+            pair = name.astype(np.int64) << width
+            pair[:n - h] |= name[h:]
+            self.levels.append((2 * h, _ranks(pair) if width == 32 else pair))
         self.order = np.argsort(self.levels[-1][1], kind="stable")
         a, b = self.order[:-1], self.order[1:]
         same = np.zeros(max(0, n - 1), np.int64)
