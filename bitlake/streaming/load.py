@@ -72,8 +72,10 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
                                batch_id, "old_rows")
         new_rows = row_vals.join(old_rows, ["field", "row_val"], "left_anti")
         row_entries = store.stage(assign_row_ids(None, rd, index, cfg, new_values=new_rows), batch_id, "new_rows")
-        check_row_entries(row_entries, rd, index)
-        store.append_row_dict(row_entries, index, batch_id)
+        n_new_rows = row_entries.count()
+        if n_new_rows:
+            check_row_entries(row_entries, rd, index)
+            store.append_row_dict(row_entries, index, batch_id)
         t.append(time.perf_counter())
 
         old_cols = store.stage(_known_columns(col_vals, store.col_lookup(index)), batch_id, "old_cols")
@@ -81,9 +83,11 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
         state = store.shard_state(index, cfg.shard_width)
         col_entries = store.stage(assign_column_ids(None, store.col_dict(index), index, cfg, new_values=new_cols,
                                                     state=state), batch_id, "new_cols")
-        check_col_entries(col_entries, state)
-        store.append_shard_log(col_entries, index, batch_id)   # log first: it always covers the dictionary
-        store.append_col_dict(col_entries, index, batch_id)
+        n_new_cols = col_entries.count()
+        if n_new_cols:
+            check_col_entries(col_entries, state)
+            store.append_shard_log(col_entries, index, batch_id)   # log first: it always covers the dictionary
+            store.append_col_dict(col_entries, index, batch_id)
         t.append(time.perf_counter())
 
     added_rows = row_entries.select("field", "row_val", "row_id")
@@ -110,7 +114,7 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
     t.append(time.perf_counter())
     steps = ("stage_bits", "row_ids", "col_ids", "facts", "report_marks")
     report = {"batch_id": batch_id, "bits": bits.count(),
-              "new_rows": added_rows.count(), "new_cols": added_cols.count(), **totals,
+              "new_rows": n_new_rows, "new_cols": n_new_cols, **totals,
               "seconds": {k: round(t[i + 1] - t[i], 3) for i, k in enumerate(steps)}}
     store.drop_staging(batch_id)
     return report
@@ -119,12 +123,6 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
 def _report(store: BitStore, staged: DataFrame, files: DataFrame | None, index: str, spec: LogSpec,
             batch_id: int) -> dict:
     """Commit the batch's rejects and its report by file; the totals."""
-    rejects = staged.where(F.col("field") == "#reject").select(
-        F.col("col_val").alias("value"),
-        F.concat(F.lit("positions="), F.col("n_pos").cast("string"), F.lit(f" < {spec.min_positions}")).alias("reason"),
-        F.col("day").alias("dt"), "part", F.col("row_val").alias("file_path"), "n")
-    store.append_rejects(rejects, index, batch_id)
-
     def lines_of(kind=None):
         n = F.col("n") if kind is None else F.when(F.col("col_val") == kind, F.col("n")).otherwise(0)
         return F.sum(n).cast("long")
@@ -143,7 +141,14 @@ def _report(store: BitStore, staged: DataFrame, files: DataFrame | None, index:
     store.append_report(by_file, index, batch_id)
     r = by_file.agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"), F.sum("n_lines").alias("lines"),
                     F.sum("n_rejects").alias("rejects"), F.sum("n_bad_time").alias("bad_times")).first()
-    return {k: int(r[k] or 0) for k in ("files", "bytes", "lines", "rejects", "bad_times")}
+    totals = {k: int(r[k] or 0) for k in ("files", "bytes", "lines", "rejects", "bad_times")}
+    if totals["rejects"]:
+        store.append_rejects(staged.where(F.col("field") == "#reject").select(
+            F.col("col_val").alias("value"),
+            F.concat(F.lit("positions="), F.col("n_pos").cast("string"),
+                     F.lit(f" < {spec.min_positions}")).alias("reason"),
+            F.col("day").alias("dt"), "part", F.col("row_val").alias("file_path"), "n"), index, batch_id)
+    return totals
 
 
 def run_load(spark: SparkSession, store: BitStore, *, root: str | None = None, lines: DataFrame | None = None,
