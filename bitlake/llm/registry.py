@@ -57,4 +57,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": exact_dedup.ORACLE, "op6_sharding": sharding.oracle(), "op7_mixing": mixing.ORACLE}
+    return {"op2_substring_dedup": substring_dedup.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE,
+            "op6_sharding": sharding.oracle(), "op7_mixing": mixing.ORACLE,
+            "op8_suffix_array_dedup": suffix_array_dedup.ORACLE}

@@ -119,3 +119,17 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     return with_spans(docs, spans).mapInArrow(run, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+
+
+ORACLE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+           FROM documents),
+p AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+g AS (SELECT r, i, w[i] AS word,
+             CASE WHEN i + {WINDOW - 1} <= len(w) THEN sha256(array_to_string(w[i:i + {WINDOW - 1}], ' ')) END AS g FROM p),
+c AS (SELECT r, i, word, CASE WHEN g IS NOT NULL AND count(*) OVER (PARTITION BY g) > 1 THEN i END AS again FROM g),
+m AS (SELECT r, i, word, coalesce(max(again) OVER (PARTITION BY r ORDER BY i) > i - {WINDOW}, false) AS gone FROM c),
+k AS (SELECT r, count(*) FILTER (gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM m GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""

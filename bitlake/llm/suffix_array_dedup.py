@@ -95,3 +95,19 @@ def suffix_array_dedup(docs: DataFrame) -> DataFrame:
 
     return with_spans(docs, spans).mapInArrow(
         run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+
+
+ORACLE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT r, unnest(range(0, len(h) // 2)) AS i, h FROM d),
+g AS (SELECT r, i, h[2 * i + 1:2 * i + 2] AS byte,
+             CASE WHEN i + {WINDOW} <= len(h) // 2 THEN md5(h[2 * i + 1:2 * i + {2 * WINDOW}]) END AS g FROM p),
+c AS (SELECT r, i, byte, CASE WHEN g IS NOT NULL AND count(*) OVER (PARTITION BY g) > 1 THEN i END AS again FROM g),
+m AS (SELECT r, i, byte, coalesce(max(again) OVER (PARTITION BY r ORDER BY i) > i - {WINDOW}, false) AS gone FROM c),
+e AS (SELECT r, i, byte, gone, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), false) AS opens FROM m),
+k AS (SELECT r, count(*) FILTER (gone) AS n, count(*) FILTER (opens) AS s,
+             string_agg(byte, '' ORDER BY i) FILTER (NOT gone) AS kept FROM e GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(s, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
