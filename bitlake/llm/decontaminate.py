@@ -1,14 +1,21 @@
-"""Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
-
-Words are runs of letters and digits, lower-cased.  For the 3-grams of the test
-items, the number of documents that have them is counted over the whole corpus.
-An item's seeds are its rarest 3-grams: those no more frequent than its median
-one, so that every item keeps at least half of them (fewer words: the whole
-item is the seed).  A document that has a seed joins the item: the passage
-around the seed is aligned with the item word by word (match 2, mismatch -1,
-gap -1, local), and the pair is reported if the best alignment has at least
-:data:`SCORE` of the score of an exact copy.  The threshold is on the alignment
-alone, whatever the number of seeds.
+"""Benchmark decontamination: word-pair seeds and Smith-Waterman alignment.
+
+Words are runs of letters and digits, lower-cased.  A document is aligned with
+an item word by word (match 2, mismatch -1, gap -1, local), and the pair is
+reported if the best alignment has at least :data:`SCORE` of the score of an
+exact copy.  The threshold is on the alignment alone; seeds only save work:
+
+A *pair* is two words of a text that are neighbours or have one word between
+them.  An alignment with ``M`` matches and ``X`` mismatches and gaps reaches
+``S = 2 * SCORE * n`` of an item of ``n`` words only if ``X <= 2 * M - S``.  Two
+consecutive matches with at most one error between them are a pair on both
+sides; all others have two errors or more between them, so there are at least
+``S / 2 - 1`` pairs in common, at places of their own, in at most ``3 * n - S``
+words of the document.  Up to half of that number, the pairs of an item that the
+most documents of the corpus have are left out and not waited for.  Wherever the
+others occur often enough in so many words, the passage is aligned.  So copies
+of an item make its pairs frequent, but never hide one another.  Items of one or
+two words are found where all their words are (a word between them at most).
 
 Test items are taken in blocks of about :data:`BLOCK_BYTES`, each of which is
 held against all documents, so a large set of benchmarks costs more passes and
@@ -30,13 +37,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitlake.llm.common import text_or_empty
-from bitlake.llm.hashing import Prefix, chunks, word_tokens
+from bitlake.llm.hashing import chunks, mix, word_tokens
 
-GRAM = 3
 SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_BYTES = 4 << 20
 CHUNK = 1 << 21
+#: Places of items that are held against the text at a time, about.
+PLACES = 1 << 21
 
 #: Everything but ASCII letters and digits and non-ASCII bytes becomes a space.
 _WORD = np.arange(256, dtype=np.uint8)
@@ -48,32 +56,39 @@ def _tokens(buf: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tokens, at
 
 
-def _grams(tokens: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the n-grams that lie in one document, and their positions."""
-    if len(tokens) < n:
+def _pairs_of(tokens: np.ndarray, at: np.ndarray, apart: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words ``apart`` places from each other in one document, and
+    the positions of the first; 0 apart: of single words."""
+    if not apart:
+        return tokens, np.arange(len(tokens))
+    if len(tokens) <= apart:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    pos = np.flatnonzero(doc[:len(doc) - n + 1] == doc[n - 1:])
-    return Prefix(tokens).slices(pos, pos + n), pos
+    pos = np.flatnonzero(doc[:-apart] == doc[apart:])
+    return mix(tokens[pos] * np.uint64(0x9E3779B97F4A7C15) + tokens[pos + apart]), pos
 
 
 class Seeds:
-    """Grams of a block of items: where each is, and how to find them quickly."""
+    """Pairs of a block of items: whose each is, and how to find them quickly."""
 
     def __init__(self, items: list[tuple[int | None, str]]):
         self.ids, self.items, rows = [], [], []
         for item_id, text in items:
             raw = np.frombuffer(text.encode(), np.uint8)
-            tokens, _ = _tokens(raw, np.array([0, len(raw)]))
+            tokens, at = _tokens(raw, np.array([0, len(raw)]))
             if not len(tokens):
                 continue
-            n = min(GRAM, len(tokens))
-            grams, pos = _grams(tokens, np.array([0, len(tokens)]), n)
-            rows.append(np.stack([grams, np.full(len(grams), len(self.items), np.uint64),
-                                  pos.astype(np.uint64), np.full(len(grams), n, np.uint64)], 1))
+            own = np.concatenate([_pairs_of(tokens, at, k)[0] for k in ((1, 2) if len(tokens) > 1 else (0,))])
+            key, n = np.unique(own, return_counts=True)
+            rows.append(np.stack([key, np.full(len(key), len(self.items), np.uint64), n.astype(np.uint64)], 1))
             self.ids.append(item_id)
             self.items.append(tokens)
-        rows = np.concatenate(rows) if rows else np.zeros((0, 4), np.uint64)
+        rows = np.concatenate(rows) if rows else np.zeros((0, 3), np.uint64)
+        n = np.array([len(x) for x in self.items], np.int64)
+        least = np.ceil(SCORE * MATCH * n - 1e-9).astype(np.int64)
+        #: Pairs in common at least, and words of text that they are in at most.
+        self.need, self.span = np.maximum(-(-least // 2) - 1, 1), 3 * n - least
+        self.apart = ([0] if (n == 1).any() else []) + [1, 2]
         self._set(rows[np.argsort(rows[:, 0], kind="stable")])
 
     @classmethod
@@ -86,31 +101,36 @@ class Seeds:
     def _set(self, rows: np.ndarray) -> None:
         self.rows = rows
         self.keys, self.first = np.unique(rows[:, 0], return_index=True)
-        self.sizes = [int(x) for x in np.unique(rows[:, 3])]
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[(self.keys >> np.uint64(44)).astype(np.int64)] = True
-
-    def rare(self, documents: np.ndarray) -> None:
-        """Keep, of each item, the grams no more frequent than its median gram."""
+        bits = min(24, max(20, len(self.keys).bit_length() + 4))
+        self.shift = np.uint64(64 - bits)
+        self.maybe = np.zeros(1 << bits, bool)
+        self.maybe[(self.keys >> self.shift).astype(np.int64)] = True
+
+    def without_frequent(self, documents: np.ndarray) -> None:
+        """Leave out, of each item, the pairs that most documents have, up to half
+        of those that a copy needs, and lower what it needs by as many."""
         of = documents[np.searchsorted(self.keys, self.rows[:, 0])]
-        item = self.rows[:, 1].astype(np.int64)
-        order = np.lexsort((of, item))
-        start = np.searchsorted(item[order], np.arange(len(self.items) + 1))
-        middle = of[order][(start[:-1] + start[1:] - 1) // 2] if len(self.items) else of
-        self._set(self.rows[of <= middle[item]])
+        item, n = self.rows[:, 1].astype(np.int64), self.rows[:, 2].astype(np.int64)
+        order = np.lexsort((-of, item))
+        start = np.searchsorted(item[order], np.arange(len(self.items)))
+        total = np.cumsum(n[order])
+        upto = total - (total - n[order])[start][item[order]]
+        out = order[upto <= (self.need // 2)[item[order]]]
+        self.need = self.need - np.bincount(item[out], n[out], len(self.items)).astype(np.int64)
+        kept = np.ones(len(self.rows), bool)
+        kept[out] = False
+        self._set(self.rows[kept])
 
     def hits(self, tokens: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in ``tokens`` of grams of the block, and their key numbers."""
+        """Positions in ``tokens`` of pairs of the block, and their key numbers."""
         pos, key = [], []
-        for n in self.sizes:
-            grams, where = _grams(tokens, at, n)
-            some = np.flatnonzero(self.maybe[(grams >> np.uint64(44)).astype(np.int64)])
-            k = np.searchsorted(self.keys, grams[some])
-            ok = (k < len(self.keys)) & (self.keys[np.minimum(k, len(self.keys) - 1)] == grams[some])
+        for apart in self.apart:
+            pairs, where = _pairs_of(tokens, at, apart)
+            some = np.flatnonzero(self.maybe[(pairs >> self.shift).astype(np.int64)])
+            k = np.searchsorted(self.keys, pairs[some])
+            ok = (k < len(self.keys)) & (self.keys[np.minimum(k, len(self.keys) - 1)] == pairs[some])
             pos.append(where[some[ok]])
             key.append(k[ok])
-        if not pos:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(pos), np.concatenate(key)
 
 
@@ -131,23 +151,40 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def _spans(seeds: Seeds, pos: np.ndarray, key: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """``(document, item, start, end)`` of the passages that have as many pairs of
+    the item, close enough, as a copy needs; sorted."""
+    ends = np.append(seeds.first[1:], len(seeds.rows))
+    n = (ends - seeds.first)[key]
+    rows = np.arange(int(n.sum())) + np.repeat(seeds.first[key] - (np.cumsum(n) - n), n)
+    p, item = np.repeat(pos, n), seeds.rows[rows, 1].astype(np.int64)
+    order = np.lexsort((p, item, np.searchsorted(at, p, "right")))
+    p, item = p[order], item[order]
+    doc = np.searchsorted(at, p, "right") - 1
+    new = np.ones(len(p), bool)
+    new[1:] = (p[1:] != p[:-1]) | (item[1:] != item[:-1])
+    p, item, doc = p[new], item[new], doc[new]
+    last = np.arange(len(p)) + seeds.need[item] - 1
+    end = np.minimum(last, len(p) - 1)
+    ok = np.flatnonzero((last < len(p)) & (doc[end] == doc) & (item[end] == item) & (p[end] - p < seeds.span[item]))
+    span, doc, item = seeds.span[item[ok]], doc[ok], item[ok]
+    lo, hi = np.maximum(p[end[ok]] - span + 1, at[doc]), np.minimum(p[ok] + span, at[doc + 1])
+    yield from zip(*(x.tolist() for x in (doc, item, lo, hi)))
+
+
 def _pairs(seeds: Seeds, tokens: np.ndarray, at: np.ndarray) -> dict[int, dict[int, float]]:
     """Per document the items it holds, with the best score."""
     pos, key = seeds.hits(tokens, at)
     if not len(pos):
         return {}
-    ends = np.append(seeds.first[1:], len(seeds.rows))
-    n = (ends - seeds.first)[key]
-    rows = np.arange(int(n.sum())) + np.repeat(seeds.first[key] - (np.cumsum(n) - n), n)
-    p = np.repeat(pos, n)
-    item, off = seeds.rows[rows, 1].astype(np.int64), seeds.rows[rows, 2].astype(np.int64)
-    doc = np.searchsorted(at, p, "right") - 1
-    size = np.array([len(x) for x in seeds.items])[item]
-    slack = size // 2 + 4
-    lo = np.maximum(p - off - slack, at[doc])
-    hi = np.minimum(p - off + size + slack, at[doc + 1])
+    order = np.argsort(pos, kind="stable")
+    pos, key = pos[order], key[order]
+    # Whole documents at a time, so that the places of their pairs in items stay few.
+    doc = np.searchsorted(at, pos, "right") - 1
+    places = np.cumsum(np.diff(np.append(seeds.first, len(seeds.rows)))[key])
+    cut = np.flatnonzero(np.diff(doc)) + 1
+    cut = np.append(0, np.append(cut[np.diff(places[cut - 1] // PLACES, prepend=0) > 0], len(pos)))
     out: dict[int, dict[int, float]] = {}
-    order = np.lexsort((lo, item, doc))
     group = None
     spans: list[list[int]] = []
 
@@ -158,16 +195,18 @@ def _pairs(seeds: Seeds, tokens: np.ndarray, at: np.ndarray) -> dict[int, dict[i
         if best >= SCORE:
             out.setdefault(d, {})[i] = best
 
-    for d, i, s, e in zip(*(x[order].tolist() for x in (doc, item, lo, hi))):
-        if group != (d, i):
-            if group:
-                close()
-            group, spans = (d, i), [[s, e]]
-        elif s <= spans[-1][1] and e - spans[-1][0] <= 8 * (e - s):
-            spans[-1][1] = max(spans[-1][1], e)
-        elif e > spans[-1][1]:
-            spans.append([s, e])
-    close()
+    for x, y in zip(cut[:-1], cut[1:]):
+        for d, i, s, e in _spans(seeds, pos[x:y], key[x:y], at):
+            if group != (d, i):
+                if group:
+                    close()
+                group, spans = (d, i), [[s, e]]
+            elif s <= spans[-1][1] and e - spans[-1][0] <= 8 * seeds.span[i]:
+                spans[-1][1] = max(spans[-1][1], e)
+            elif e > spans[-1][1]:
+                spans.append([s, e])
+    if group:
+        close()
     return out
 
 
@@ -183,8 +222,8 @@ def _blocks(benchmark: DataFrame) -> Iterator[Seeds]:
             yield seeds
 
 
-def rare_seeds(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Iterator[Seeds]:
-    """Blocks of items with their rare grams, counted over all of ``docs``."""
+def seed_blocks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Iterator[Seeds]:
+    """Blocks of items with their seeds; documents are counted over all of ``docs``."""
     d = docs.select(F.encode(F.lower(text_or_empty()), "UTF-8").alias("t"))
     for seeds in _blocks(benchmark):
         shared = spark.sparkContext.broadcast(vars(seeds))
@@ -204,8 +243,8 @@ def rare_seeds(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> It
 
         documents = np.zeros(len(seeds.keys), np.int64)
         for r in d.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).collect():
-            documents[r.key] = r.n  # one row a gram of the block at most
-        seeds.rare(documents)
+            documents[r.key] = r.n  # one row a pair of the block at most
+        seeds.without_frequent(documents)
         yield seeds
 
 
@@ -231,7 +270,7 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     """One row per document and item it holds: ``doc_id, item_id, score``."""
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("t"))
     out = None
-    for seeds in rare_seeds(spark, docs, benchmark):
+    for seeds in seed_blocks(spark, docs, benchmark):
         found = d.select("doc_id", F.explode(leaks(spark, seeds, F.col("t"))).alias("x")).select("doc_id", "x.*")
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], "doc_id bigint, item_id bigint, score double")
@@ -240,6 +279,6 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold a test item."""
     out = docs
-    for seeds in rare_seeds(spark, docs, benchmark):
+    for seeds in seed_blocks(spark, docs, benchmark):
         out = out.filter(F.size(leaks(spark, seeds, text_or_empty())) == 0)
     return out

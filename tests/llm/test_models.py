@@ -122,6 +122,41 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.contamination(spark, docs, bench.limit(0)).count() == 0
 
 
+def edited(item, rate, rng):
+    """The item with ``rate`` of its words changed, at places of any kind."""
+    out = list(item)
+    for k in rng.sample(range(len(out)), round(rate * len(out))):
+        out[k] = f"z{rng.randrange(10**6)}"
+    return out
+
+
+@pytest.mark.parametrize("exact_copies", [0, 1, 40])
+def test_edited_copies_are_found_down_to_the_score(spark, exact_copies):
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(2000)] + ["the", "of"] * 300
+    items = [rng.choices(vocabulary, k=n) for n in (6, 9, 15, 30, 60) for _ in range(12)]
+    docs = [rng.choices(vocabulary, k=20) + edited(x, (0.2, 0.25, 0.3, 1 / 3)[i % 4], rng) + rng.choices(vocabulary, k=20)
+            for i, x in enumerate(items)]
+    docs += [[w if k % 3 else "zz" for k, w in enumerate(x)] for x in items]  # every third word
+    docs += [[y for w in x for y in (w, "zz")] for x in items]  # a word after every word
+    docs += [x for x in items for _ in range(exact_copies)]
+    df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(docs)], "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contamination(spark, df, bench).collect()}
+    want, b = {}, [words(" ".join(x)) for x in items]
+    for d, x in enumerate(docs[:180]):
+        t = words(" ".join(x))
+        for i, w in enumerate(b):
+            if len(set(w.tolist()) & set(t.tolist())) * 2 >= len(set(w.tolist())):
+                if (s := decontaminate.align(w, t)[0] / (2 * len(w))) >= decontaminate.SCORE:
+                    want[d, i] = round(s, 6)
+    assert min(want.values()) == 0.5 and sum((i, i) in want for i in range(60)) >= 55
+    assert all((120 + i, i) in want for i in range(60))
+    assert {k: v for k, v in got.items() if k[0] < 180 and k in want} == want
+    kept = {r.doc_id for r in decontaminate.drop_contaminated(spark, df, bench).collect()}
+    assert not kept & {d for d, _ in want}
+
+
 def test_blocks_of_items_give_the_same_pairs(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = sorted(map(tuple, decontaminate.contamination(spark, docs, bench).collect()))
