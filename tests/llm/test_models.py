@@ -75,6 +75,43 @@ def test_quality_edge_rows_get_scores(spark):
     assert len(empty) == 1
 
 
+def labelled(spark, n=1500):
+    """Documents of class 1, and some of which a fifth is of class 0; ids that are not held out."""
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(40)]
+    ids = [i for i in range(2 * n) if zlib.crc32(str(i).encode()) % 4 != 2][:n]
+    rows = []
+    for k, i in enumerate(ids):
+        mixed = k % 5 < 3
+        y = 0 if mixed and rng.random() < 0.2 else 1
+        rows.append((i, " ".join([*rng.choices(vocabulary, k=12), *(["Mixed!"] * 3 if mixed else ["plain"])]), y))
+    return (spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4),
+            spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int"), rows)
+
+
+def test_quality_counts_all_rows_and_draws_from_those_with_a_document(spark, monkeypatch):
+    docs, labels, rows = labelled(spark, 300)
+    full = quality.fit(spark, docs, labels)
+    assert np.array_equal(quality.fit(spark, docs, labels, sample=20).ratios, full.ratios)  # no sample in the ratios
+    wider = labels.unionByName(spark.range(10**6, 10**6 + 3000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality"))
+    same = quality.fit(spark, docs, wider, sample=300)
+    assert isinstance(same, quality.QualityModel) and np.array_equal(same.weights, full.weights)
+    monkeypatch.setattr(quality, "BROADCAST", 0)
+    assert np.array_equal(quality.fit(spark, docs, labels).weights, full.weights)
+
+
+def test_quality_sample_bounds_repeated_rows(spark, monkeypatch):
+    docs, labels, rows = labelled(spark, 300)
+    more = docs.unionByName(docs.filter(docs.doc_id == rows[0][0]).crossJoin(spark.range(2000)).select("doc_id", "text"))
+    sizes = []
+    descent = quality.dual_coordinate_descent
+    monkeypatch.setattr(quality, "dual_coordinate_descent", lambda x, y, *a, times=None, **k: sizes.append(
+        (len(x), sum(np.ones(len(x)) if times is None else times))) or descent(x, y, *a, times=times, **k))
+    model = quality.fit(spark, more, labels, sample=100)
+    assert isinstance(model, quality.QualityModel) and max(x for x, _ in sizes) <= 200
+    assert max(x for _, x in sizes) <= 200 + 1e-6
+
+
 def words(t):
     buf = np.frombuffer(t.lower().encode(), np.uint8)
     return decontaminate._tokens(buf, np.array([0, len(buf)]))[0]
