@@ -7,7 +7,8 @@ hashed into ``2**BITS`` slots.  Each indicator is scaled by its class log-count
 ratio, counted over *all* labelled training rows, and the vector to unit length.
 A linear hinge-loss model is fit by dual coordinate descent to a sample of at
 most :data:`SAMPLE` training rows a class, drawn from the labelled rows that have
-a document.  Margins of rows that a model has not seen (three folds) set a
+a document.  Sampled rows are weighted so that the classes have the ratio that
+they have among all labelled rows, in the fit and in the curve.  Margins of rows that a model has not seen (three folds) set a
 logistic curve that turns margins into scores.
 
 Labels, language, source and ids are never inputs of a score.
@@ -248,6 +249,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = S
     lists = data["slots"].combine_chunks()
     flat, cut = lists.values.to_numpy(), lists.offsets.to_numpy()
     y, times = (np.array([chosen[i][k] for i in h[order].tolist()], float) for k in (0, 1))
+    # The classes in the ratio of all rows, with the weight of the sample in all.
+    drawn = np.array([times[y == k].sum() for k in (0, 1)])
+    times *= (n / drawn * (drawn.sum() / n.sum()))[y.astype(int)]
     y = 2 * y - 1
     x = []
     for i in order:

@@ -75,7 +75,7 @@ def test_quality_edge_rows_get_scores(spark):
     assert len(empty) == 1
 
 
-def labelled(spark, n=1500):
+def labelled(spark, n):
     """Documents of class 1, and some of which a fifth is of class 0; ids that are not held out."""
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(40)]
@@ -112,6 +112,21 @@ def test_quality_sample_bounds_repeated_rows(spark, monkeypatch):
     assert max(x for _, x in sizes) <= 200 + 1e-6
 
 
+def test_quality_sample_keeps_the_class_ratio(spark):
+    docs, labels, rows = labelled(spark, 6000)
+    rng = random.Random(8)
+    new = [" ".join([*rng.choices([f"w{i}" for i in range(40)], k=12), *tail])  # not learned from
+           for tail in (["Mixed!"] * 3, ["plain"]) for _ in range(400)]
+    new = spark.createDataFrame(enumerate(new), "doc_id long, text string")
+    kept, mean = [], []
+    for sample in (quality.SAMPLE, 600):  # class 0 has about 720 rows, class 1 has 5,280
+        model = quality.fit(spark, docs, labels, sample=sample)
+        s = np.array([r.s for r in new.select(quality.scored(spark, model, new.text).alias("s")).collect()])
+        kept.append((s >= quality.THRESHOLD).mean())
+        mean.append(s.mean())
+    assert abs(mean[1] - mean[0]) < 0.03 and abs(kept[1] - kept[0]) < 0.1, (mean, kept)
+
+
 def words(t):
     buf = np.frombuffer(t.lower().encode(), np.uint8)
     return decontaminate._tokens(buf, np.array([0, len(buf)]))[0]
