@@ -2,7 +2,8 @@ r"""HTML extraction by equivalence-class template deduction.
 
 1. Every page becomes tokens: its tags, each with its path of open tags, and its
    text blocks, each with its path and words.
-2. A token's occurrence vector is how often it occurs in each page of its host.
+2. A token's occurrence vector is how often it occurs in each page of its host,
+   where pages of equal html are one page, however many rows they are.
    Vectors are compared by a hash that is summed up page by page (one aggregate
    by host and token, so a host with a third of all pages is spread).  Tokens of
    one host with equal vectors are an equivalence class.
@@ -10,7 +11,9 @@ r"""HTML extraction by equivalence-class template deduction.
    host's pages, ten at least).  Valid classes nest by the paths of their tokens;
    a class outside the class of its enclosing tag is dropped.  What is left is
    the host's template: the text blocks in it are the same on page after page.
-4. The slots of the template are the blocks that remain.  Those in menus,
+4. The slots of the template are the blocks that remain, and all blocks of an
+   article or main element: a byline or licence that articles share is part of
+   them.  Those in menus,
    headers, footers, sidebars, notices, adverts, forms and reader comments (by
    element, role, or the words of class and id) are left out.  If the page marks an
    article or main element, only slots inside it count; else blocks that are
@@ -21,8 +24,8 @@ references are decoded, white space in a block becomes one space, blocks are
 joined by an empty line.
 
 Defined cases: null and empty html give the empty text; a page whose url has no
-host belongs to the host ''; pages of a host with fewer than ten pages have no
-template; a tag that is never closed ends with its parent, a closing tag without
+host belongs to the host ''; pages of a host with fewer than ten different pages
+have no template; a tag that is never closed ends with its parent, a closing tag without
 an opening one is ignored; repeated rows give rows each; an empty table gives an
 empty result; other columns are ignored.
 """
@@ -221,13 +224,20 @@ def _pages(pages: DataFrame) -> DataFrame:
 
 def occurrences(pages: DataFrame) -> DataFrame:
     """``host, token, words, parent, vector, pages``: the tokens of each host.
-    Token 0 occurs once in every page.  ``words`` is 0 for tags."""
-    names = ["host", "token", "words", "parent", "vector"]
+    Token 0 occurs once in every page.  ``words`` is 0 for tags.  ``copy`` is the
+    hash of a html that the host has several times: its rows count once."""
+    names = ["host", "token", "words", "parent", "vector", "copy"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = set()
         for b in batches:
-            out: list[list] = [[], [], [], [], []]
-            for key, host, page in zip(*(b.column(i).to_pylist() for i in range(3))):
+            out: list[list] = [[], [], [], [], [], []]
+            for key, host, page, again in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if again:
+                    if (host, key) in met:
+                        continue
+                    met.add((host, key))
+                copy = key if again else None
                 found, tags = blocks(page)
                 own = {0: [1, 0, 0]}
                 for path, n in tags.items():
@@ -238,17 +248,25 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 for t, (n, words, parent) in own.items():
                     # 40 bits: sums over any number of pages fit.
                     v = xxhash.xxh64_intdigest(f"{key}:{n}") >> 24
-                    for o, x in zip(out, (host, t, words, parent, v)):
+                    for o, x in zip(out, (host, t, words, parent, v, copy)):
                         o.append(x)
             yield pa.RecordBatch.from_arrays([
                 pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
-                pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64())], names)
-
-    p = _pages(pages).select(F.xxhash64("page_id", "url", "html").alias("key"), "host", "html")
-    rows = p.mapInArrow(run, "host string, token bigint, words int, parent bigint, vector bigint")
-    return rows.groupBy("host", "token").agg(
+                pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64()), pa.array(out[5], pa.int64())], names)
+
+    p = _pages(pages).select(F.xxhash64("html").alias("key"), "host", "html")
+    again = stage(p.groupBy("key", "host").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                  .select("key", "host", F.lit(True).alias("again")), "page-copies")
+    p = p.join(again, ["key", "host"], "left").select("key", "host", "html", F.coalesce("again", F.lit(False)).alias("again"))
+    rows = p.mapInArrow(run, "host string, token bigint, words int, parent bigint, vector bigint, copy bigint")
+    wide, single = F.col("vector").cast("decimal(38,0)"), F.col("copy").isNull()
+    once = rows.groupBy("host", "token", "copy").agg(
+        F.max("words").alias("words"), F.max("parent").alias("parent"),
+        F.when(single, F.sum(wide)).otherwise(F.max(wide)).alias("vector"),
+        F.when(single, F.count(F.lit(1))).otherwise(F.lit(1)).alias("pages"))
+    return once.groupBy("host", "token").agg(
         F.max("words").alias("words"), F.max("parent").alias("parent"),
-        F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"), F.count(F.lit(1)).alias("pages"))
+        F.sum("vector").cast("decimal(38,0)").alias("vector"), F.sum("pages").alias("pages"))
 
 
 def templates(tokens: DataFrame, pages: int = PAGES, share: float = SHARE, words: int = WORDS) -> DataFrame:
@@ -266,7 +284,7 @@ def templates(tokens: DataFrame, pages: int = PAGES, share: float = SHARE, words
 def main_text(page: str, template: frozenset | set = frozenset()) -> str:
     """The blocks of a page that are article slots, joined by empty lines."""
     found, _ = blocks(page)
-    slots = [x for x in found if not x.out and not (template and _token("text", x.path, x.text) in template)]
+    slots = [x for x in found if not x.out and (x.main or not template or _token("text", x.path, x.text) not in template)]
     if any(x.main for x in found if not x.out):
         slots = [x for x in slots if x.main]
     else:

@@ -250,6 +250,22 @@ def test_template_deduction(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_copies_and_shared_paragraphs_are_kept(spark):
+    article = "<nav>menu</nav><div><h1>One story</h1><p>It is told on every mirror page.</p></div>"
+    rows = [(i, f"http://mirror.example/{i}", article) for i in range(30)]
+    rows += [(100 + i, f"http://mirror.example/o{i}", f"<div><p>Other story {i} here</p></div>") for i in range(4)]
+    rows += [(200 + i, f"http://own.example/{i}", PAGE.format("article", f"page {i}")) for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    for i, url, html in rows:
+        assert got[i] == html_extract.main_text(html), i  # as on a host of one page
+    assert "One story" in got[0] and "Same on all pages" in got[203]
+    t = {(r.host, r.token): (r.vector, r.pages) for r in html_extract.occurrences(df).collect()}
+    once = df.filter("page_id = 0 or page_id >= 100")
+    assert t == {(r.host, r.token): (r.vector, r.pages) for r in html_extract.occurrences(once).collect()}
+    assert t["mirror.example", 0][1] == 5
+
+
 def test_pages_of_the_tables(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
