@@ -105,15 +105,22 @@ def anchors(docs: DataFrame, length: int, gram: int, words: bool) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, words: bool) -> DataFrame:
-    """``(a, c, t)``: the bytes of the wanted stretches ``(k, tx, a, c, start, len)``."""
+    """``(a, c, t)``: the bytes of the wanted stretches ``(k, tx, a, c, start, len)``.
+    Rows equal in ``k`` and ``tx`` are read as one, by each task; ``a, c`` that
+    several tasks give are merged where they are used."""
     per = wanted.groupBy("k", "tx").agg(F.collect_list(F.struct("a", "c", "start", "len")).alias("w"))
     d = keyed(docs).withColumn("k", F.coalesce("doc_id", F.lit(-(1 << 62))))
-    d = d.join(per, ["k", "tx"]).select("t", "w.a", "w.c", "w.start", "w.len")
+    d = d.join(per, ["k", "tx"]).select("t", "w.a", "w.c", "w.start", "w.len", "k", "tx")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = set()
         for b in batches:
             cols = [[], [], []]
-            for t, a, c, start, n in zip(*(b.column(x) for x in range(5))):
+            for t, a, c, start, n, *row in zip(*(b.column(x) for x in range(7))):
+                row = tuple(x.as_py() for x in row)
+                if row in met:
+                    continue
+                met.add(row)
                 raw = t.as_py()
                 s, n = (np.array(x.as_py(), np.int64) for x in (start, n))
                 if words:
@@ -159,6 +166,8 @@ def _compare(texts: DataFrame, solver: Solver, words: bool) -> DataFrame:
         a, c, t, size = [], [], [], 0
         for b in batches:
             for x, y, z in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if a and x == a[-1] and y == c[-1]:
+                    continue  # of another row equal in k and tx
                 if size > COMPARED and x != a[-1]:
                     if (out := solved(np.array(a), np.array(c), t)) is not None:
                         yield out
@@ -219,11 +228,11 @@ def repeated_spans(docs: DataFrame, length: int, gram: int, words: bool, solver:
         spans = _compare(texts, solver, words)
     else:
         spans = _compare(texts.join(hot, "a", "left_anti"), solver, words).unionByName(
-            _count_windows(texts.join(hot, "a", "left_semi"), length, words))
+            _count_windows(texts.join(hot, "a", "left_semi").dropDuplicates(["a", "c"]), length, words))
     spans = whole.unionByName(spans.join(whole.select("a", "c"), ["a", "c"], "left_anti"))
     return (found.join(spans, ["a", "c"])
             .select("k", "tx", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
-            .groupBy("k", "tx").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+            .groupBy("k", "tx").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")))
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:

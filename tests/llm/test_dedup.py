@@ -153,3 +153,25 @@ def test_keep_one_keeps_all_columns(docs):
     assert out.columns == df.columns
     classes = {c for *_, c in brute.simhash([r[:2] for r in rows])}
     assert out.count() == len(classes) and {r.doc_id for r in out.collect()} == classes
+
+
+@pytest.mark.parametrize("group", [repeats.GROUP, 1])
+def test_repeated_rows_are_read_and_collected_once(spark, group):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(3000)]
+    shared = rng.choices(words, k=80)
+    hot = " ".join(rng.choices(words, k=30) + shared + rng.choices(words, k=30))
+    other = [" ".join(rng.choices(words, k=30) + shared[9 * i:] + rng.choices(words, k=30)) for i in range(4)]
+    docs = [(None, hot)] * 300 + list(enumerate(other))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    tx = repeats.keyed(df).filter("doc_id is null").first().tx
+    wanted = spark.createDataFrame([(-(1 << 62), tx, 1, 2, 0, 40)],
+                                   "k long, tx long, a long, c long, start int, len int")
+    assert repeats._texts(df, wanted, True).count() <= 8  # one a task at most, not one a row
+    spans = {(r.k, r.tx): [tuple(x) for x in r.spans] for r in repeats.repeated_spans(
+        df, substring_dedup.WINDOW, substring_dedup.GRAM, True, substring_dedup.solve, group).collect()}
+    assert len(spans) == 5 and all(len(set(x)) == len(x) for x in spans.values())
+    got = [tuple(r) for r in substring_dedup.substring_dedup(df.filter("doc_id is not null").unionByName(
+        df.filter("doc_id is null"))).collect()]
+    two = brute.substring_dedup(docs[298:])
+    assert len(got) == 304 and set(got) == set(two)
