@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bitlake.llm import decontaminate, exact_dedup, html_extract, mixing, quality, secret_scan, sharding, simhash, substring_dedup, suffix_array_dedup
+from bitlake.llm import (decontaminate, exact_dedup, html_extract, mixing, packing, quality, ranked_search, secret_scan, sharding,
+                         simhash, substring_dedup, suffix_array_dedup, whitening)
 from bitlake.llm.common import read_table
 
 
@@ -51,12 +52,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(read_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_quality, op2_substring_dedup, op3_decontamination, op4_html_extraction, op5_exact_dedup, op6_sharding,
-    op7_mixing, op8_suffix_array_dedup, op9_simhash, op10_secret_scan)}
+    op7_mixing, op8_suffix_array_dedup, op9_simhash, op10_secret_scan, op11_whitening, op12_ranked_search, op13_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_substring_dedup": substring_dedup.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE,
             "op6_sharding": sharding.oracle(), "op7_mixing": mixing.ORACLE,
-            "op8_suffix_array_dedup": suffix_array_dedup.ORACLE}
+            "op8_suffix_array_dedup": suffix_array_dedup.ORACLE, "op12_ranked_search": ranked_search.ORACLE}
