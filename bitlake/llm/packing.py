@@ -25,7 +25,7 @@ and their splits (a few ten thousand for 2,048 tokens).
 **Tokens.**  :class:`Encoder` looks up the ids of words that it has met, in a
 table of about :data:`WORDS` at most.  Texts are cut only where the tokenizer cuts as well: at
 spaces and line ends, and between an ASCII letter or digit and full stops or commas that
-end a word; tests compare whole texts.  This rule is for ``word_bpe_49k.json``
+end a word; words of a-z alone go to its merges at once.  Tests compare whole texts.  This rule is for ``word_bpe_49k.json``
 (white space dropped, words apart); ``by_word=False`` encodes whole texts with any file.
 Special tokens in a text are ordinary text.
 
@@ -36,7 +36,11 @@ rows.  A very long text is encoded whole in one task.  Other columns, whatever t
 
 from __future__ import annotations
 
+import os
 import re
+import struct
+import sys
+import types
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -44,6 +48,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +65,8 @@ TEXTS = 32
 STEPS = 200_000
 SWEEP = 512
 
-_CUT = re.compile(r"[ \n]+|(?<=[A-Za-z0-9])(?=[.,]+(?:[ \n]|\Z))")
+_END = re.compile(r"(?<=[A-Za-z0-9])[.,]+\Z")
+_PLAIN = re.compile("[a-z]+").fullmatch
 
 
 class Encoder:
@@ -77,7 +83,7 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
@@ -86,29 +92,48 @@ class Encoder:
             return
         for at in range(0, len(texts), TEXTS):
             # Lower case at once if that cannot meet a combining mark.
-            cut = [_CUT.split(t.lower() if t.isascii() else t) for t in texts[at:at + TEXTS]]
+            cut = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ") for t in texts[at:at + TEXTS]]
             words = set().union(*cut)
-            new = [w for w in words if w not in self.known]
+            new = words.difference(self.known)
             if len(self.known) + len(new) > WORDS:
-                self.known, new = {}, list(words)
-            self.known.update(zip(new, self._encode(new)))
+                self.known, new = {}, words
+            self._learn(new)
             for words in cut:
                 yield b"".join(map(self.known.__getitem__, words))
 
-
-_encoders: dict[tuple, Encoder] = {}
+    def _learn(self, words: set[str]) -> None:
+        """Ids of new words; one with full stops or commas at its end is two parts."""
+        parts = {}
+        for w in words:
+            m = _END.search(w) if w[-1:] in (".", ",") else None
+            parts[w] = (w[:m.start()], w[m.start():]) if m else (w,)
+        new = {p for ps in parts.values() for p in ps}.difference(self.known)
+        # A word of a-z is what the tokenizer's own cutting leaves to its merges.
+        plain = [w for w in new if _PLAIN(w)]
+        merge, pack = self.tokenizer.model.tokenize, struct.pack
+        for w in plain:
+            ids = merge(w)
+            self.known[w] = pack(f"<{len(ids)}I", *[t.id for t in ids])
+        rest = list(new.difference(plain))
+        self.known.update(zip(rest, self._encode(rest)))
+        self.known.update({w: self.known[ps[0]] + self.known[ps[1]] for w, ps in parts.items() if len(ps) == 2})
+
+
+def worker_encoder(path: str | None, by_word: bool) -> Encoder:
+    """The encoder of this Python worker, with the words that its earlier tasks met.
+    This module reaches tasks by value, each time anew, so a name in ``sys.modules`` keeps it."""
+    kept = sys.modules.setdefault("_packing_encoders", types.ModuleType("_packing_encoders")).__dict__
+    key = f"{path}|{by_word}"
+    if key not in kept:
+        kept[key] = Encoder(path, by_word)
+    return kept[key]
 
 
 def _pieces(path: str | None, capacity: int, end_id: int, by_word: bool):
     """Arrow pass: the pieces of a task's documents, numbered by chunk and length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = _encoders.get((path, by_word))
-        if encoder is None:
-            encoder = _encoders[path, by_word] = Encoder(path, by_word)
+        encoder = worker_encoder(path, by_word)
         end = np.array([end_id], "<u4").tobytes()
         chunk, in_chunk, seen = TaskContext.get().partitionId() << 32, 0, Counter()
         for b in batches:
