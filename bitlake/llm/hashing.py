@@ -9,10 +9,12 @@ import pyarrow as pa
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
-_INV = pow(_BASE, -1, 1 << 64)
+#: Slices are hashed as polynomials over two prime fields: modulo 2^64, odd bases have
+#: texts of equal hash that no choice of base removes (the Thue-Morse words).
+_FIELDS = ((2147483647, 1171432691), (2147483629, 948362419))
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
+_powers: dict[tuple[int, int], np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -25,27 +27,31 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE = mix(np.arange(1, 257, dtype=_U) * _U(_BASE))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        m = 1 << (n - 1).bit_length()
-        for i, b in enumerate((_BASE, _INV)):
-            x = np.full(m, b, _U)
-            x[0] = 1
-            _powers[i] = np.cumprod(x, dtype=_U)
-    return _powers[0], _powers[1]
+def powers(n: int, base: int, prime: int) -> np.ndarray:
+    """At least the first ``n`` powers of ``base``."""
+    x = _powers.get((base, prime), np.ones(1, np.uint32))
+    while len(x) < n:
+        x = np.append(x, (x * _U(pow(base, len(x), prime)) % _U(prime)).astype(np.uint32))
+    _powers[base, prime] = x
+    return x
 
 
 class Prefix:
-    """Hashes of slices of a token array in constant time each."""
+    """Hashes of slices of a token array in constant time each: 62 bits, and the length."""
 
     def __init__(self, tokens: np.ndarray):
         n = len(tokens)
-        up, self.down = powers(n + 1)
-        self.sums = np.zeros(n + 1, _U)
-        np.cumsum(tokens * up[:n], out=self.sums[1:])
+        self.fields = []
+        for prime, base in _FIELDS:
+            # Terms are below 2^31, so sums of up to 2^33 of them fit.
+            sums = np.zeros(n + 1, _U)
+            np.cumsum(tokens % _U(prime) * powers(n, base, prime)[:n] % _U(prime), out=sums[1:])
+            self.fields.append((_U(prime), sums, powers(n + 1, pow(base, -1, prime), prime)))
 
     def slices(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        raw = (self.sums[end] - self.sums[start]) * self.down[start]
+        raw = _U(0)
+        for prime, sums, down in self.fields:
+            raw = raw << _U(31) | (sums[end] - sums[start]) % prime * down[start] % prime
         return mix(raw ^ ((end - start).astype(_U) * _U(0xD6E8FEB86659FD93)))
 
 

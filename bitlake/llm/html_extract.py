@@ -50,6 +50,7 @@ PAGES, SHARE, WORDS = 10, 0.5, 2
 
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<[/a-zA-Z][^>]*>|<[!?][^>]*>""", re.S)
+_BROKEN = re.compile(r"<[a-zA-Z/!?]")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -126,7 +127,9 @@ def blocks(page: str) -> tuple[list[Block], Counter]:
     """The text blocks of a page in order, and how often each tag path occurs."""
     found: list[Block] = []
     tags: Counter = Counter()
-    open_: list[tuple[str, bool, bool, str]] = []  # tag, in main, left out, path
+    # Tag, in main, left out, path, innermost block left out.
+    open_: list[tuple[str, bool, bool, str, bool]] = []
+    depth: Counter = Counter()  # open elements by tag
     text: list[str] = []
     links = 0
 
@@ -134,7 +137,7 @@ def blocks(page: str) -> tuple[list[Block], Counter]:
         nonlocal links
         body = " ".join(entities.unescape("".join(text)).split())
         if body:
-            _, main, out, path = open_[-1] if open_ else ("", False, False, "")
+            _, main, out, path, _ = open_[-1] if open_ else ("", False, False, "", False)
             found.append(Block(path, body, main, out, links))
         text.clear()
         links = 0
@@ -142,9 +145,12 @@ def blocks(page: str) -> tuple[list[Block], Counter]:
     def close(to: int) -> None:
         if any(x[0] in _BLOCK for x in open_[to:]):
             flush()
+        depth.subtract(x[0] for x in open_[to:])
         del open_[to:]
 
     def last(names: tuple[str, ...], stop: tuple[str, ...] | frozenset = ()) -> int:
+        if not any(depth[x] for x in names):
+            return -1
         for i in range(len(open_) - 1, -1, -1):
             if open_[i][0] in names:
                 return i
@@ -152,15 +158,17 @@ def blocks(page: str) -> tuple[list[Block], Counter]:
                 break
         return -1
 
-    at = 0
-    while m := _MARKUP.search(page, at):
+    at, cut_off = 0, False
+    closed = page.rfind(">") + 1  # no tag ends after it, so none is looked for
+    while m := _MARKUP.search(page, at, closed):
         chunk = page[at:m.start()]
         at = m.end()
+        cut_off = m[0].startswith("<!--") and not m[0].endswith("-->")
         if chunk:
-            if open_ and open_[-1][2] and not _in_block(open_):
+            if open_ and open_[-1][2] and not open_[-1][4]:
                 chunk = ""  # an inline element that is left out
             text.append(chunk)
-            if chunk and any(x[0] == "a" for x in open_):
+            if chunk and depth["a"]:
                 links += len(chunk)
         tag = (m[2] or "").lower()
         if not tag:
@@ -186,7 +194,7 @@ def blocks(page: str) -> tuple[list[Block], Counter]:
             close(i)
         if tag in ("td", "th"):
             text.append(" ")
-        _, main, out, path = open_[-1] if open_ else ("", False, False, "")
+        _, main, out, path, block_out = open_[-1] if open_ else ("", False, False, "", False)
         main = main or _is_main(tag, attributes)
         path = f"{path}/{tag}" if len(open_) < 64 else path
         tags[path] += 1
@@ -194,19 +202,16 @@ def blocks(page: str) -> tuple[list[Block], Counter]:
             end = re.compile(f"</{tag}", re.I).search(page, at)
             at = end.start() if end else len(page)
         if not attributes.rstrip().endswith("/") or tag in _BLOCK:
-            open_.append((tag, main, out or _is_out(tag, attributes, main), path))
-    tail = page[at:]
-    if tail and not tail.startswith("<"):
-        text.append(tail)
+            out = out or _is_out(tag, attributes, main)
+            open_.append((tag, main, out, path, out if tag in _BLOCK else block_out))
+            depth[tag] += 1
+    if not cut_off and not (open_ and open_[-1][2] and not open_[-1][4]):
+        # A tag or comment that the page breaks off in is no text; any other "<" is.
+        text.append(_BROKEN.split(page[at:], maxsplit=1)[0])
     flush()
     return found, tags
 
 
-def _in_block(open_: list) -> bool:
-    """Whether the innermost open block, not just an inline element, is left out."""
-    return next((x[2] for x in reversed(open_) if x[0] in _BLOCK), False)
-
-
 def _token(kind: str, path: str, text: str = "") -> int:
     x = xxhash.xxh64_intdigest(f"{kind}\0{path}\0{text}".encode("utf-8", "surrogatepass"))
     return x - (1 << 64) if x >> 63 else x

@@ -19,7 +19,9 @@ at another place.
 5. The spans found are joined back to all members of the classes.
 
 Members, classes and spans are only ever joined and aggregated by Spark.
-Rows are told apart by ``doc_id`` and a hash of the text; rows that repeat both
+Texts are told apart by polynomial hashes over two prime fields (:class:`Prefix`), 62 bits
+of a stretch besides the 62 of its anchor, and stretches are compared by them only within
+an anchor.  Rows are told apart by ``doc_id`` and a hash of the text; rows that repeat both
 are two places, as they should be.
 """
 
