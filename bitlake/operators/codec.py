@@ -70,3 +70,29 @@ def decode_columns(df: DataFrame, col_dict: DataFrame, index: str | None = None,
         text = F.raise_error(F.concat(F.lit("unknown column id "), text)).cast("string")
     out = [*df.columns, "col_val"]
     return hits.select(*out).unionByName(missing.withColumn("col_val", text).select(*out))
+
+
+def joinable(ids: DataFrame) -> DataFrame:
+    """The dictionary join asks for ids (and groups) that are not null, which all
+    are.  Asked for beforehand, every use of an answer has the same plan up to the
+    answer's exchange, so that Spark reuses it."""
+    return ids.where(F.col("col_id").isNotNull() & id_group("col_id").isNotNull())
+
+
+def decode_distinct(ids: DataFrame, col_dict: DataFrame, strict: bool = True) -> DataFrame:
+    """C5 for an answer: ``ids`` has each ``col_id`` once, and any payload.
+
+    As :func:`decode_columns`, with one use of the dictionary: the ids and their
+    hits meet in one aggregate by id, where an id without a hit is seen.  Both
+    read the same exchange of the answer, so its scans run once."""
+    key = ["id_group", "col_id"] if "id_group" in col_dict.columns else ["col_id"]
+    ids = joinable(ids)
+    asked = ids.withColumn("id_group", id_group("col_id")) if len(key) > 1 else ids
+    hits = asked.select(*key).join(col_dict.select(*key, "col_val"), key).select("col_id", "col_val")
+    both = ids.withColumn("col_val", F.lit(None).cast("string")).unionByName(hits, allowMissingColumns=True)
+    text = F.col("col_id").cast("string")
+    if strict:
+        text = F.raise_error(F.concat(F.lit("unknown column id "), text)).cast("string")
+    payload = [c for c in ids.columns if c != "col_id"]
+    out = both.groupBy("col_id").agg(*[F.first(c, ignorenulls=True).alias(c) for c in [*payload, "col_val"]])
+    return out.withColumn("col_val", F.coalesce("col_val", text)).select(*ids.columns, "col_val")

@@ -8,6 +8,8 @@ load batches (files up to 2024-01-15, then the rest) with W = 64, L = 3.
 
 from __future__ import annotations
 
+from .registry import NESTED, TYPES
+
 _PREFIX = r"""
 WITH ev AS (
   SELECT event_id,
@@ -113,7 +115,25 @@ def _topn(field, n=None, filt=None):
             f'GROUP BY row_val ORDER BY "Count" DESC, "Key" ASC{lim}')
 
 
+def _nested_calls():
+    out = []
+    for i in range(NESTED):
+        a, b, c = (TYPES[(i + k) % len(TYPES)] for k in range(3))
+        cols = (f"SELECT col_val FROM ({_row('cfield', f'k{i}')} UNION "
+                f"{_range('sfield', a, f'2024-01-{i % 20 + 1:02}', f'2024-01-{i % 20 + 4:02}')}) a "
+                f"EXCEPT SELECT col_val FROM ({_row('ofield', b)} INTERSECT {_row('sfield', c)} "
+                f"UNION {_row('cfield', f'k{i + 1}')}) b")
+        if i % 3 == 0:
+            out.append(f"SELECT CAST({i} AS INTEGER) AS call_no, 'count' AS kind, CAST(NULL AS VARCHAR) AS key, "
+                       f"CAST(count(*) AS BIGINT) AS count FROM ({cols}) c")
+        else:
+            out.append(f"SELECT CAST({i} AS INTEGER) AS call_no, 'bitmap' AS kind, col_val AS key, "
+                       f"CAST(NULL AS BIGINT) AS count FROM ({cols}) c")
+    return " UNION ALL ".join(out)
+
+
 _CALLS = {
+    "batch_nested": _nested_calls(),
     "row": f"SELECT DISTINCT col_val FROM {_row('ofield', 'click')} t",
     "range": f"SELECT DISTINCT col_val FROM {_range('ofield', 'purchase', '2024-01-05', '2024-01-12')} t",
     "union": f"{_row('sfield', 'view')} UNION {_row('cfield', 'k42')}",

@@ -26,7 +26,7 @@ from ..sources.fixtures import event_log_lines
 from ..sources.logs import (file_cap, inventory_of_lines, scan_bucket_range, scan_date_range,
                             scan_owned_buckets, unprocessed_files)
 from ..spec import DEFAULT_INDEX, IdConfig, LogSpec, ScanConfig
-from .query import Index, batch_calls
+from .query import Count, Index, batch_calls
 from .store import BitStore
 
 # Fixed parameters of the test queries.
@@ -37,6 +37,7 @@ RANGE_START, RANGE_END = "2024-01-03", "2024-01-05"
 BUCKET_LO, BUCKET_HI = 2, 5
 OWNER_NODE, OWNER_TOTAL = 1, 3
 FILE_CAP = 25
+NESTED, TYPES = 50, ("click", "view", "purchase", "signup", "error")
 
 ROW_DICT_SCHEMA = T.StructType([
     T.StructField("index", T.StringType()), T.StructField("field", T.StringType()),
@@ -260,11 +261,24 @@ def _calls(ix: Index):
         "topn_filtered": lambda: ix.topn("cfield", n=5, filter=ix.row("ofield", "purchase")),
         "batch_calls": lambda: batch_calls(ix, [
             ix.intersect(ix.row("ofield", "signup"), ix.row("cfield", "k1")),
-            ix.count(ix.row("sfield", "error")),
+            Count(ix.row("sfield", "error")),
             ix.topn("ofield")]),
+        "batch_nested": lambda: batch_calls(ix, _nested_calls(ix)),
     }
 
 
+def _nested_calls(ix: Index) -> list:
+    """A request of :data:`NESTED` nested calls over :data:`TYPES`, every third a count."""
+    out = []
+    for i in range(NESTED):
+        a, b, c = (TYPES[(i + k) % len(TYPES)] for k in range(3))
+        bm = ix.difference(
+            ix.union(ix.row("cfield", f"k{i}"), ix.range("sfield", a, f"2024-01-{i % 20 + 1:02}", f"2024-01-{i % 20 + 4:02}")),
+            ix.intersect(ix.row("ofield", b), ix.row("sfield", c)), ix.row("cfield", f"k{i + 1}"))
+        out.append(Count(bm) if i % 3 == 0 else bm)
+    return out
+
+
 def set_bits_q(fx: Fixture) -> DataFrame:
     return fx.bits
 
@@ -547,7 +561,7 @@ QUERIES = {
     "stream_after_resume": stream_after_resume,
 }
 for _n in ("row", "range", "union", "intersect", "difference", "nested", "count_bitmap", "topn",
-           "topn_filtered", "batch_calls"):
+           "topn_filtered", "batch_calls", "batch_nested"):
     QUERIES[_n] = _value_call(_n)
     QUERIES[f"{_n}_ids"] = _id_call(_n)
 

@@ -143,9 +143,11 @@ class BitStore:
                 .select("file").distinct())
 
     def index(self, index: str = DEFAULT_INDEX, spec: LogSpec = LogSpec()) -> Index:
+        """Queries over the facts.  Each of them collapses repeated bits itself, in an
+        aggregate that it needs anyway, so the facts are not made distinct first."""
         raw = (self.read("fact").where(F.col("index") == F.lit(index))
                .select("field", "row_id", "col_id", "shard", "day", "month"))
-        return Index(raw.distinct(), spec, self.row_dict(index), self.col_dict(index), index)
+        return Index(raw, spec, self.row_dict(index), self.col_dict(index), index)
 
     def decoded_bits(self, index: str = DEFAULT_INDEX) -> DataFrame:
         """End state in value space: facts joined back to both dictionaries."""
