@@ -8,7 +8,7 @@ load batches (files up to 2024-01-15, then the rest) with W = 64, L = 3.
 
 from __future__ import annotations
 
-from .registry import NESTED, TYPES
+from .registry import BITMAP_END, BITMAP_START, NESTED, TYPES
 
 _PREFIX = r"""
 WITH ev AS (
@@ -225,6 +225,13 @@ _BODIES = {
         f"UNION ALL SELECT 'union', CAST(count(*) AS BIGINT) FROM "
         f"({_row('ofield', 'click')} UNION {_row('sfield', 'view')}) b"),
     "bitmap_topn": _topn("sfield", 10),
+    "time_bitmap_index": (
+        "SELECT field, row_id, period, col_id // 32768 AS bucket, count(DISTINCT col_id) AS n_bits FROM ("
+        "SELECT field, row_id, col_id, unnest([CAST(strftime(day, '%Y%m') AS INTEGER), CAST(strftime(day, '%Y%m%d') AS INTEGER)]) "
+        "AS period FROM facts WHERE day IS NOT NULL) p GROUP BY ALL"),
+    "bitmap_range": f"SELECT DISTINCT col_val FROM {_range('ofield', 'purchase', BITMAP_START, BITMAP_END)} t",
+    "bitmap_difference": _CALLS["difference"],
+    "bitmap_nested": _CALLS["nested"],
     # A7-A14, S
     "log_files_scan": "SELECT dt, part, value FROM log_line",
     "mark_files": ("SELECT dt AS day, part AS bucket, '_test' AS \"index\", file_path AS file, "

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.parse import accepted, offset_in_shard, parse_lines, reject_lines
 from ..functions.parse import shard_of as shard_of_id
 from ..operators import ids
-from ..operators.bitmaps import bitmap_index
+from ..operators.bitmaps import bitmap_index, time_bitmap_index
 from ..operators.bits import BIT_COLS, list_elements, set_bits, time_views, unpivot_bits
 from ..operators.codec import decode_columns, decode_rows, encode_columns, encode_rows
 from ..session import checkpoint_dir
@@ -37,6 +37,7 @@ RANGE_START, RANGE_END = "2024-01-03", "2024-01-05"
 BUCKET_LO, BUCKET_HI = 2, 5
 OWNER_NODE, OWNER_TOTAL = 1, 3
 FILE_CAP = 25
+BITMAP_START, BITMAP_END = "2023-12-30", "2024-02-02"
 NESTED, TYPES = 50, ("click", "view", "purchase", "signup", "error")
 
 ROW_DICT_SCHEMA = T.StructType([
@@ -290,7 +291,30 @@ def bitmap_index_q(fx: Fixture) -> DataFrame:
 
 def _bitmap_index(fx: Fixture):
     from ..operators.bitmaps import BitmapIndex
-    return BitmapIndex(bitmap_index(fx.facts), fx.row_dict, fx.index)
+    return BitmapIndex(bitmap_index(fx.facts), fx.row_dict, fx.index, times=time_bitmap_index(fx.facts), col_dict=fx.col_dict)
+
+
+def time_bitmap_index_q(fx: Fixture) -> DataFrame:
+    return time_bitmap_index(fx.facts).select("field", "row_id", "period", "bucket", F.bitmap_count("bitmap").alias("n_bits"))
+
+
+def bitmap_range_q(fx: Fixture) -> DataFrame:
+    """The ``range`` query over month and day bitmaps, with a whole month and edge days."""
+    bx = _bitmap_index(fx)
+    return bx.columns(bx.range("ofield", "purchase", BITMAP_START, BITMAP_END))
+
+
+def bitmap_difference_q(fx: Fixture) -> DataFrame:
+    bx = _bitmap_index(fx)
+    return bx.columns(bx.difference(*bx.rows(("ofield", "signup"), ("ofield", "click"), ("ofield", "view"))))
+
+
+def bitmap_nested_q(fx: Fixture) -> DataFrame:
+    """The ``nested`` query over bitmaps."""
+    bx = _bitmap_index(fx)
+    click, k5, error = bx.rows(("ofield", "click"), ("cfield", "k5"), ("ofield", "error"))
+    return bx.columns(bx.difference(bx.union(click, bx.range("sfield", "purchase", "2024-01-10", "2024-01-20")),
+                                    bx.intersect(k5, error)))
 
 
 def bitmap_count_q(fx: Fixture) -> DataFrame:
@@ -541,6 +565,10 @@ QUERIES = {
     "bitmap_index": bitmap_index_q,
     "bitmap_count": bitmap_count_q,
     "bitmap_topn": bitmap_topn_q,
+    "time_bitmap_index": time_bitmap_index_q,
+    "bitmap_range": bitmap_range_q,
+    "bitmap_difference": bitmap_difference_q,
+    "bitmap_nested": bitmap_nested_q,
     # A7-A14, S
     "log_files_scan": log_files_scan,
     "file_inventory_files": file_inventory_files,

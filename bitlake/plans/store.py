@@ -246,7 +246,10 @@ class BitStore:
     def writer(self, index: str, wait_s: float = 3600.0, poll_s: float = 1.0):
         """Hold the index's writer mark while new ids are given out and
         committed.  Another job waits up to ``wait_s`` seconds, then fails.  A
-        job that died inside leaves the mark; :meth:`release_writer` removes it."""
+        job that died inside leaves the mark; :meth:`release_writer` removes it.
+        Yields a function that raises if the mark is no longer this job's, to be
+        called before each commit.  What it cannot see, between two calls, the check
+        of new values against entries committed meanwhile does (:meth:`check_unseen`)."""
         path = f"{self.root}/_writer/index={index}"
         own = uuid.uuid4().hex
         until = time.monotonic() + wait_s
@@ -262,10 +265,37 @@ class BitStore:
             if time.monotonic() > until:
                 raise TimeoutError(f"another job gives out ids for index {index!r} (mark {path})")
             time.sleep(poll_s)
+        def held() -> bool:
+            return path_exists(self.spark, path) and read_text(self.spark, path) == own
+
+        def check() -> None:
+            if not held():
+                raise RuntimeError(f"this job's writer mark of index {index!r} was taken away; nothing more is committed")
+
         try:
-            yield
+            yield check
         finally:
-            delete_path(self.spark, path)
+            if held():  # never another job's
+                delete_path(self.spark, path)
+
+    def dict_batches(self, index: str) -> dict[str, list[int]]:
+        """The batches whose dictionary entries are there now."""
+        return {t: _ids(list_folders(self.spark, self._index_path(t, index)), "batch_id") for t in ("row_dict", "col_lookup")}
+
+    def check_unseen(self, entries: DataFrame, table: str, index: str, seen: dict[str, list[int]]) -> None:
+        """D7 before a commit: raise if a new value or id is in an entry that another job
+        committed after ``seen`` was taken, i.e. after the values were looked up.  Reads the
+        folders of those batches only: none, unless two jobs gave out ids at once."""
+        new = sorted(set(self.dict_batches(index)[table]) - set(seen[table]))
+        if not new:
+            return
+        keys = (["field", "row_val"], ["field", "row_id"]) if table == "row_dict" else (["col_val"], ["col_id"])
+        other = self.read(table).where((F.col("index") == F.lit(index)) & F.col("batch_id").isin(*new))
+        for k in keys:
+            n = entries.join(other.select(*k), k, "left_semi").count()
+            if n:
+                raise RuntimeError(f"another job has committed {n} of the new {table} entries ({', '.join(k)}); "
+                                   "nothing was committed, run the batch again")
 
     def release_writer(self, index: str) -> bool:
         """Remove the mark of a writer that died."""
@@ -290,7 +320,7 @@ class BitStore:
     def refresh_index(self, index: str) -> None:
         """A10: drop facts, keyed bits, rollups, rejects, reports and the
         dictionaries of an index, so old bits can never meet new ids."""
-        for t in ("rollup", "rollup_delta", "fact", "bit", "reject", "load_report", "shard_log", "col_lookup",
+        for t in ("rollup", "rollup_delta", "rollup_time", "fact", "bit", "reject", "load_report", "shard_log", "col_lookup",
                   "col_dict", "row_dict"):
             delete_path(self.spark, self._index_path(t, index))
 
@@ -381,7 +411,41 @@ class BitStore:
 
     def rollup_index(self, index: str = DEFAULT_INDEX):
         from ..operators.bitmaps import BitmapIndex
-        return BitmapIndex(self.rollup(index), self.row_dict(index), index, self._newest(index)[2])
+        return BitmapIndex(self.rollup(index), self.row_dict(index), index, self._newest(index)[2],
+                           self.time_rollup(index), self.col_dict(index))
+
+    def write_time_rollup(self, index: str = DEFAULT_INDEX) -> str:
+        """Month and day bitmaps of the batches that are committed now, as a new
+        version below ``rollup_time``; older versions are dropped afterwards."""
+        from ..operators.bitmaps import time_bitmap_index
+        base, version, batches = self._index_path("rollup_time", index), new_batch_id(), self.fact_batches(index)
+        out = f"{base}/version={version}"
+        facts = self.read("fact").where((F.col("index") == F.lit(index)) & F.col("batch_id").isin(*batches or [-1]))
+        (time_bitmap_index(facts).sortWithinPartitions("field", "row_id", "period")
+         .write.partitionBy("field").parquet(out))
+        write_text(self.spark, f"{out}/{DONE}", json.dumps({"batches": batches}))
+        for old in self._versions(base):
+            if old != version:
+                delete_path(self.spark, f"{base}/version={old}")
+        return out
+
+    def time_rollup(self, index: str = DEFAULT_INDEX) -> DataFrame:
+        """Month and day bitmaps ``(field, row_id, period, bucket, bitmap)``: the newest
+        version, and those of the batches it does not cover straight from their facts.
+        A bucket may come several times; what reads it takes the OR."""
+        from ..operators.bitmaps import time_bitmap_index
+        base = self._index_path("rollup_time", index)
+        versions = self._versions(base)
+        covered = json.loads(read_text(self.spark, f"{base}/version={versions[-1]}/{DONE}"))["batches"] if versions else []
+        newer = sorted(set(self.fact_batches(index)) - set(covered))
+        cols = "row_id bigint, period int, bucket bigint, bitmap binary, field string"
+        names = ["field", "row_id", "period", "bucket", "bitmap"]
+        live = time_bitmap_index(self.read("fact").where(
+            (F.col("index") == F.lit(index)) & F.col("batch_id").isin(*newer or [-1]))).select(*names)
+        if not versions:
+            return live
+        stored = self.spark.read.schema(cols).parquet(f"{base}/version={versions[-1]}").select(*names)
+        return stored.unionByName(live) if newer else stored
 
     # ---- compaction ---------------------------------------------------------
 
@@ -407,7 +471,7 @@ class BitStore:
         each, then drop the old folders.  Entries are never changed, so a reader
         meets the same ids before and after; if the job dies in between, entries
         are there twice until it is run again (it writes them distinct)."""
-        with self.writer(index):
+        with self.writer(index):  # entries are only folded: nothing new is given out
             batch_id = new_batch_id()
             old = {t: _ids(list_folders(self.spark, self._index_path(t, index)), "batch_id")
                    for t in ("row_dict", "col_dict", "col_lookup", "shard_log")}

@@ -66,7 +66,8 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
                            batch_id, "col_values")
     t.append(time.perf_counter())
 
-    with store.writer(index, writer_wait_s):
+    with store.writer(index, writer_wait_s) as still_mine:
+        seen = store.dict_batches(index)
         rd = store.row_dict(index)
         old_rows = store.stage(row_vals.join(rd.select("field", "row_val", "row_id"), ["field", "row_val"]),
                                batch_id, "old_rows")
@@ -75,6 +76,8 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
         n_new_rows = row_entries.count()
         if n_new_rows:
             check_row_entries(row_entries, rd, index)
+            store.check_unseen(row_entries, "row_dict", index, seen)
+            still_mine()
             store.append_row_dict(row_entries, index, batch_id)
         t.append(time.perf_counter())
 
@@ -86,6 +89,8 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
         n_new_cols = col_entries.count()
         if n_new_cols:
             check_col_entries(col_entries, state)
+            store.check_unseen(col_entries, "col_lookup", index, seen)
+            still_mine()
             store.append_shard_log(col_entries, index, batch_id)   # log first: it always covers the dictionary
             store.append_col_dict(col_entries, index, batch_id)
         t.append(time.perf_counter())
