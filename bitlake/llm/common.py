@@ -30,6 +30,22 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def quoted(name: str) -> str:
+    """A column name as it is, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """``names``, made longer until no column has them (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def hash52(*parts: Column) -> Column:
     """52 bits of an MD5 as a non-negative bigint: the same in any SQL engine."""
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("bigint")

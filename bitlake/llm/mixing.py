@@ -20,7 +20,8 @@ from two levels of running sums over about ``sqrt(rows)`` hash ranges of about
 
 Defined cases: a null text has size 0; a null source is a source, ordered
 last; a document without words is never taken (0); rows that repeat both id and
-text have one place on the line each; an empty table gives an empty result.
+text have one place on the line each and, being equal, may swap them (they share a hash
+range, so many such rows are one task's sort); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -115,7 +116,8 @@ def mix(docs: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PE
     nothing is taken): ``doc_id, size, source_size, target, place`` (unique per
     input row), ``words`` of the piece, ``shard``, ``block`` and ``sort_key`` in
     the shard."""
-    h = hash52(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    # Of id and text: rows without id, or of one id, spread; only rows equal in both tie.
+    h = hash52(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text_or_empty()))
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.regexp_count(text_or_empty(), F.lit(WORD)).cast("bigint").alias("size"), h.alias("h"),
@@ -185,7 +187,7 @@ def mix_documents(docs: DataFrame, shards: int = SHARDS, blocks_per_shard: int =
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT AS h
+         ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT AS h
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 i AS (SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT AS weight,

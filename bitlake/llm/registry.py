@@ -33,7 +33,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(read_table(spark, sf_dir, "documents").select("doc_id"))
+    return sharding.shard(read_table(spark, sf_dir, "documents"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,9 @@ shard moves few keys.  The table depends on parameters alone and has a fixed
 size, so it is broadcast; placing a row is one hash and one lookup.
 
 Defined cases: a null key is placed like the empty text; equal keys always
-land in the same shard; an empty table gives an empty result.
+land in the same shard; repeated rows stay repeated rows; texts are not read, so
+their length does not matter; extra columns, whatever their names, are kept; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,11 +21,11 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bitlake.llm.common import hash52
+from bitlake.llm.common import free_names, hash52, quoted
 
 #: Prime number of slots; bounds the broadcast table.
 SLOTS = 8191
-#: Words for one shard aims at in the query.
+#: Shards of the query.
 SHARDS = 32
 
 
@@ -62,18 +64,36 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 def shard(df: DataFrame, key: str = "doc_id", shards: int = SHARDS, slots: int = SLOTS,
           slot_col: str = "slot", shard_col: str = "shard") -> DataFrame:
     """``df`` with its slot and shard; an input column of either name is replaced."""
-    rest = [c for c in df.columns if c not in (slot_col, shard_col)]
-    table = table_frame(df.sparkSession, shards, slots).select(
-        F.col("slot").alias("__slot"), F.col("shard").alias("__shard"))
-    placed = df.select(*rest, slot_of(F.col(key), slots).alias("__slot"))
-    return placed.join(F.broadcast(table), "__slot").select(
-        *rest, F.col("__slot").alias(slot_col), F.col("__shard").alias(shard_col))
+    rest = [F.col(quoted(c)) for c in df.columns if c not in (slot_col, shard_col)]
+    at, to = free_names(df.columns, "at", "to")
+    table = table_frame(df.sparkSession, shards, slots).select(F.col("slot").alias(at), F.col("shard").alias(to))
+    placed = df.select(*rest, slot_of(F.col(quoted(key)), slots).alias(at))
+    return placed.join(F.broadcast(table), at).select(
+        *rest, F.col(at).alias(slot_col), F.col(to).alias(shard_col))
+
+
+def write_shards(df: DataFrame, path: str, key: str = "doc_id", shards: int = SHARDS, slots: int = SLOTS,
+                 rows_per_file: int = 1_000_000) -> DataFrame:
+    """Place whole rows: write them below ``path/shard=<n>`` and read them back.
+
+    Rows are range partitioned by shard and, within it, by a hash of the row, in about
+    ``rows / rows_per_file`` parts, so a shard with a hot key is several files of
+    several tasks and a small one shares its task with others.  Raises ``ValueError`` for an
+    input column named ``shard``: the folder's name would hide it."""
+    if "shard" in df.columns:
+        raise ValueError("rename the input column 'shard'")
+    placed = shard(df, key, shards, slots)
+    parts = max(1, -(-placed.count() // rows_per_file))
+    spread = F.xxhash64(F.concat_ws(chr(0), *[F.col(quoted(c)).cast("string") for c in df.columns]))
+    (placed.repartitionByRange(parts, F.col("shard"), spread, F.rand(SHARDS)).write
+     .option("maxRecordsPerFile", rows_per_file).partitionBy("shard").parquet(path))
+    return df.sparkSession.read.schema(placed.schema).parquet(path)
 
 
 def oracle(shards: int = SHARDS, slots: int = SLOTS) -> str:
     csv = ",".join(map(str, lookup_table(shards, slots)))
     return f"""
 WITH t AS (SELECT unnest(range({slots})) AS slot, unnest(string_split('{csv}', ','))::INTEGER AS shard),
-d AS (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT % {slots} AS slot FROM documents)
-SELECT doc_id, slot, shard FROM d JOIN t USING (slot)
+d AS (SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT % {slots} AS slot FROM documents)
+SELECT doc_id, text, lang, source, n_chars, slot, shard FROM d JOIN t USING (slot)
 """

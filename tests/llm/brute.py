@@ -86,6 +86,10 @@ def exact(docs):
     return out
 
 
+def md5(text):
+    return hashlib.md5((text or "").encode()).hexdigest()
+
+
 def mixing(docs, seed=11):
     """``(id, size, source_size, target, taken)``: capping and resharing in turns."""
     size = [len(WORD.findall((t or "").encode())) for _, t, _ in docs]
@@ -105,8 +109,8 @@ def mixing(docs, seed=11):
             free.remove(n)
     out = []
     for n in names:
-        line = sorted((int(hashlib.md5(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:13], 16),
-                       (i is not None, i or 0), z) for (i, _, s), z in zip(docs, size) if s == n)
+        line = sorted((int(hashlib.md5(f"{seed}:{'' if i is None else i}:{md5(t)}".encode()).hexdigest()[:13], 16),
+                       (i is not None, i or 0), z) for (i, t, s), z in zip(docs, size) if s == n)
         quota, at = int(target[n] + 0.5), 0
         for _, (has, i), z in line:
             took = sum(max(0, min(z, quota - e * total[n] - at)) for e in range(3))

@@ -7,6 +7,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
@@ -57,6 +58,26 @@ def test_sharding(spark, docs):
     assert sharding.shard(data.empty(spark)).count() == 0
 
 
+def test_shards_are_written_by_shard(spark, docs, tmp_path):
+    df, rows = docs
+    odd = df.drop("shard").withColumn("a.b", F.lit("x")).withColumn("at", F.lit("y")).withColumn("TO", F.lit("z"))
+    out = sharding.shard(odd, shards=5, slots=101)
+    assert out.columns == [c for c in odd.columns if c != "slot"] + ["slot", "shard"]
+    got = sharding.write_shards(odd, str(tmp_path / "s"), shards=5, slots=101, rows_per_file=20)
+    key = lambda r: str(sorted(r.asDict().items()))
+    assert sorted(map(key, got.collect())) == sorted(map(key, out.collect()))
+    want = {r.shard for r in out.collect()}
+    assert {int(p.name[6:]) for p in (tmp_path / "s").iterdir() if p.name.startswith("shard=")} == want
+    # a hot key: its shard is several files, none of more than a task's share
+    hot = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    sharding.write_shards(hot, str(tmp_path / "h"), rows_per_file=500)
+    files = [p for d in (tmp_path / "h").iterdir() if d.is_dir() for p in d.iterdir() if p.suffix == ".parquet"]
+    assert len({p.parent for p in files}) == 1 and len(files) >= 6
+    with pytest.raises(ValueError):
+        sharding.write_shards(df, str(tmp_path / "x"))
+    assert sharding.write_shards(data.empty(spark).drop("shard"), str(tmp_path / "e")).count() == 0
+
+
 def test_mixing_against_brute_force(docs):
     df, rows = docs
     got = sorted((tuple(r) for r in mixing.taken(mixing.mix(df)).collect()), key=ORDER)
