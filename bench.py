@@ -89,6 +89,15 @@ def main():
                                 "value string")
     q["small_batch_on_large_dict"], _ = once(lambda: load_batch(big, few, cfg=cfg))
 
+    # values with ids and without, half each, against the same dictionary: by name, then joined with it folded
+    def lookup(n):
+        vals = big.stage(spark.range(n).select(F.concat(F.lit("e"), F.col("id") * (6_000_000 // n)).alias("col_val")), n, "vals")
+        return timed(lambda: noop(big.known_columns(vals, "_test")), runs)
+
+    q["lookup_500"] = lookup(500)
+    q["fold_dict"], _ = once(lambda: big.compact_dicts("_test"))
+    q["lookup_100k"] = lookup(100_000)
+
     ix = store.index("_test")
     calls = {
         "row": lambda: ix.columns(ix.row("ofield", "RF")),

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 # column of the stored dictionary), so decoding a small answer reads only
 # the groups it touches (dynamic partition pruning).
 ID_GROUP_BITS = 26
-# The copy of the column dictionary for lookup by value has so many groups.
-VALUE_GROUPS = 64
 
 
 def id_group(col_id) -> "F.Column":
@@ -24,10 +22,6 @@ def id_group(col_id) -> "F.Column":
     return F.shiftright(c, ID_GROUP_BITS)
 
 
-def value_group(col_val) -> "F.Column":
-    return F.pmod(F.xxhash64(col_val), F.lit(VALUE_GROUPS)).cast("int")
-
-
 def _of_index(d: DataFrame, index: str | None) -> DataFrame:
     return d.where(F.col("index") == F.lit(index)) if index is not None else d
 

@@ -5,9 +5,10 @@ folders of its own, so jobs that commit at the same time share no output folder:
 
     row_dict/index=<i>/batch_id=<b>/field=<f>/    row_id, row_val (sorted by value)
     col_dict/index=<i>/batch_id=<b>/id_group=<g>/ col_id, shard, col_val (g = col_id >> 26; for decoding)
-    col_lookup/index=<i>/batch_id=<b>/val_group=<h>/  the same entries by hash of the value (for encoding)
+    col_lookup/index=<i>/batch_id=<b>/            the same entries sorted by value, with Bloom filters (for encoding)
+    col_base/index=<i>/version=<v>/               lookup entries of folded batches, bucketed by value
     shard_log/index=<i>/batch_id=<b>/             shard, last_id, ids_used
-    fact/index=<i>/batch_id=<b>/field=<f>/month=<m>/  shard, row_id, col_id, day (m = yyyyMM of the day)
+    fact/index=<i>/batch_id=<b>/field=<f>/        shard, row_id, col_id, day (sorted by row, then day)
     bit/index=<i>/batch_id=<b>/field=<f>/         row_val, col_val, day      (keyed sink)
     marks/index=<i>/owner_node=<n>/batch_id=<b>/  day, bucket, file
     reject/index=<i>/batch_id=<b>/                value, reason, dt, part, file_path, n
@@ -29,6 +30,7 @@ everything else of several jobs' batches runs side by side.
 from __future__ import annotations
 
 import contextlib
+import hashlib
 import json
 import re
 import time
@@ -54,10 +56,9 @@ SCHEMAS = {
     "row_dict": _schema(("row_id", L), ("row_val", S), ("index", S), ("batch_id", L), ("field", S)),
     "col_dict": _schema(("col_id", L), ("shard", L), ("col_val", S), ("index", S), ("batch_id", L),
                         ("id_group", L)),
-    "col_lookup": _schema(("col_id", L), ("shard", L), ("col_val", S), ("index", S), ("batch_id", L),
-                          ("val_group", I)),
+    "col_lookup": _schema(("col_id", L), ("shard", L), ("col_val", S), ("index", S), ("batch_id", L)),
     "fact": _schema(("shard", L), ("row_id", L), ("col_id", L), ("day", D),
-                    ("index", S), ("batch_id", L), ("field", S), ("month", I)),
+                    ("index", S), ("batch_id", L), ("field", S)),
     "bit": _schema(("row_val", S), ("col_val", S), ("day", D), ("index", S), ("batch_id", L), ("field", S)),
     "marks": _schema(("day", D), ("bucket", I), ("file", S), ("index", S), ("owner_node", I), ("batch_id", L)),
     "shard_log": _schema(("shard", L), ("last_id", L), ("ids_used", L), ("index", S), ("batch_id", L)),
@@ -67,13 +68,27 @@ SCHEMAS = {
                            ("n_rejects", L), ("n_bad_time", L), ("index", S), ("batch_id", L)),
 }
 #: Partition columns below the batch's folder.
-INNER = {"row_dict": ["field"], "col_dict": ["id_group"], "col_lookup": ["val_group"], "fact": ["field", "month"],
-         "bit": ["field"]}
-
-
-def month_key(day):
-    """Partition key of a day, ``yyyyMM`` as a number; NULL without a day."""
-    return (F.year(day) * 100 + F.month(day)).cast("int")
+INNER = {"row_dict": ["field"], "col_dict": ["id_group"], "fact": ["field"], "bit": ["field"]}
+#: Parquet settings of the lookup files: a Bloom filter of the values of every row
+#: group (about 4 bytes a value), small row groups and small pages, so that a few
+#: values are found, or found missing, without decoding the rest.
+LOOKUP_OPTIONS = {
+    "parquet.bloom.filter.enabled#col_val": "true", "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.fpp#col_val": "0.00001", "parquet.bloom.filter.max.bytes": str(1 << 20),
+    "parquet.block.row.count.limit": "20000", "parquet.page.row.count.limit": "500"}
+#: A batch with at most so many distinct values of so many bytes asks for them by name.
+NAMED_VALUES, NAMED_BYTES = 1_000, 1 << 20
+#: A bucket of the folded lookup has at most about so many entries.
+BUCKET_ENTRIES = 1 << 22
+
+
+def named(col: str, values: list[str]):
+    """``col`` is one of ``values``, as ORs of short lists: parquet then compares every
+    single value with the statistics of row groups and pages and with the Bloom filters."""
+    parts = [F.col(col).isin(values[i:i + 10]) for i in range(0, len(values), 10)]
+    while len(parts) > 1:
+        parts = [parts[i] | parts[i + 1] if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0] if parts else F.lit(False)
 
 
 def new_batch_id() -> int:
@@ -115,10 +130,71 @@ class BitStore:
             d = d.where(F.col("index") == F.lit(index))
         return d.select("index", "col_id", "shard", "col_val", "id_group")
 
+    def _lookups(self, index: str) -> list[DataFrame]:
+        """The column dictionary for encoding, ``(col_val, col_id, shard)``: the folded,
+        bucketed entries, and those of the batches since."""
+        version, says = self._base(index)
+        newer = self.read("col_lookup").where(F.col("index") == F.lit(index))
+        if version is None:
+            return [newer.select("col_val", "col_id", "shard")]
+        if says["batches"]:  # folded, but their folders may still be there
+            newer = newer.where(~F.col("batch_id").isin(*says["batches"]))
+        out = f"{self._index_path('col_base', index)}/version={version}"
+        # Spark knows buckets from a catalog only; the table is a name for the folder.
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {_table_name(out)} (col_val STRING, col_id BIGINT, shard BIGINT) "
+                       f"USING parquet CLUSTERED BY (col_val) SORTED BY (col_val) INTO {int(says['buckets'])} BUCKETS "
+                       f"LOCATION '{out}'")
+        return [self.spark.table(_table_name(out)), newer.select("col_val", "col_id", "shard")]
+
     def col_lookup(self, index: str) -> DataFrame:
-        """The column dictionary in groups by hash of the value."""
-        return self.read("col_lookup").where(F.col("index") == F.lit(index)).select(
-            "val_group", "col_val", "col_id", "shard")
+        """The column dictionary for encoding, ``(col_val, col_id, shard)``."""
+        parts = self._lookups(index)
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def known_columns(self, vals: DataFrame, index: str) -> DataFrame:
+        """``(col_val, col_id, shard)`` of those of the distinct, staged ``vals``
+        (``col_val``) that have ids.
+
+        A few values (at most :data:`NAMED_VALUES` of :data:`NAMED_BYTES` bytes, counted
+        first) are asked for by name: the scans skip row groups by Bloom filter and pages
+        by range.  More are joined, with the folded entries bucket by bucket (only the
+        batch's values are shuffled), with the unfolded ones as Spark chooses."""
+        n = vals.agg(F.count("col_val").alias("n"), F.coalesce(F.sum(F.octet_length("col_val")), F.lit(0)).alias("b")).first()
+        parts = self._lookups(index)
+        if n["n"] <= NAMED_VALUES and n["b"] <= NAMED_BYTES:
+            few = named("col_val", [r["col_val"] for r in vals.where("col_val is not null").select("col_val").collect()])
+            parts = [p.where(few) for p in parts]
+        else:
+            parts = [vals.select("col_val").join(p, "col_val") for p in parts]
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def _base(self, index: str) -> tuple[int | None, dict]:
+        """Newest folded lookup: its version, and its buckets and batches."""
+        base = self._index_path("col_base", index)
+        versions = self._versions(base)
+        return (versions[-1], json.loads(read_text(self.spark, f"{base}/version={versions[-1]}/{DONE}"))) if versions else (None, {})
+
+    def fold_lookup(self, index: str) -> str:
+        """Write all lookup entries bucketed by value, as a new version, then drop the
+        older ones and the folders of the batches in it.  For the index's writer only.
+        The number of buckets, kept with the version, follows the number of entries."""
+        version, base = new_batch_id(), self._index_path("col_base", index)
+        batches = _ids(list_folders(self.spark, self._index_path("col_lookup", index)), "batch_id")
+        entries = self.col_lookup(index)
+        n = entries.count()
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = 1 << (max(1, n // BUCKET_ENTRIES, min(tasks, n >> 16)) - 1).bit_length()
+        out = f"{base}/version={version}"
+        (entries.repartition(buckets, "col_val").write.options(**LOOKUP_OPTIONS).option("path", out)
+         .bucketBy(buckets, "col_val").sortBy("col_val").saveAsTable(_table_name(out)))
+        write_text(self.spark, f"{out}/{DONE}", json.dumps({"buckets": buckets, "entries": n, "batches": batches}))
+        for old in _ids(list_folders(self.spark, base), "version"):
+            if old != version:
+                self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(f'{base}/version={old}')}")
+                delete_path(self.spark, f"{base}/version={old}")
+        for b in batches:
+            delete_path(self.spark, f"{self._index_path('col_lookup', index)}/batch_id={b}")
+        return out
 
     def facts(self, index: str = DEFAULT_INDEX) -> DataFrame:
         """A13 read-back: distinct bits of the index in id space."""
@@ -146,7 +222,7 @@ class BitStore:
         """Queries over the facts.  Each of them collapses repeated bits itself, in an
         aggregate that it needs anyway, so the facts are not made distinct first."""
         raw = (self.read("fact").where(F.col("index") == F.lit(index))
-               .select("field", "row_id", "col_id", "shard", "day", "month"))
+               .select("field", "row_id", "col_id", "shard", "day"))
         return Index(raw, spec, self.row_dict(index), self.col_dict(index), index)
 
     def decoded_bits(self, index: str = DEFAULT_INDEX) -> DataFrame:
@@ -158,14 +234,15 @@ class BitStore:
 
     # ---- appends (one batch each) -------------------------------------------
 
-    def _append(self, table: str, df: DataFrame, index: str, batch_id: int, owner_node: int | None = None) -> None:
+    def _append(self, table: str, df: DataFrame, index: str, batch_id: int, owner_node: int | None = None,
+                options: dict | None = None) -> None:
         inner = INNER.get(table, [])
         out = self._index_path(table, index)
         if owner_node is not None:
             out += f"/owner_node={int(owner_node)}"
         cols = [f for f in SCHEMAS[table].fields if f.name not in ("index", "batch_id", "owner_node")]
         (df.select(*[F.col(f.name).cast(f.dataType) for f in cols])
-         .write.mode("append").partitionBy(*inner).parquet(f"{out}/batch_id={int(batch_id)}"))
+         .write.mode("append").options(**(options or {})).partitionBy(*inner).parquet(f"{out}/batch_id={int(batch_id)}"))
 
     def append_row_dict(self, entries: DataFrame, index: str, batch_id: int) -> None:
         """New (index, field, row_id, row_val) entries, sorted by value."""
@@ -174,10 +251,12 @@ class BitStore:
 
     def append_col_dict(self, entries: DataFrame, index: str, batch_id: int) -> None:
         """New column entries: first by value, for encoding, then by id, for decoding."""
-        from ..operators.codec import id_group, value_group
-        by_val = entries.withColumn("val_group", value_group("col_val"))
-        self._append("col_lookup", by_val.hint("rebalance", "val_group").sortWithinPartitions("val_group", "col_val"),
-                     index, batch_id)
+        self._append("col_lookup", entries.repartitionByRange("col_val").sortWithinPartitions("col_val"), index, batch_id,
+                     options=LOOKUP_OPTIONS)
+        self._append_by_id(entries, index, batch_id)
+
+    def _append_by_id(self, entries: DataFrame, index: str, batch_id: int) -> None:
+        from ..operators.codec import id_group
         by_id = entries.withColumn("id_group", id_group("col_id"))
         self._append("col_dict", by_id.hint("rebalance", "id_group").sortWithinPartitions("id_group", "col_id"),
                      index, batch_id)
@@ -202,14 +281,12 @@ class BitStore:
                 .withColumn("full", F.col("next_offset") == 0))
 
     def append_facts(self, facts: DataFrame, index: str, batch_id: int) -> None:
-        """A13 sink: rows of one (field, month, shard) go to the same writer
-        task, sorted by (row_id, col_id), so parquet row-group statistics on
-        ``row_id`` prune row queries and the month prunes range queries.
-        ``rebalance`` (not ``repartition``) lets AQE split a skewed group and
-        merge small ones."""
-        out = (facts.withColumn("month", month_key("day"))
-               .hint("rebalance", "field", "month", "shard")
-               .sortWithinPartitions("field", "month", "shard", "row_id", "col_id"))
+        """A13 sink: bits of one (field, row) go to the same writer task, sorted by
+        (row_id, day, col_id).  Every query names its row and ``range`` days as well, so
+        parquet statistics of row groups and pages prune both, without a folder per
+        month.  ``rebalance`` (not ``repartition``) lets AQE split a hot row and merge
+        small ones."""
+        out = facts.hint("rebalance", "field", "row_id").sortWithinPartitions("field", "row_id", "day", "col_id")
         self._append("fact", out, index, batch_id)
 
     def append_keyed_bits(self, bits: DataFrame, index: str, batch_id: int) -> None:
@@ -280,17 +357,22 @@ class BitStore:
 
     def dict_batches(self, index: str) -> dict[str, list[int]]:
         """The batches whose dictionary entries are there now."""
-        return {t: _ids(list_folders(self.spark, self._index_path(t, index)), "batch_id") for t in ("row_dict", "col_lookup")}
+        out = {t: _ids(list_folders(self.spark, self._index_path(t, index)), "batch_id") for t in ("row_dict", "col_lookup")}
+        out["col_base"] = [self._base(index)[0]]
+        return out
 
     def check_unseen(self, entries: DataFrame, table: str, index: str, seen: dict[str, list[int]]) -> None:
         """D7 before a commit: raise if a new value or id is in an entry that another job
         committed after ``seen`` was taken, i.e. after the values were looked up.  Reads the
         folders of those batches only: none, unless two jobs gave out ids at once."""
-        new = sorted(set(self.dict_batches(index)[table]) - set(seen[table]))
-        if not new:
+        now = self.dict_batches(index)
+        new = sorted(set(now[table]) - set(seen[table]))
+        folded = table == "col_lookup" and now["col_base"] != seen["col_base"]  # what is new may be in there
+        if not new and not folded:
             return
         keys = (["field", "row_val"], ["field", "row_id"]) if table == "row_dict" else (["col_val"], ["col_id"])
-        other = self.read(table).where((F.col("index") == F.lit(index)) & F.col("batch_id").isin(*new))
+        other = self.col_lookup(index) if folded else self.read(table).where(
+            (F.col("index") == F.lit(index)) & F.col("batch_id").isin(*new))
         for k in keys:
             n = entries.join(other.select(*k), k, "left_semi").count()
             if n:
@@ -320,8 +402,11 @@ class BitStore:
     def refresh_index(self, index: str) -> None:
         """A10: drop facts, keyed bits, rollups, rejects, reports and the
         dictionaries of an index, so old bits can never meet new ids."""
+        base = self._index_path("col_base", index)
+        for v in _ids(list_folders(self.spark, base), "version"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(f'{base}/version={v}')}")
         for t in ("rollup", "rollup_delta", "rollup_time", "fact", "bit", "reject", "load_report", "shard_log", "col_lookup",
-                  "col_dict", "row_dict"):
+                  "col_base", "col_dict", "row_dict"):
             delete_path(self.spark, self._index_path(t, index))
 
     # ---- E5 rollup ----------------------------------------------------------
@@ -468,24 +553,30 @@ class BitStore:
 
     def compact_dicts(self, index: str) -> None:
         """Fold the dictionaries' and the shard log's batch folders into one
-        each, then drop the old folders.  Entries are never changed, so a reader
-        meets the same ids before and after; if the job dies in between, entries
-        are there twice until it is run again (it writes them distinct)."""
+        each, and the lookup entries into buckets, then drop the old folders.
+        Entries are never changed, so a reader meets the same ids before and after; if
+        the job dies in between, entries of the first three are there twice until it is
+        run again (it writes them distinct)."""
         with self.writer(index):  # entries are only folded: nothing new is given out
             batch_id = new_batch_id()
             old = {t: _ids(list_folders(self.spark, self._index_path(t, index)), "batch_id")
-                   for t in ("row_dict", "col_dict", "col_lookup", "shard_log")}
+                   for t in ("row_dict", "col_dict", "shard_log")}
             rows = self.row_dict(index).distinct()
             cols = self.col_dict(index).select("index", "col_id", "shard", "col_val").distinct()
             if old["row_dict"]:
                 self.append_row_dict(rows, index, batch_id)
             if old["col_dict"]:
                 self.append_shard_log(cols, index, batch_id)
-                self.append_col_dict(cols, index, batch_id)
+                self._append_by_id(cols, index, batch_id)
+                self.fold_lookup(index)
             for t, batches in old.items():
                 for b in batches:
                     delete_path(self.spark, f"{self._index_path(t, index)}/batch_id={b}")
 
 
+def _table_name(folder: str) -> str:
+    return "bitlake_" + hashlib.sha256(folder.encode()).hexdigest()[:32]
+
+
 def _ids(names: list[str], key: str) -> list[int]:
     return sorted(int(n[len(key) + 1:]) for n in names if n.startswith(key + "="))

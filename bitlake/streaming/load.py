@@ -12,8 +12,8 @@ One batch:
    rejects and the report (commit 3);
 5. mark the batch's files (commit 4).
 
-Only the batch's *distinct* values meet the dictionaries, each once, and a small
-batch reads only the groups of the column dictionary that its values hash to.
+Only the batch's *distinct* values meet the dictionaries, each once: a few are asked
+for by name, many are joined (:meth:`BitStore.known_columns`).
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import parse_lines
 from ..operators.bits import BIT_COLS, load_rows
-from ..operators.codec import value_group
 from ..operators.ids import assign_column_ids, assign_row_ids, check_col_entries, check_row_entries
 from ..plans.store import BitStore, new_batch_id
 from ..sources.logs import (check_files_read, day_folders, file_cap, file_inventory, inventory_of_lines, plain_path,
@@ -39,13 +38,6 @@ FILES_PER_BATCH = 50_000
 BIG_FILE_BYTES = 256 << 20
 
 
-def _known_columns(vals: DataFrame, lookup: DataFrame) -> DataFrame:
-    """``(col_val, col_id, shard)`` of the staged values that have ids.  Inner
-    join on the value's group: the small side is broadcast and prunes the groups."""
-    # The predicate, true of every group, is what makes Spark consider pruning.
-    return vals.where("val_group >= 0").join(lookup, ["val_group", "col_val"]).select("col_val", "col_id", "shard")
-
-
 def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, spec: LogSpec = LogSpec(),
                cfg: IdConfig = IdConfig(), batch_id: int | None = None, files: DataFrame | None = None,
                owner_node: int = 0, keyed: bool = False, skip_known_bits: bool = False,
@@ -62,8 +54,7 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
     staged = store.stage(load_rows(parse_lines(lines, spec), spec), batch_id, "rows")
     bits = staged.where(~F.col("field").startswith("#")).select(*BIT_COLS)
     row_vals = store.stage(bits.select("field", "row_val").distinct(), batch_id, "row_values")
-    col_vals = store.stage(bits.select("col_val").distinct().withColumn("val_group", value_group("col_val")),
-                           batch_id, "col_values")
+    col_vals = store.stage(bits.select("col_val").distinct(), batch_id, "col_values")
     t.append(time.perf_counter())
 
     with store.writer(index, writer_wait_s) as still_mine:
@@ -81,7 +72,7 @@ def load_batch(store: BitStore, lines: DataFrame, index: str = DEFAULT_INDEX, sp
             store.append_row_dict(row_entries, index, batch_id)
         t.append(time.perf_counter())
 
-        old_cols = store.stage(_known_columns(col_vals, store.col_lookup(index)), batch_id, "old_cols")
+        old_cols = store.stage(store.known_columns(col_vals, index), batch_id, "old_cols")
         new_cols = store.stage(col_vals.select("col_val").join(old_cols, "col_val", "left_anti"), batch_id, "new_col_values")
         state = store.shard_state(index, cfg.shard_width)
         col_entries = store.stage(assign_column_ids(None, store.col_dict(index), index, cfg, new_values=new_cols,

@@ -35,6 +35,24 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def leaves(plan):
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return leaves(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return leaves(plan.plan())
+    kids = plan.children()
+    return [x for i in range(kids.size()) for x in leaves(kids.apply(i))] if kids.size() else [plan]
+
+
+def decoded_rows(df):
+    """Rows that the scans handed on: what row-group and page skipping left."""
+    df.collect()
+    scans = [x for x in leaves(df._jdf.queryExecution().executedPlan()) if "Scan" in x.getClass().getSimpleName()]
+    assert scans
+    return sum(x.metrics().get("numOutputRows").get().value() for x in scans)
+
+
 def test_file_names_are_literal(spark, workdir):
     root = workdir + "/odd"
     names = ["a[1].gz", "a1.gz", "x{1}.gz", "s*.gz", "q?.gz", "b c.gz", "p%20+q.gz", "é.gz"]
@@ -111,13 +129,68 @@ def test_a_small_batch_does_not_move_the_dictionary(spark, workdir):
     entries = spark.range(200_000).select(F.col("id").alias("col_id"), F.lit(0).cast("long").alias("shard"),
                                           F.concat(F.lit("v"), F.col("id").cast("string")).alias("col_val"))
     s.append_col_dict(entries, "_test", 1)
-    from bitlake.operators.codec import value_group
-    vals = s.stage(spark.createDataFrame([("v7",), ("new",)], "col_val string")
-                   .withColumn("val_group", value_group("col_val")), 2, "vals")
-    known = load._known_columns(vals, s.col_lookup("_test"))
-    plan = executed(known)
+    vals = s.stage(spark.createDataFrame([("v7",), ("new",), (None,)], "col_val string"), 2, "vals")
+    known = s.known_columns(vals, "_test")
     assert rows(known) == [("v7", 7, 0)]
-    assert "BroadcastHashJoin" in plan and "dynamicpruning" in plan and "hashpartitioning" not in plan
+    plan = executed(known)
+    assert "Exchange" not in plan and "Join" not in plan and "col_val" in plan.split("PushedFilters")[1].split("]")[0]
+    assert decoded_rows(known) <= 3 * 500  # a page or so of 200,000 entries
+
+
+def test_lookups_by_name_decode_few_entries(spark, workdir):
+    s = BitStore(spark, workdir + "/named")
+    entries = spark.range(300_000).select(F.col("id").alias("col_id"), F.lit(0).cast("long").alias("shard"),
+                                          F.concat(F.lit("v"), F.col("id").cast("string")).alias("col_val"))
+    s.append_shard_log(entries, "_test", 1)
+    s.append_col_dict(entries, "_test", 1)
+    new = s.stage(spark.range(500).select(F.concat(F.lit("v"), F.col("id") * 600, F.lit("x")).alias("col_val")), 2, "new")
+    old = s.stage(spark.range(50).select(F.concat(F.lit("v"), F.col("id") * 5_999).alias("col_val")), 2, "old")
+    none = s.stage(old.limit(0), 2, "none")
+    for folded in (False, True):
+        known = s.known_columns(new, "_test")
+        assert rows(known) == [] and decoded_rows(known) < 30_000  # Bloom filters: under a tenth
+        known = s.known_columns(old, "_test")
+        assert sorted(r.col_id for r in known.collect()) == [i * 5_999 for i in range(50)]
+        if not folded:
+            assert decoded_rows(known) <= 50 * 2 * 500             # a page or two for each
+        known = s.known_columns(old.where("col_val in ('v0', 'v5999')"), "_test")
+        assert len(rows(known)) == 2 and decoded_rows(known) <= 2 * 20_000  # at most a row group for each
+        assert rows(s.known_columns(none, "_test")) == []
+        s.compact_dicts("_test")
+
+
+def test_a_large_batch_meets_the_folded_dictionary_bucket_by_bucket(spark, workdir):
+    s = BitStore(spark, workdir + "/buckets")
+    def entries(lo, hi):
+        return spark.range(lo, hi).select(F.col("id").alias("col_id"), F.lit(0).cast("long").alias("shard"),
+                                          F.concat(F.lit("v"), F.col("id").cast("string")).alias("col_val"))
+    for b, (lo, hi) in enumerate([(0, 400_000), (400_000, 600_000), (600_000, 600_100)]):
+        s.append_shard_log(entries(lo, hi), "_test", b + 1)
+        s.append_col_dict(entries(lo, hi), "_test", b + 1)
+        if b == 1:
+            s.compact_dicts("_test")
+    assert s._base("_test")[1]["buckets"] > 1
+    vals = s.stage(spark.range(1_000_000).select(F.concat(F.lit("v"), F.col("id") + 300_000).alias("col_val")), 9, "vals")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # both sides too large to broadcast
+    try:
+        known = s.known_columns(vals, "_test")
+        assert known.count() == 300_100 and known.agg(F.sum("col_id")).first()[0] == sum(range(300_000, 600_100))
+        plan = executed(known)
+        side = plan.split("Bucketed: true")[0].rsplit("Exchange", 1)[1]  # from the last exchange above the folded scan
+        assert "Bucketed: true" in plan and "FileScan" in side.split("spark_catalog")[0]  # that exchange is of the batch
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # another session meets the folder without the catalog's name; a fold half done is not read
+    spark.sql("DROP TABLE " + s._lookups("_test")[0]._jdf.queryExecution().analyzed().collectLeaves().apply(0)
+              .catalogTable().get().identifier().unquotedString())
+    spark.range(1).write.parquet(f"{workdir}/buckets/col_base/index=_test/version=9999999999999999")
+    assert s.col_lookup("_test").count() == 600_100
+    s.compact_dicts("_test")
+    assert s.col_lookup("_test").count() == 600_100 and rows(
+        s.known_columns(vals.where("col_val = 'v300000'"), "_test")) == [("v300000", 300_000, 0)]
+    s.refresh_index("_test")
+    assert s.col_lookup("_test").count() == 0
 
 
 def test_stream_leaves_what_a_load_has_marked(spark, workdir):
@@ -166,7 +239,7 @@ def test_entries_that_break_a_key_are_not_committed(spark):
     ids.check_row_entries(spark.createDataFrame([("_test", "f", 1, "b")], rd.schema), rd, "_test")
 
 
-def test_range_prunes_months(spark, workdir):
+def test_range_reads_its_days(spark, workdir):
     root = write(workdir + "/mon", LINES)
     s = BitStore(spark, workdir + "/mon-store")
     run_load(spark, s, root=root, cfg=CFG)
@@ -174,14 +247,32 @@ def test_range_prunes_months(spark, workdir):
     out = ix.columns(ix.range("ofield", "o1", "2018-07-01", "2018-07-02"))
     plan = out._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    filters = [ln for ln in plan.splitlines() if ln.startswith("PartitionFilters")]
-    assert any("month" in f and "201807" in f for f in filters)
+    pushed = [ln for ln in plan.splitlines() if ln.startswith("PushedFilters")]
+    assert any("EqualTo(row_id," in f and "GreaterThanOrEqual(day,2018-07-01)" in f and "LessThan(day,2018-07-02)" in f
+               for f in pushed)
     assert rows(out) == [("u1",), ("u3",)]
     assert rows(ix.columns(ix.range("ofield", "o1", "2018-07-02", "2018-08-02"))) == [("u1",), ("u2",)]
     with pytest.raises(ValueError):
         ix.range("ofield", "o1", "2018-07-01garbage", "2018-07-02")
 
 
+def test_row_and_range_skip_what_they_do_not_ask_for(spark, workdir):
+    """2,000,000 bits, half of them of one row, over 700 days, in one batch."""
+    s = BitStore(spark, workdir + "/skip")
+    n = 2_000_000
+    day = F.date_add(F.lit("2018-01-01").cast("date"), F.pmod(F.xxhash64("id"), F.lit(700)).cast("int"))
+    facts = spark.range(n).select(F.lit("f").alias("field"), F.lit(0).cast("long").alias("shard"), F.when(
+        F.col("id") % 2 == 0, 0).otherwise(F.pmod(F.hash("id"), F.lit(1000)) + 1).cast("long").alias("row_id"),
+        F.col("id").alias("col_id"), day.alias("day"))
+    s.append_facts(facts, "_test", 1)
+    f = s.read("fact").where(F.col("index") == "_test")
+    assert len(f.inputFiles()) <= 16
+    one = f.where((F.col("field") == "f") & (F.col("row_id") == 17)).select("col_id")
+    assert one.count() > 500 and decoded_rows(one) < n / 10
+    days = f.where((F.col("row_id") == 0) & (F.col("day") >= "2018-07-01") & (F.col("day") < "2018-07-08")).select("col_id")
+    assert days.count() > 5_000 and decoded_rows(days) < n / 10
+
+
 def test_a_rollup_never_answers_stale(spark, workdir):
     root = write(workdir + "/ru", LINES)
     s = BitStore(spark, workdir + "/ru-store")
