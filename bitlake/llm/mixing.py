@@ -1,20 +1,22 @@
 """Mixing sources to target weights by a hypergeometric splitting tree (native).
 
 1. Each source gets a target number of words (:func:`source_targets`).
-2. A source's documents, in an order given by a hash, form a line of words;
-   repeats lay the line end to end.  The first ``target`` words of it, cut into
-   blocks, are the source's quota of blocks.
+2. A source's documents, in an order given by a hash, form a line of words, laid
+   end to end as often as a document may be taken and cut into blocks.  The blocks
+   are permuted by a hash, and as many of them as reach the target (the last one cut
+   to the word) are drawn: the source's quota of blocks.
 3. The quotas of all sources are the root of a binary tree whose leaves are the
    output shards.  A node gives its left child half of its blocks, drawn without
    replacement: going through its blocks source by source, each goes left with
    probability (left places open) / (blocks not yet seen).  That is a draw from
    the multivariate hypergeometric distribution, and quotas stay exact.
-4. A source's blocks, permuted by a hash, are dealt out to the leaves in
+4. A source's drawn blocks, in their permuted order, are dealt out to the leaves in
    disjoint runs as long as the leaf's quota; in a shard, pieces are ordered by
    a hash.
 
-The number of blocks is ``shards * BLOCKS_PER_SHARD`` plus one per source, so
-the tree is small however large the data.  Positions on a source's line come
+At most about ``shards * BLOCKS_PER_SHARD`` blocks and one per source are drawn, so
+the tree is small however large the data; a block has the words of
+:data:`BLOCK_DOCS` average documents or more, so that few documents are cut.  Positions on a source's line come
 from two levels of running sums over about ``sqrt(rows)`` hash ranges of about
 ``sqrt(rows)`` rows, so a source with a third of all rows is spread as well.
 
@@ -34,6 +36,7 @@ from bitlake.llm.common import WORD, hash52, stage, text_or_empty
 
 SHARDS = 16
 BLOCKS_PER_SHARD = 64
+BLOCK_DOCS = 4
 #: A document is taken at most so many times.
 REPEATS = 3
 SEED = 11
@@ -96,26 +99,30 @@ def split_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
     return q.select((F.col("node") - shards).cast("int").alias("shard"), "idx", "n")
 
 
-def deal_blocks(targets: DataFrame, block: int, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """``(idx, block, shard)``: the shard of every block."""
-    n = F.ceil(F.col("words") / F.lit(block)).cast("bigint")
-    quotas = targets.filter("words > 0").select("idx", n.alias("n"))
-    runs = split_quotas(quotas, shards, seed).filter("n > 0")
+def deal_blocks(targets: DataFrame, block: int, shards: int = SHARDS, seed: int = SEED,
+                repeats: int = REPEATS) -> DataFrame:
+    """``(idx, block, keep, shard)`` of the drawn blocks: their first ``keep`` words are taken."""
+    supply = repeats * F.col("source_size")
+    blocks = targets.filter("words > 0").select("idx", "words", supply.alias("supply"), F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.ceil(supply / F.lit(block)).cast("bigint") - 1)).alias("block"))
+    size = F.least(F.lit(block).cast("bigint"), F.col("supply") - F.col("block") * block)
+    order = W.partitionBy("idx").orderBy(hash52(F.lit(seed), "idx", "block"), "block")
+    before = F.sum(size).over(order.rowsBetween(W.unboundedPreceding, 0)) - size
+    drawn = blocks.select("idx", "block", (F.row_number().over(order) - 1).alias("rank"),
+                          F.least(size, F.col("words") - before).alias("keep")).filter("keep > 0")
+    runs = split_quotas(drawn.groupBy("idx").agg(F.count(F.lit(1)).alias("n")), shards, seed).filter("n > 0")
     upto = F.sum("n").over(W.partitionBy("idx").orderBy("shard"))
     runs = runs.select("idx", "shard", (upto - F.col("n")).alias("lo"), upto.alias("hi"))
-    blocks = quotas.select("idx", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("block"))
-    order = W.partitionBy("idx").orderBy(F.xxhash64(F.lit(seed), "idx", "block"), "block")
-    blocks = blocks.withColumn("rank", F.row_number().over(order) - 1)
-    return (blocks.join(runs, "idx").filter("rank >= lo and rank < hi")
-            .select("idx", "block", "shard"))
+    return (drawn.join(runs, "idx").filter("rank >= lo and rank < hi")
+            .select("idx", "block", "keep", "shard"))
 
 
 def mix(docs: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PER_SHARD,
         repeats: int = REPEATS, seed: int = SEED, extra: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document and taken piece of it (one without a piece if
-    nothing is taken): ``doc_id, size, source_size, target, place`` (unique per
-    input row), ``words`` of the piece, ``shard``, ``block`` and ``sort_key`` in
-    the shard."""
+    """One row per document and piece of it in a block (one without a piece if it has no
+    words): ``doc_id, size, source_size, target, place`` (unique per input row),
+    ``words`` taken of the piece (0 unless its block is drawn), ``shard``, ``block`` and
+    ``sort_key`` in the shard."""
     # Of id and text: rows without id, or of one id, spread; only rows equal in both tie.
     h = hash52(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text_or_empty()))
     rows = docs.select(
@@ -127,8 +134,8 @@ def mix(docs: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PE
     targets = stage(source_targets(per, repeats).join(
         per.select(F.col("source").alias("__s"), "rows"), F.col("__s").eqNullSafe(F.col("source"))).drop("__s"),
         "mix-targets")
-    total = targets.agg(F.sum("words")).first()[0] or 0
-    block = max(1, -(-total // (shards * blocks_per_shard)))
+    total, words, n = targets.agg(F.sum("words"), F.sum("source_size"), F.sum("rows")).first()
+    block = max(1, -(-(total or 0) // (shards * blocks_per_shard)), -(-BLOCK_DOCS * (words or 0) // (n or 1)))
 
     # Places on the line: running sums over hash ranges, then inside each range.
     t = targets.select(F.col("source").alias("__s"), "idx", "source_size", "target",
@@ -144,30 +151,30 @@ def mix(docs: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PE
                        F.row_number().over(inside).alias("__n"))
     rows = rows.join(base, ["idx", "range"]).withColumn("start", F.col("base") + F.col("off"))
 
-    blk = F.lit(block)
     pieces = F.expr(f"""flatten(transform(
-        filter(sequence(0, {repeats - 1}), e -> size > 0 and e * source_size + start < quota),
+        filter(sequence(0, {repeats - 1}), e -> size > 0 and quota > 0),
         e -> transform(
-          sequence((e * source_size + start) div {block}, (least(e * source_size + start + size, quota) - 1) div {block}),
-          b -> named_struct('block', b, 'words',
-            least(e * source_size + start + size, quota, (b + 1) * {block}) - greatest(e * source_size + start, b * {block})))))""")
+          sequence((e * source_size + start) div {block}, (e * source_size + start + size - 1) div {block}),
+          b -> named_struct('block', b,
+            'lo', greatest(e * source_size + start - b * {block}, 0L),
+            'hi', least(e * source_size + start + size - b * {block}, {block}L)))))""")
     rows = rows.select("doc_id", "idx", "size", "source_size", "target", *extra,
                        F.concat_ws("-", "idx", "range", "__n").alias("place"),
                        F.explode_outer(pieces).alias("p"))
-    rows = rows.select("doc_id", "idx", "size", "source_size", "target", *extra, "place",
-                       F.col("p.block").alias("block"), F.col("p.words").alias("words"))
-    dealt = deal_blocks(targets, block, shards, seed)
-    return (rows.join(dealt, ["idx", "block"], "left")
+    rows = rows.select("doc_id", "idx", "size", "source_size", "target", *extra, "place", "p.*")
+    dealt = stage(deal_blocks(targets, block, shards, seed, repeats), "mix-blocks")
+    some = targets.count() <= 100_000  # then the drawn blocks are few, too
+    return (rows.join(F.broadcast(dealt) if some else dealt, ["idx", "block"], "left")
+            .withColumn("words", F.when(F.col("keep") > F.col("lo"), F.least("hi", "keep") - F.col("lo")).otherwise(0))
             .withColumn("sort_key", F.xxhash64(F.lit(seed), "shard", "block", "place"))
-            .drop("idx"))
+            .drop("idx", "lo", "hi", "keep"))
 
 
 def taken(pieces: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Words taken per document: ``doc_id, size, source_size, target, taken``.
-    A piece counts if its block was dealt to a shard."""
-    words = F.when(F.col("shard").isNotNull(), F.col("words")).otherwise(0)
+    What counts is in the blocks that were drawn and dealt to a shard."""
     return (pieces.groupBy("place", "doc_id", "size", "source_size", "target", *extra)
-            .agg(F.coalesce(F.sum(words), F.lit(0)).cast("bigint").alias("taken")).drop("place"))
+            .agg(F.sum("words").cast("bigint").alias("taken")).drop("place"))
 
 
 def mix_documents(docs: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PER_SHARD,
@@ -197,12 +204,23 @@ l AS (SELECT *, (sum(source_size) OVER () - {REPEATS} * coalesce(sum(source_size
              (sum(weight) OVER (ORDER BY source_size / weight, idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS den,
              row_number() OVER (ORDER BY source_size / weight, idx) AS pos FROM i),
 f AS (SELECT num, den, pos FROM l WHERE num * weight <= {REPEATS} * source_size * den ORDER BY pos LIMIT 1),
-t AS (SELECT l.source, source_size, CASE WHEN l.pos < f.pos THEN ({REPEATS} * source_size)::DOUBLE
+t AS (SELECT l.source, idx, source_size, CASE WHEN l.pos < f.pos THEN ({REPEATS} * source_size)::DOUBLE
              ELSE (weight * f.num) / f.den END AS target FROM l, f),
-q AS (SELECT d.doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS quota,
+q AS (SELECT row_number() OVER () AS rn, d.doc_id, idx - 1 AS idx, size, source_size, target, quota,
              (sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       ({" + ".join(f"greatest(0, least(size, quota - {e} * source_size - start))" for e in range(REPEATS))})::BIGINT AS taken
-FROM q
+      FROM d JOIN (SELECT *, floor(target + 0.5)::BIGINT AS quota FROM t) t ON d.source IS NOT DISTINCT FROM t.source),
+z AS (SELECT greatest(1, ((SELECT sum(floor(target + 0.5)) FROM t)::BIGINT + {SHARDS * BLOCKS_PER_SHARD - 1}) // {SHARDS * BLOCKS_PER_SHARD},
+             ((SELECT {BLOCK_DOCS} * sum(size) + count(*) - 1 FROM d) // (SELECT count(*) FROM d))::BIGINT)::BIGINT AS block),
+b AS (SELECT idx, quota, b, least(block, {REPEATS} * source_size - b * block) AS len,
+             ('0x' || substr(md5('{SEED}:' || idx || ':' || b), 1, 13))::BIGINT AS h
+      FROM (SELECT DISTINCT idx, quota, source_size, block, unnest(range(({REPEATS} * source_size + block - 1) // block)) AS b
+            FROM q, z WHERE quota > 0)),
+k AS (SELECT idx, b, least(len, quota - (sum(len) OVER (PARTITION BY idx ORDER BY h, b ROWS UNBOUNDED PRECEDING) - len))::BIGINT AS keep
+      FROM b),
+p AS (SELECT rn, idx, size, e * source_size + start AS p0, block,
+             unnest(range((e * source_size + start) // block, (e * source_size + start + size - 1) // block + 1)) AS b
+      FROM q, z, (SELECT unnest(range({REPEATS})) AS e) WHERE size > 0),
+w AS (SELECT rn, sum(greatest(0, least(p0 + size - p.b * block, block, keep) - greatest(p0 - p.b * block, 0)))::BIGINT AS taken
+      FROM p JOIN k ON k.idx = p.idx AND k.b = p.b AND keep > 0 GROUP BY rn)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM q LEFT JOIN w USING (rn)
 """

@@ -108,14 +108,23 @@ def mixing(docs, seed=11):
             rest -= 3 * total[n]
             free.remove(n)
     out = []
-    for n in names:
+    block = max(1, -(-sum(int(target[n] + 0.5) for n in names) // 1024), -(-4 * sum(size) // max(1, len(docs))))
+    for k, n in enumerate(names):
         line = sorted((int(hashlib.md5(f"{seed}:{'' if i is None else i}:{md5(t)}".encode()).hexdigest()[:13], 16),
                        (i is not None, i or 0), z) for (i, t, s), z in zip(docs, size) if s == n)
-        quota, at = int(target[n] + 0.5), 0
-        for _, (has, i), z in line:
-            took = sum(max(0, min(z, quota - e * total[n] - at)) for e in range(3))
-            out.append((i if has else None, z, total[n], target[n], took))
+        quota, at, drawn = int(target[n] + 0.5), 0, []
+        word = [None] * (3 * total[n])  # the line, word by word
+        for j, (_, _, z) in enumerate(line):
+            for e in range(3):
+                word[e * total[n] + at:e * total[n] + at + z] = [j] * z
             at += z
+        for b in sorted(range(-(-len(word) // block)),
+                        key=lambda b: (hashlib.md5(f"{seed}:{k}:{b}".encode()).hexdigest()[:13], b)):
+            drawn += word[b * block:(b + 1) * block]
+        took = [0] * len(line)
+        for j in drawn[:quota]:
+            took[j] += 1
+        out += [(i if has else None, z, total[n], target[n], c) for (_, (has, i), z), c in zip(line, took)]
     return out
 
 
