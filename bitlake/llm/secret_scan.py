@@ -2,22 +2,29 @@ r"""Secret scan: three patterns and a randomness test battery (native).
 
 Base spans come from the three patterns of :data:`BASE`, leftmost and not
 overlapping within a kind.  The battery adds ``random`` spans.  Candidates are
-runs of 20 or more characters of the base-64 alphabets that overlap no base span.
-Each gets the narrowest encoding that fits (upper or lower hex, base 32, base 64,
-URL base 64) and three statistics, each with mean 0 and variance 1 if its
+runs of 20 or more characters of the base-64 alphabets, with a letter and a digit,
+that overlap no base span.  Each gets the narrowest encoding that fits (upper or
+lower hex, base 32, base 64, URL base 64) and four statistics, each near 0 if its
 symbols are independent and uniform over that alphabet:
 
 * chi-squared of symbol counts (its exact mean and variance, so short runs count);
+* chi-squared of upper case, lower case, digits and signs;
 * runs above and below the middle of the alphabet (Wald-Wolfowitz);
 * serial correlation of neighbouring symbols.
 
-Their squares (the first one-sided) sum to a chi-squared with three degrees of
-freedom, whose tail is the p-value of "random".  In each band of encoding and
-length, Benjamini-Hochberg at level :data:`FDR` over *all* candidates of the
-corpus decides which are not random, so that short runs, which carry little
-evidence, do not borrow from long ones.  What is left, with both letters and
-digits, is a secret.  Thresholds come from a histogram of p-values (20 bins a
-power of ten), which is a few hundred rows at any size.
+The sum of their squares (the chi-squared ones one-sided) is the score; low is random.
+
+The null hypothesis is that a run is ordinary text.  Its distribution is taken from
+the corpus: all words in a row, 4, 8 and 16 at a time, written as one run the way
+identifiers are (:func:`ordinary`), as far as they have a letter and a digit too.
+The p-value of a candidate is the share of ordinary runs of its length band that fit
+its encoding and score no higher, times the number of encodings.  In each band,
+Benjamini-Hochberg at level :data:`FDR` over the candidates decides which are not
+ordinary; those are secrets, so the expected share of ordinary text among them is
+bounded.  Short runs, which carry little evidence, borrow nothing from long ones, and
+where the corpus has too little ordinary text of a length to tell, nothing is added.
+Both sides count distinct texts, so copies weigh once; the decision needs two
+histograms of at most a few thousand rows at any size.
 
 Defined cases: a null text counts as empty; no span gives the digest of the
 empty text and an empty list; repeated rows and null ids each give their own
@@ -38,7 +45,11 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 BASE = (("assign", ASSIGN, 2, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24))
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
-FDR = 0.001
+FDR = 0.05
+#: Words in a row that make an ordinary run, and the last length band (powers of two).
+WORDS, LAST_BAND = (4, 8, 16), 6
+#: Scores are compared in steps of 1 / STEPS, up to TOP.
+STEPS, TOP = 4, 50
 # The alphabets, narrowest first.
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ALPHABETS = (("hex", _DIGITS + "abcdef"), ("HEX", _DIGITS + "ABCDEF"), ("base32", _UPPER + "234567"),
@@ -72,15 +83,8 @@ def spans(text: str, pattern: str, group: int, least: int, kind: int):
     return F.when(F.size(whole) > 0, walked).otherwise(none)
 
 
-def _erfc(x):
-    """Abramowitz and Stegun 7.1.26, absolute error below 2e-7."""
-    t = 1 / (1 + 0.3275911 * x)
-    poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
-    return poly * F.exp(-x * x)
-
-
 def battery(tokens: DataFrame) -> DataFrame:
-    """``tokens`` (column ``token``) with ``encoding, n, p`` (of being random)."""
+    """``tokens`` (column ``token``) with ``encoding, n, score`` (low: random)."""
     body = F.regexp_replace("token", "=+$", "")
     enc = F.lit(None).cast("string")
     alpha = F.lit(None).cast("string")
@@ -104,27 +108,61 @@ def battery(tokens: DataFrame) -> DataFrame:
     spread = prod * (prod - n) / (n * n * (n - 1))
     z2 = F.when(spread > 0, (F.col("runs") - prod / n - 1) / F.sqrt(spread)).otherwise(F.sqrt(n))
     z3 = F.when(F.col("var") > 0, F.col("cov") / F.col("var") * F.sqrt(n)).otherwise(F.sqrt(n))
-    z1 = F.greatest(z1, F.lit(0.0))
-    s = z1 * z1 + z2 * z2 + z3 * z3
-    d = d.withColumn("s", F.least(s, F.lit(500.0)))
-    p = _erfc(F.sqrt(F.col("s") / 2)) + F.sqrt(2 * F.col("s") / F.lit(3.141592653589793)) * F.exp(-F.col("s") / 2)
-    return d.withColumn("p", F.greatest(F.least(p, F.lit(1.0)), F.lit(1e-100))).drop(
-        "body", "alpha", "x", "a", "sq", "n1", "n2", "runs", "mean", "var", "cov", "s")
-
-
-def not_random(scored: DataFrame, fdr: float = FDR) -> DataFrame:
-    """``scored`` with ``rejected``: Benjamini-Hochberg in each band."""
-    band = F.concat_ws(":", "encoding", F.floor(F.log2(F.col("n"))))
-    d = scored.withColumn("band", band).withColumn("bin", F.floor(-F.log10("p") * 20).cast("int"))
-    hist = d.groupBy("band", "bin").agg(F.count(F.lit(1)).alias("c"))
-    w = W.partitionBy("band")
-    hist = hist.select("band", "bin", F.sum("c").over(w).alias("m"),
-                       F.sum("c").over(w.orderBy(F.desc("bin"))).alias("k"))
-    cut = (hist.filter(F.pow(F.lit(10.0), -F.col("bin") / 20) <= fdr * F.col("k") / F.col("m"))
-           .groupBy("band").agg(F.min("bin").alias("cut")))
-    # One row a band: five or six encodings times the powers of two of lengths.
-    return (d.join(F.broadcast(cut), "band", "left")
-            .withColumn("rejected", F.coalesce(F.col("bin") >= F.col("cut"), F.lit(False))).drop("cut", "band", "bin"))
+    classes = [_UPPER, _LOWER, _DIGITS, "+/-_"]
+    cells, chi = F.lit(0.0), F.lit(0.0)
+    for letters in classes:
+        size = F.length("alpha") - F.length(F.translate("alpha", letters, ""))
+        seen, due = F.length("body") - F.length(F.translate("body", letters, "")), n * size / a
+        cells += F.when(size > 0, 1.0).otherwise(0.0)
+        chi += F.when(size > 0, (seen - due) * (seen - due) / due).otherwise(0.0)
+    z4 = (chi - (cells - 1)) / F.sqrt(2 * (cells - 1))
+    z1, z4 = F.greatest(z1, F.lit(0.0)), F.greatest(z4, F.lit(0.0))
+    d = d.withColumn("score", z1 * z1 + z2 * z2 + z3 * z3 + z4 * z4)
+    return d.drop("body", "alpha", "x", "a", "sq", "n1", "n2", "runs", "mean", "var", "cov")
+
+
+def _eligible(token: str):
+    return F.col(token).rlike("[A-Za-z]") & F.col(token).rlike("[0-9]")
+
+
+def ordinary(texts: DataFrame) -> DataFrame:
+    """Distinct ``token``: the words of column ``t``, :data:`WORDS` in a row and none
+    twice, as one run of 20 characters or more with a letter and a digit.  Words of more
+    than 15 letters, which may be secrets, end a row.  The run's own hash says how it
+    is written: InCapitals, with_underscores, with-hyphens, or just joined."""
+    word = "(?<![A-Za-z0-9])[A-Za-z0-9]{1,15}+(?![A-Za-z0-9])"
+    rows = [F.regexp_extract_all("t", F.lit(f"{word}(?:[^A-Za-z0-9]+{word}){{{k - 1}}}"), F.lit(0)) for k in WORDS]
+    both = [F.filter(r, lambda x: x.rlike("[A-Za-z]") & x.rlike("[0-9]")) for r in rows]
+    w = texts.select(F.explode(F.concat(*both)).alias("w")).select(F.regexp_replace("w", "[^A-Za-z0-9]+", " ").alias("w"))
+    style = F.pmod(F.xxhash64("w"), F.lit(4))
+    token = (F.when(style == 0, F.replace(F.initcap("w"), F.lit(" "), F.lit("")))
+             .when(style == 1, F.translate("w", " ", "_")).when(style == 2, F.translate("w", " ", "-"))
+             .otherwise(F.replace("w", F.lit(" "), F.lit(""))))
+    once = w.select(token.alias("token")).filter(F.length("token") >= 20).distinct()
+    # The battery costs far more than its bytes say, so tasks are not merged by size.
+    return once.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _binned(scored: DataFrame) -> DataFrame:
+    return (scored.withColumn("band", F.least(F.floor(F.log2("n")), F.lit(LAST_BAND)).cast("int"))
+            .withColumn("bin", F.floor(F.least(F.col("score"), F.lit(float(TOP))) * STEPS).cast("int")))
+
+
+def secrets(scored: DataFrame, null: DataFrame, fdr: float = FDR) -> DataFrame:
+    """The rows of ``scored`` that are not ordinary: Benjamini-Hochberg in each length
+    band against ``null``, both from :func:`battery`."""
+    key = ["band", "encoding", "bin"]
+    d = _binned(scored)
+    seen = d.select("token", *key).distinct().select(*key, F.lit(1).alias("c"), F.lit(0).alias("o"))
+    plain = _binned(null).select(*key, F.lit(0).alias("c"), F.lit(1).alias("o"))
+    # Bands times encodings times bins: at most a few thousand rows, whatever the corpus.
+    hist = seen.unionByName(plain).groupBy(*key).agg(F.sum("c").alias("c"), F.sum("o").alias("o"))
+    band = W.partitionBy("band")
+    below = F.sum("o").over(W.partitionBy("band", "encoding").orderBy("bin"))
+    hist = hist.withColumn("p", F.least(F.lit(1.0), (len(ALPHABETS) + 1) * (below + 1) / (F.sum("o").over(band) + 1)))
+    hist = hist.withColumn("ok", F.col("p") <= fdr * F.sum("c").over(band.orderBy("p")) / F.greatest(F.sum("c").over(band), F.lit(1)))
+    cut = hist.withColumn("cut", F.max(F.when(F.col("ok"), F.col("p"))).over(band)).filter("c > 0 and p <= cut").select(*key)
+    return d.join(F.broadcast(cut), key).drop("band", "bin")
 
 
 def secret_scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
@@ -140,9 +178,8 @@ def secret_scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
                  F.expr("cast(size(b2) as bigint)").alias("n_hex"),
                  F.transform("b", lambda x: F.struct(x["start"], x["kind"], x["end"])).alias("b"), free.alias("c"))
     d = stage(d, "spans")
-    tokens = d.select("row", F.explode("c").alias("c")).select("row", "c.*")
-    left = not_random(battery(tokens), fdr).filter(
-        ~F.col("rejected") & F.col("token").rlike("[A-Za-z]") & F.col("token").rlike("[0-9]"))
+    tokens = d.select("row", F.explode("c").alias("c")).select("row", "c.*").filter(_eligible("token"))
+    left = secrets(battery(tokens), battery(ordinary(docs.select(text_or_empty().alias("t")))), fdr)
     more = left.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
     names = F.array(*[F.lit(k) for k, *_ in BASE], F.lit("random"))
 

@@ -143,3 +143,41 @@ SECRETS = (("assign", r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x2
 def base_spans(text):
     return sorted((m.start(), k, m.end(), kind) for k, (kind, p, g, least) in enumerate(SECRETS)
                   for m in re.finditer(p, text or "") if len(m[g]) >= least)
+
+
+def score(token, alphabets):
+    """The battery's encoding, length and score of one run."""
+    body = token.rstrip("=")
+    names = [(e, a) for e, a in alphabets if set(body) <= set(a)]
+    e, alpha = names[0] if names else ("mixed", alphabets[3][1] + "-_")
+    x = [alpha.index(c) for c in body]
+    n, a = len(x), len(alpha)
+    z1 = (a / n * sum(c * c for c in Counter(x).values()) - n - (a - 1)) / (2 * (a - 1) * (n - 1) / n) ** 0.5
+    up = [v < a / 2 for v in x]
+    prod = 2 * sum(up) * (n - sum(up))
+    spread = prod * (prod - n) / (n * n * (n - 1))
+    runs = 1 + sum(p != q for p, q in zip(up, up[1:]))
+    z2 = (runs - prod / n - 1) / spread ** 0.5 if spread > 0 else n ** 0.5
+    m = sum(x) / n
+    var = sum((v - m) ** 2 for v in x)
+    z3 = sum((p - m) * (q - m) for p, q in zip(x, x[1:])) / var * n ** 0.5 if var else n ** 0.5
+    kind = lambda c: 0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit() else 3
+    size, seen = Counter(map(kind, alpha)), Counter(map(kind, body))
+    chi = sum((seen[k] - n * s / a) ** 2 / (n * s / a) for k, s in size.items())
+    z4 = (chi - (len(size) - 1)) / (2 * (len(size) - 1)) ** 0.5
+    return e, n, max(z1, 0) ** 2 + z2 ** 2 + z3 ** 2 + max(z4, 0) ** 2
+
+
+def secret_tokens(tokens, plain, alphabets, fdr):
+    """The distinct ``tokens`` that Benjamini-Hochberg calls not ordinary."""
+    def place(t):
+        e, n, s = score(t, alphabets)
+        return min(n.bit_length() - 1, 6), e, int(min(s, 50) * 4)
+    tokens, null = [(t, place(t)) for t in set(tokens)], [place(t) for t in set(plain)]
+    out = set()
+    for band in {k[0] for _, k in tokens}:
+        mine, of = [(t, k) for t, k in tokens if k[0] == band], [k for k in null if k[0] == band]
+        p = {t: min(1, 6 * (1 + sum(o[1] == k[1] and o[2] <= k[2] for o in of)) / (1 + len(of))) for t, k in mine}
+        good = [q for q in p.values() if q <= fdr * sum(r <= q for r in p.values()) / len(p)]
+        out |= {t for t, q in p.items() if good and q <= max(good)}
+    return out
