@@ -15,9 +15,11 @@ r"""HTML extraction by equivalence-class template deduction.
    article or main element: a byline or licence that articles share is part of
    them.  Those in menus,
    headers, footers, sidebars, notices, adverts, forms and reader comments (by
-   element, role, or the words of class and id) are left out.  If the page marks an
+   element, role, or the words of class and id) are left out.  Where such a word is
+   one of several in a class (``post-share-price``), the template decides: blocks
+   in it are left out, others stay.  If the page marks an
    article or main element, only slots inside it count; else blocks that are
-   mostly links are left out too.
+   mostly links, paragraphs apart, are left out too.
 
 A block ends at any block-level tag; ``br`` is white space.  Character
 references are decoded, white space in a block becomes one space, blocks are
@@ -76,6 +78,11 @@ _OUT_NAMES = frozenset(
     "recommendations trending comment comments commentlist commentary disqus reply replies respond responses pagination "
     "pager copyright login search searchbox skip disclaimer".split())
 _UNLESS = frozenset("has with no without not".split())
+#: Words that say nothing beside one of those: a class of both only is as clear as the one.
+_PLAIN = frozenset(
+    "area articles article bar block body bottom box btn button col column container content entry for form global group "
+    "header id inner item items js left link links list main main-content off on outer page panel post posts primary reader "
+    "readers right row secondary section site slot text the thread top unit user users view wrap wrapper zone".split())
 
 
 class Block(NamedTuple):
@@ -84,29 +91,42 @@ class Block(NamedTuple):
     main: bool
     out: bool
     links: int
+    unsure: bool  # left out if it is in the template
 
 
-def _is_out(tag: str, attributes: str, main: bool) -> bool:
+#: What an element's own marks say of it: part of an article, unclear, or not part.
+IN, UNSURE, OUT = 0, 1, 2
+
+
+def _is_out(tag: str, attributes: str, main: bool) -> int:
     if tag in _OUT or tag == "header" and not main:
-        return True
+        return OUT
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return IN
     if tag == "article":
-        return _comment(attributes)
+        return OUT if _comment(attributes) else IN
+    says = IN
     for name, *value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(value)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return OUT
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return OUT
         if name == "role" and value.lower() in _OUT_ROLES:
-            return True
+            return OUT
         if name in ("class", "id"):
             for word in value.split():
-                parts = [x.lower() for x in _NAME.findall(word)]
-                if any(p in _OUT_NAMES and (not i or parts[i - 1] not in _UNLESS) for i, p in enumerate(parts)):
-                    return True
-    return False
+                says = max(says, _named([x.lower() for x in _NAME.findall(word)]))
+    return says
+
+
+def _named(parts: list[str]) -> int:
+    """``ad-slot`` and ``reader-comments`` are clear; ``post-share-price`` has one of the
+    words among others, so the template has to say."""
+    hits = [p in _OUT_NAMES and (not i or parts[i - 1] not in _UNLESS) for i, p in enumerate(parts)]
+    if not any(hits):
+        return IN
+    return OUT if all(h or p in _PLAIN or p.isdigit() for h, p in zip(hits, parts)) else UNSURE
 
 
 def _comment(attributes: str) -> bool:
@@ -127,8 +147,8 @@ def blocks(page: str) -> tuple[list[Block], Counter]:
     """The text blocks of a page in order, and how often each tag path occurs."""
     found: list[Block] = []
     tags: Counter = Counter()
-    # Tag, in main, left out, path, innermost block left out.
-    open_: list[tuple[str, bool, bool, str, bool]] = []
+    # Tag, in main, what the marks say, path, what those of the innermost block say.
+    open_: list[tuple[str, bool, int, str, int]] = []
     depth: Counter = Counter()  # open elements by tag
     text: list[str] = []
     links = 0
@@ -137,8 +157,8 @@ def blocks(page: str) -> tuple[list[Block], Counter]:
         nonlocal links
         body = " ".join(entities.unescape("".join(text)).split())
         if body:
-            _, main, out, path, _ = open_[-1] if open_ else ("", False, False, "", False)
-            found.append(Block(path, body, main, out, links))
+            _, main, out, path, _ = open_[-1] if open_ else ("", False, IN, "", IN)
+            found.append(Block(path, body, main, out == OUT, links, out == UNSURE))
         text.clear()
         links = 0
 
@@ -165,7 +185,7 @@ def blocks(page: str) -> tuple[list[Block], Counter]:
         at = m.end()
         cut_off = m[0].startswith("<!--") and not m[0].endswith("-->")
         if chunk:
-            if open_ and open_[-1][2] and not open_[-1][4]:
+            if open_ and open_[-1][2] == OUT != open_[-1][4]:
                 chunk = ""  # an inline element that is left out
             text.append(chunk)
             if chunk and depth["a"]:
@@ -194,7 +214,7 @@ def blocks(page: str) -> tuple[list[Block], Counter]:
             close(i)
         if tag in ("td", "th"):
             text.append(" ")
-        _, main, out, path, block_out = open_[-1] if open_ else ("", False, False, "", False)
+        _, main, out, path, block_out = open_[-1] if open_ else ("", False, IN, "", IN)
         main = main or _is_main(tag, attributes)
         path = f"{path}/{tag}" if len(open_) < 64 else path
         tags[path] += 1
@@ -202,10 +222,10 @@ def blocks(page: str) -> tuple[list[Block], Counter]:
             end = re.compile(f"</{tag}", re.I).search(page, at)
             at = end.start() if end else len(page)
         if not attributes.rstrip().endswith("/") or tag in _BLOCK:
-            out = out or _is_out(tag, attributes, main)
+            out = out if out == OUT else max(out, _is_out(tag, attributes, main))
             open_.append((tag, main, out, path, out if tag in _BLOCK else block_out))
             depth[tag] += 1
-    if not cut_off and not (open_ and open_[-1][2] and not open_[-1][4]):
+    if not cut_off and not (open_ and open_[-1][2] == OUT != open_[-1][4]):
         # A tag or comment that the page breaks off in is no text; any other "<" is.
         text.append(_BROKEN.split(page[at:], maxsplit=1)[0])
     flush()
@@ -289,12 +309,19 @@ def templates(tokens: DataFrame, pages: int = PAGES, share: float = SHARE, words
 def main_text(page: str, template: frozenset | set = frozenset()) -> str:
     """The blocks of a page that are article slots, joined by empty lines."""
     found, _ = blocks(page)
-    slots = [x for x in found if not x.out and (x.main or not template or _token("text", x.path, x.text) not in template)]
-    if any(x.main for x in found if not x.out):
-        slots = [x for x in slots if x.main]
-    else:
-        slots = [x for x in slots if 2 * x.links <= len(x.text)]
-    return "\n\n".join(x.text for x in slots)
+    left = [x for x in found if not x.out]
+    inside = any(x.main for x in left)
+
+    def slot(x: Block) -> bool:
+        fixed = bool(template) and _token("text", x.path, x.text) in template
+        if x.unsure and fixed:
+            return False
+        if inside:
+            return x.main
+        # A paragraph may be a link; any other block that is mostly links is a menu.
+        return not fixed and (2 * x.links <= len(x.text) or x.path.endswith("/p"))
+
+    return "\n\n".join(x.text for x in left if slot(x))
 
 
 def extract(pages: DataFrame) -> DataFrame:

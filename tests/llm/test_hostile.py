@@ -51,3 +51,24 @@ def test_text_after_the_last_tag_stays():
     assert texts("<p>a</p>b <a href=") == ["a", "b"]
     assert texts("<p>a</p>b <!-- c > d") == ["a", "b"]
     assert texts("plain") == ["plain"] and texts("") == [] and texts("<!-- x") == []
+
+
+def test_class_words_and_links_in_an_article(spark):
+    def page(i, body):
+        return f"<nav>menu</nav><div class='post-body'><p>Story {i} goes on</p>{body}</div>"
+
+    share = "<div class='post-share-price'>Share price {0}</div><div id='search-for-truth'>Truth {0}</div>"
+    assert html_extract.main_text(page(1, share.format(1))) == "Story 1 goes on\n\nShare price 1\n\nTruth 1"
+    assert html_extract.main_text(page(1, "<p><a href=x>A linked paragraph</a>.</p><div><a href=y>Home</a></div>")) \
+        == "Story 1 goes on\n\nA linked paragraph."
+    for name in ("ad-slot", "reader-comments", "site-footer", "related-posts", "cookie_notice", "shareBox", "comment-12"):
+        assert html_extract.main_text(page(1, f"<div class={name}>out</div>")) == "Story 1 goes on", name
+    # The template decides where the words do not: fixed on every page of a host or not, in an article too.
+    same = "<article>" + page(0, "<div class='post-share-price'>Tell a friend</div>").replace("Story 0", "Story {0}") + share + "</article>"
+    rows = [(i, f"http://a.example/{i}", same.format(i)) for i in range(12)]
+    rows += [(100 + i, f"http://b{i}.example/", same.format(i)) for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    for i in range(12):
+        assert got[i] == f"Story {i} goes on\n\nShare price {i}\n\nTruth {i}"
+    assert "Tell a friend" in got[100]
