@@ -15,8 +15,8 @@ symbols are independent and uniform over that alphabet:
 The sum of their squares (the chi-squared ones one-sided) is the score; low is random.
 
 The null hypothesis is that a run is ordinary text.  Its distribution is taken from
-the corpus: all words in a row, 4, 8 and 16 at a time, written as one run the way
-identifiers are (:func:`ordinary`), as far as they have a letter and a digit too.
+the corpus: 4, 8 and 16 words in a row, one of them with a digit, written as one run
+the way identifiers are (:func:`ordinary`).
 The p-value of a candidate is the share of ordinary runs of its length band that fit
 its encoding and score no higher, times the number of encodings.  In each band,
 Benjamini-Hochberg at level :data:`FDR` over the candidates decides which are not
@@ -126,19 +126,27 @@ def _eligible(token: str):
 
 
 def ordinary(texts: DataFrame) -> DataFrame:
-    """Distinct ``token``: the words of column ``t``, :data:`WORDS` in a row and none
-    twice, as one run of 20 characters or more with a letter and a digit.  Words of more
-    than 15 letters, which may be secrets, end a row.  The run's own hash says how it
-    is written: InCapitals, with_underscores, with-hyphens, or just joined."""
-    word = "(?<![A-Za-z0-9])[A-Za-z0-9]{1,15}+(?![A-Za-z0-9])"
-    rows = [F.regexp_extract_all("t", F.lit(f"{word}(?:[^A-Za-z0-9]+{word}){{{k - 1}}}"), F.lit(0)) for k in WORDS]
-    both = [F.filter(r, lambda x: x.rlike("[A-Za-z]") & x.rlike("[0-9]")) for r in rows]
-    w = texts.select(F.explode(F.concat(*both)).alias("w")).select(F.regexp_replace("w", "[^A-Za-z0-9]+", " ").alias("w"))
-    style = F.pmod(F.xxhash64("w"), F.lit(4))
+    """Distinct ``token``: words of column ``t`` in a row, from one with a digit on, as
+    one run of 20 characters or more with a letter.  Up to the longest of :data:`WORDS`
+    words are met once; their first 4, 8 and 16 make a run each.  Words of more than 15
+    characters, which may be secrets, end a row.  The run's own hash says how it is written
+    (InCapitals, with_underscores, with-hyphens, just joined) and whether backwards, so
+    that numbers come first or last."""
+    digit = "(?<![A-Za-z0-9])[A-Za-z]{0,14}+[0-9][A-Za-z0-9]{0,14}+(?![A-Za-z0-9])"
+    more = f"(?:[^A-Za-z0-9]+[A-Za-z0-9]{{1,15}}+(?![A-Za-z0-9])){{{WORDS[0] - 1},{WORDS[-1] - 1}}}"
+    # explode_outer: explode would filter by size first and match every text twice.
+    rows = texts.select(F.explode_outer(F.regexp_extract_all("t", F.lit(digit + more), F.lit(0))).alias("w"))
+    rows = rows.filter(F.col("w").isNotNull()).select(F.split("w", "[^A-Za-z0-9]+").alias("w"))
+    parts = F.array(*[F.when(F.size("w") >= k, F.slice("w", 1, k)) for k in WORDS])
+    w = rows.select(F.explode(F.array_compact(parts)).alias("w"))
+    h = F.xxhash64("w")
+    w = w.select(F.pmod(h, F.lit(4)).alias("style"),
+                 F.array_join(F.when(F.pmod(F.floor(h / 4), F.lit(2)) == 0, F.col("w")).otherwise(F.reverse("w")), " ").alias("w"))
+    style = F.col("style")
     token = (F.when(style == 0, F.replace(F.initcap("w"), F.lit(" "), F.lit("")))
              .when(style == 1, F.translate("w", " ", "_")).when(style == 2, F.translate("w", " ", "-"))
              .otherwise(F.replace("w", F.lit(" "), F.lit(""))))
-    once = w.select(token.alias("token")).filter(F.length("token") >= 20).distinct()
+    once = w.select(token.alias("token")).filter((F.length("token") >= 20) & F.col("token").rlike("[A-Za-z]")).distinct()
     # The battery costs far more than its bytes say, so tasks are not merged by size.
     return once.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
