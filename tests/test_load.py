@@ -167,3 +167,20 @@ def test_one_big_file_is_spread(spark, workdir):
     assert sum(r["files"] for r in rep) == 3
     ix = s.index("_test")
     assert ix.count(ix.row("ofield", "o1")).collect()[0]["count"] == len({i % 700 for i in range(3000) if i % 3 == 1})
+
+
+def test_a_log_folder_has_files_by_folder_not_by_task(spark, workdir):
+    frame = spark.range(4000).select(
+        F.concat(F.lit("2024-01-0"), (F.col("id") % 3 + 1).cast("string"), F.lit(" 00:00:00\tu\tc\to\ta")).alias("value"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") % 3).cast("int")).alias("dt"), (F.col("id") % 2).cast("int").alias("part"),
+        F.concat(F.lit("f"), F.col("id").cast("string")).alias("file_path"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        root = write_log_files(frame, workdir + "/logs")
+    finally:
+        spark.conf.set(key, "true")
+    found = [f for d, _, fs in os.walk(root) for f in fs if f.endswith(".gz")]
+    assert len(found) == 6
+    assert rows(spark.read.text(root).groupBy("dt", "part").count().select("count")) == rows(
+        frame.groupBy("dt", "part").count().select("count"))
