@@ -184,3 +184,26 @@ def test_a_log_folder_has_files_by_folder_not_by_task(spark, workdir):
     assert len(found) == 6
     assert rows(spark.read.text(root).groupBy("dt", "part").count().select("count")) == rows(
         frame.groupBy("dt", "part").count().select("count"))
+
+
+def test_batches_of_a_line_frame_read_their_own_part(spark, lines, expected, workdir, monkeypatch):
+    from bitlake.streaming import load
+    lines.write.parquet(workdir + "/lines")
+    source = spark.read.parquet(workdir + "/lines")
+    seen = []
+
+    def noted(store, batch_lines, *a, **kw):
+        seen.append((batch_lines.inputFiles(), batch_lines.count()))
+        return load_batch(store, batch_lines, *a, **kw)
+    monkeypatch.setattr(load, "load_batch", noted)
+    n_files = lines.select("file_path").distinct().count()
+    s = BitStore(spark, workdir + "/s")
+    reps = run_load(spark, s, lines=source, cfg=CFG, files_per_batch=-(-n_files // 3))
+    assert [r["files"] for r in reps[:-1]] == [-(-n_files // 3)] * 2 and sum(r["files"] for r in reps) == n_files
+    assert not [f for fs, _ in seen for f in fs if workdir + "/lines/" in f]  # the frame is not read again
+    assert sum(n for _, n in seen) == lines.count()
+    assert rows(s.decoded_bits()) == expected
+    # a run whose cap ends inside a day
+    c = BitStore(spark, workdir + "/c")
+    got = run_load(spark, c, lines=source, cfg=CFG, scan=ScanConfig(max_files=7), files_per_batch=3)
+    assert [r["files"] for r in got] == [3, 3, 1]
