@@ -71,3 +71,28 @@ def test_owners_disjoint(spark):
         assert all(r.shard % 3 == owner for r in rows)
         out[owner] = {r.col_id for r in rows}
     assert not (out[0] & out[1]) and not (out[1] & out[2]) and not (out[0] & out[2])
+
+
+def test_new_values_are_computed_once(spark, workdir):
+    from pyspark.sql import functions as F
+    from bitlake.operators.ids import assign_column_ids, assign_row_ids
+    from bitlake.plans.registry import COL_DICT_SCHEMA, ROW_DICT_SCHEMA
+    from bitlake.spec import IdConfig
+    spark.range(300).select(F.lit("f").alias("field"), (F.col("id") % 50).cast("string").alias("row_val"),
+                            F.col("id").cast("string").alias("col_val")).write.parquet(workdir + "/values")
+    values = spark.read.parquet(workdir + "/values")
+    cfg = IdConfig(shard_width=64, lanes=3, rows_per_rank_bucket=1000)
+    r = assign_row_ids(values, spark.createDataFrame([], ROW_DICT_SCHEMA), "i", cfg)
+    c = assign_column_ids(values, spark.createDataFrame([], COL_DICT_SCHEMA), "i", cfg)
+    assert (r.count(), c.count()) == (50, 300)
+    # the rank goes over its rows several times: over the written values, not over the source
+    assert not [f for d in (r, c) for f in d.inputFiles() if "/values/" in f]
+
+
+def test_dictionaries_and_facts_share_one_pass_over_the_lines(spark):
+    from bitlake.operators.bits import set_bits
+    from bitlake.plans.registry import Fixture
+    from conftest import SF001
+    fx = Fixture(spark, SF001)
+    assert not [f for d in (fx.row_dict, fx.col_dict, fx.facts) for f in d.inputFiles() if "events.parquet" in f]
+    assert fx.facts.count() == set_bits(fx.raw_bits).count()
