@@ -134,3 +134,18 @@ def test_values_that_another_job_committed_meanwhile_are_refused(spark, workdir)
     s.append_col_dict(cols, "_test", 3)
     with pytest.raises(RuntimeError, match="col_val"):
         s.check_unseen(spark.createDataFrame([("_test", 6, 0, "c")], cols.schema), "col_lookup", "_test", seen)
+
+
+def test_ids_are_shuffled_not_bitmaps(spark):
+    import datetime as dt
+    from bitlake.operators.bitmaps import bitmap_index, time_bitmap_index
+    day = dt.date(2024, 1, 31)
+    facts = spark.createDataFrame(
+        [("f", 0, c, day + dt.timedelta(days=c % 2)) for c in (1, 2, 40000)] + [("f", 0, 1, day), ("f", 0, 5, None)],
+        "field string, row_id long, col_id long, day date")
+    for made in (bitmap_index(facts), time_bitmap_index(facts)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "bitmap_construct_agg" not in plan.split("Exchange", 1)[1]
+    got = time_bitmap_index(facts).selectExpr("period", "bucket", "bitmap_count(bitmap) n").collect()
+    assert {(r[0], r[1]): r[2] for r in got} == {
+        (202402, 0): 1, (20240201, 0): 1, (202401, 0): 2, (20240131, 0): 2, (202401, 1): 1, (20240131, 1): 1}
