@@ -22,10 +22,10 @@ best-fit step.  Its size is bounded by ``capacity``, not by the documents: at mo
 ``3 * STEPS`` rows of patterns, and about ``capacity * ln(capacity)`` best-fit rows
 and their splits (a few ten thousand for 2,048 tokens).
 
-**Tokens.**  :class:`Encoder` looks up the ids of words that it has met, in a
-table of about :data:`WORDS` at most.  Texts are cut only where the tokenizer cuts as well: at
-spaces and line ends, and between an ASCII letter or digit and full stops or commas that
-end a word; words of a-z alone go to its merges at once.  Tests compare whole texts.  This rule is for ``word_bpe_49k.json``
+**Tokens.**  :class:`Encoder` looks up the different words of :data:`BYTES` of text together, among those met of
+late: about :data:`WORDS` or :data:`CHARS` at most, and as many of the time before, of which those met again stay.  Texts are cut
+only where the tokenizer cuts as well: at ASCII white space, and words of ASCII, Latin letters, dashes and quotes
+by its pattern; their parts go to its merges at once, other words to the whole tokenizer.  Tests compare whole texts.  This rule is for ``word_bpe_49k.json``
 (white space dropped, words apart); ``by_word=False`` encodes whole texts with any file.
 Special tokens in a text are ordinary text.
 
@@ -43,11 +43,13 @@ import sys
 import types
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,64 +61,101 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 CHUNK = 1 << 16
 WORDS = 1 << 19
-#: Texts whose new words are encoded together.
-TEXTS = 32
+CHARS = 1 << 24
+#: Bytes of text whose words are looked up together, and new words that are learned together.
+BYTES = 1 << 23
+NEW = 2000
 #: Steps of the fit at most; what is not fitted is packed with the rest.
 STEPS = 200_000
 SWEEP = 512
 
-_END = re.compile(r"(?<=[A-Za-z0-9])[.,]+\Z")
-_PLAIN = re.compile("[a-z]+").fullmatch
+#: Words of ASCII, Latin letters (all but dotted capital I, whose lower case has a combining mark), dashes and quotes:
+#: normal form C and lower case of a letter do not depend on its neighbours.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e\u2010-\u2027]+").fullmatch
+#: The tokenizer's own pattern, for lower case of these characters.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|[!-/:-@\\[-`{-~\u2010-\u2027]+").findall
 
 
 class Encoder:
     """Token ids of texts, as little-endian 32-bit numbers in bytes."""
 
     def __init__(self, path: str | None = None, by_word: bool = True):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         if path is None:
             import public_tokenizers
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.by_word = by_word
+        if by_word:
+            self.merges = Tokenizer(self.tokenizer.model)
+            self.merges.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        # Words met of late, and those of the time before.
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.chars = 0
+
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
+        """Null texts are empty."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        if not self.by_word:
+            yield from self._encode([t or "" for t in texts.to_pylist()])
+            return
+        texts = texts.cast(pa.large_string()).fill_null("")
+        upto = np.cumsum(pc.binary_length(texts).to_numpy())
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + BYTES, "right")))
+            yield from self._by_word(texts.slice(at, end - at))
+            at = end
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e.ids)}I", *e.ids)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if not self.by_word:
-            yield from self._encode(texts)
-            return
-        for at in range(0, len(texts), TEXTS):
-            # Lower case at once if that cannot meet a combining mark.
-            cut = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ") for t in texts[at:at + TEXTS]]
-            words = set().union(*cut)
-            new = words.difference(self.known)
-            if len(self.known) + len(new) > WORDS:
-                self.known, new = {}, words
-            self._learn(new)
-            for words in cut:
-                yield b"".join(map(self.known.__getitem__, words))
-
-    def _learn(self, words: set[str]) -> None:
-        """Ids of new words; one with full stops or commas at its end is two parts."""
-        parts = {}
-        for w in words:
-            m = _END.search(w) if w[-1:] in (".", ",") else None
-            parts[w] = (w[:m.start()], w[m.start():]) if m else (w,)
-        new = {p for ps in parts.values() for p in ps}.difference(self.known)
-        # A word of a-z is what the tokenizer's own cutting leaves to its merges.
-        plain = [w for w in new if _PLAIN(w)]
-        merge, pack = self.tokenizer.model.tokenize, struct.pack
-        for w in plain:
-            ids = merge(w)
-            self.known[w] = pack(f"<{len(ids)}I", *[t.id for t in ids])
-        rest = list(new.difference(plain))
+    def _by_word(self, texts: pa.Array) -> Iterator[bytes]:
+        # Lower case at once if that cannot meet a combining mark.
+        cut = pc.ascii_split_whitespace(pc.if_else(pc.string_is_ascii(texts), pc.ascii_lower(texts), texts))
+        words = cut.flatten().dictionary_encode()
+        ids = pa.array(self._ids(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
+        word = np.append(0, np.cumsum(pc.list_value_length(cut).to_numpy()))
+        ends = np.append(0, np.cumsum(pc.binary_length(ids).to_numpy()))[word].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        for at, end in zip(ends, ends[1:]):
+            yield bytes(data[at:end])
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        if len(self.known) > WORDS or self.chars > CHARS:
+            self.known, self.before, self.chars = {}, self.known, 0
+        new = self._missing(words)
+        for at in range(0, len(new), NEW):
+            self._learn(new[at:at + NEW])
+        return [*map(self.known.__getitem__, words)]
+
+    def _missing(self, words: Iterable[str]) -> list[str]:
+        """Words to be learned; those of the time before are fetched from there."""
+        new = [*filterfalse(self.known.__contains__, words)]
+        self.chars += sum(map(len, new))
+        self.known.update((w, self.before[w]) for w in new if w in self.before)
+        return [*filterfalse(self.known.__contains__, new)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words; those of plain characters are cut here as the tokenizer cuts them."""
+        parts = {w: _PARTS(w.lower()) for w in words if _PLAIN(w)}
+        rest = [w for w in words if w not in parts]
         self.known.update(zip(rest, self._encode(rest)))
-        self.known.update({w: self.known[ps[0]] + self.known[ps[1]] for w, ps in parts.items() if len(ps) == 2})
+        self._merge(self._missing({p for ps in parts.values() for p in ps}))
+        of = self.known.__getitem__
+        self.known.update((w, b"".join(map(of, ps))) for w, ps in parts.items() if ps[0] != w)
+
+    def _merge(self, parts: list[str]) -> None:
+        """Ids of new parts of words, from one text of them all."""
+        e = self.merges.encode(" ".join(parts), add_special_tokens=False)
+        ids = np.array(e.ids, "<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(parts)))).tolist()
+        self.known.update((p, ids[at:end]) for p, at, end in zip(parts, [0] + ends, ends))
 
 
 def worker_encoder(path: str | None, by_word: bool) -> Encoder:
@@ -138,8 +177,7 @@ def _pieces(path: str | None, capacity: int, end_id: int, by_word: bool):
         chunk, in_chunk, seen = TaskContext.get().partitionId() << 32, 0, Counter()
         for b in batches:
             out = {k: [] for k in ("chunk", "place", "doc", "piece", "length", "crc")}
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for doc, ids in enumerate(encoder.encode(texts)):
+            for doc, ids in enumerate(encoder.encode(b.column(1))):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
